@@ -3,28 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 
 
-def row_bytes(df: DataFrame):
-    """Estimated width of a row: its JSON text, which is never shorter than its strings."""
-    return F.length(F.to_json(F.struct(*df.columns)))
+def small_copy(df: DataFrame, max_rows: int = 50_000, max_bytes: int = BROADCAST_BYTES) -> DataFrame | None:
+    """The frame's rows as a local relation when they fit, else None.
 
-
-def measured(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[int, int]:
-    """Rows and bytes of a frame, counting no further than one row past the limit."""
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
-    return row["n"], row["b"] or 0
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    rows, size = measured(df, max_rows)
-    return rows <= max_rows and size <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint behind a size check; past it the join shuffles and AQE splits skew."""
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+    Fetches no further than one row past the limit; spares computing a derived table once
+    to measure it and once more to use it.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators.bounds import is_small
+from reviewmill.operators.bounds import small_copy
 
 PIECE = 3
 
@@ -50,9 +50,10 @@ def match_substrings(
         literal = F.concat(F.lit(r"\Q"), F.replace(F.col(entry), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
         edge = r"[\p{L}\p{N}_]"
         held = held & F.regexp_like(F.col(text), F.concat(F.lit(f"(?<!{edge})"), literal, F.lit(f"(?!{edge})")))
-    if is_small(signed):
+    local = small_copy(signed)
+    if local is not None:
         exploded = texts.select(text_id, text, F.explode(widths).alias("piece"))
-        return exploded.join(F.broadcast(signed), "piece").filter(held).select(text_id, entry)
+        return exploded.join(F.broadcast(local), "piece").filter(held).select(text_id, entry)
     # A dictionary past the bound shuffles: move ids and pieces only, fetch texts for the candidates.
     candidates = texts.select(text_id, F.explode(widths).alias("piece")).join(signed, "piece").select(text_id, entry)
     return candidates.join(texts.select(text_id, text), text_id).filter(held).select(text_id, entry)

@@ -35,9 +35,14 @@ def tips(raw: DataFrame, tolerance: float = 0.1) -> DataFrame:
 
 
 def domain_gaps(raw: DataFrame, column: str, low: int, high: int) -> DataFrame:
-    """Whole numbers of an expected range that never occur."""
-    expected = raw.sparkSession.range(low, high + 1).select(F.col("id").cast("int").alias(column))
-    return expected.join(raw.select(column).distinct(), column, "left_anti")
+    """Whole numbers of an expected range that a source never shows."""
+    if high - low > 100_000:
+        raise ValueError("expected range too wide to list")
+    seen = raw.groupBy("source", column).agg(F.count(F.lit(1)).alias("n"))
+    expected = seen.select("source").distinct().select(
+        "source", F.explode(F.sequence(F.lit(low), F.lit(high)).cast("array<int>")).alias(column)
+    )
+    return expected.join(seen.select("source", column), ["source", column], "left_anti")
 
 
 def spend_per_person(raw: DataFrame, low: float) -> DataFrame:

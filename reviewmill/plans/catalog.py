@@ -118,18 +118,20 @@ def fact_standardize_compat(spark, sf):
 
 
 def header_union(spark, sf):
-    """Two sources under differing headers, renamed by their maps and united."""
+    """Four sources under differing headers, renamed by their maps and united."""
     raw = raw_reviews(spark, sf)
     maps = {
         "north": {"review_number": "review_id", "guest_name": "customer_id", "visit_date": "review_date"},
         "south": {"id": "review_id", "name": "customer_id", "comments": "review_text"},
+        "east": {"review_id": "review_id", "customer_name": "customer_id", "date": "review_date"},
+        "west": {"review_id": "review_id", "customer_name": "customer_id", "feedback_comments": "review_text"},
     }
-    parts = []
+    united = None
     for source, mapping in maps.items():
         own = raw.filter(F.col("source") == source).withColumnsRenamed({v: k for k, v in mapping.items()})
         own = own.drop("tip_percentage") if source == "south" else own
-        parts.append(rename_headers(own, mapping)[0])
-    united = parts[0].unionByName(parts[1], allowMissingColumns=True)
+        part = rename_headers(own, mapping)[0]
+        united = part if united is None else united.unionByName(part, allowMissingColumns=True)
     return united.select("source", "pos", "review_id", "customer_id", "review_date", "review_text", "tip_percentage")
 
 
@@ -233,7 +235,7 @@ def profile_tips(spark, sf):
 
 
 def profile_domain_gaps(spark, sf):
-    return profile.domain_gaps(raw_reviews(spark, sf).filter("source = 'north'"), "party_size", 1, 12)
+    return profile.domain_gaps(raw_reviews(spark, sf), "party_size", 1, 12)
 
 
 def profile_spend(spark, sf):

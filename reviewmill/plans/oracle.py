@@ -304,8 +304,7 @@ SQL: dict[str, str] = {
     "fact_standardize": _facts_text(False),
     "fact_standardize_compat": _facts_text(True),
     "header_union": _with(raw=RAW) + """
-        SELECT source, pos, review_id, customer_id, review_date, review_text, CASE WHEN source = 'north' THEN tip_percentage END AS tip_percentage
-        FROM raw WHERE source IN ('north', 'south')""",
+        SELECT source, pos, review_id, customer_id, review_date, review_text, CASE WHEN source <> 'south' THEN tip_percentage END AS tip_percentage FROM raw""",
     "source_routing": _with(
         keys=views.oracle_text(views.KEYS), decoded="SELECT doc_id, url_decode(replace(key, '+', ' ')) AS file_key FROM keys",
         names="SELECT DISTINCT source FROM documents",
@@ -370,8 +369,8 @@ SQL: dict[str, str] = {
           round(avg((tip_percentage > 20)::INT), 6) AS over_20_share, round(avg((tip_amount = 0)::INT), 6) AS zero_tip_share
         FROM raw GROUP BY source""",
     "profile_domain_gaps": _with(raw=RAW) + """
-        SELECT CAST(i AS INTEGER) AS party_size FROM range(1, 13) t(i)
-        WHERE i NOT IN (SELECT party_size FROM raw WHERE source = 'north' AND party_size IS NOT NULL)""",
+        SELECT source, CAST(i AS INTEGER) AS party_size FROM (SELECT DISTINCT source FROM raw) s, range(1, 13) t(i)
+        WHERE NOT EXISTS (SELECT 1 FROM raw r WHERE r.source = s.source AND r.party_size = i)""",
     "profile_spend": _with(raw=RAW, heads="SELECT source, total_spent / party_size AS p FROM raw WHERE party_size > 0 AND total_spent IS NOT NULL") + """
         SELECT source, count(*) AS n_rows, round(min(p), 4) AS lowest, round(quantile_disc(p, 0.5), 4) AS median, round(quantile_disc(p, 0.99), 4) AS p99,
           count(*) FILTER (p < 1.5) AS below_limit FROM heads GROUP BY source""",
@@ -410,7 +409,7 @@ SQL: dict[str, str] = {
     "question_targets": _with(**_FOUND) + " SELECT q_id, array_to_string(text_targets, '|') AS text_targets FROM found",
     "question_targets_word": _with(**_QUESTIONS) + r"""
         SELECT q_id, array_to_string(list_sort(list(DISTINCT restaurant_id)), '|') AS text_targets FROM valid, entries
-        WHERE regexp_matches(text, '(^|[^\p{L}\p{N}_])' || name || '($|[^\p{L}\p{N}_])') GROUP BY q_id""",
+        WHERE contains(' ' || regexp_replace(text, '[^\p{L}\p{N}_]', ' ', 'g') || ' ', ' ' || name || ' ') GROUP BY q_id""",
     "question_resolution": _with(**_FOUND) + " SELECT q_id, question, origin, array_to_string(targets, '|') AS targets FROM resolved",
     "question_rejected": _with(**_QUESTIONS) + " SELECT q_id, question FROM questions WHERE question = ''",
     "question_unknown_targets": _with(**_FOUND) + f"""
