@@ -32,7 +32,8 @@ def is_base64url(col: Column, mode: str = "lenient", allow_empty: bool = True) -
         valid = shape & length_ok
     elif mode == "lenient":
         pads = F.pmod(-F.length(col), F.lit(4))
-        digits = F.length(F.regexp_replace(col, "[^A-Za-z0-9+/_-]", ""))
+        clean = col.rlike(r"^[A-Za-z0-9+/_-]*\z")
+        digits = F.when(clean, F.length(col)).otherwise(F.length(F.regexp_replace(col, "[^A-Za-z0-9+/_-]", "")))
         plain = (
             (digits % 4 == 0)
             | ((digits % 4 == 2) & (pads >= 2))
@@ -43,7 +44,7 @@ def is_base64url(col: Column, mode: str = "lenient", allow_empty: bool = True) -
         reduced = F.regexp_replace(F.regexp_replace(col, "[^A-Za-z0-9+/_=-]", ""), "[A-Za-z0-9+/_-]", "x")
         padded = F.regexp_replace(F.concat(reduced, F.repeat(F.lit("="), pads)), "^(?:xxxx)+", "")
         embedded = padded.rlike(r"^(?:=*x=*x=?xx)*(?:=*\z|=*x=*x(?:==|=?x=))")
-        ascii_only = col.rlike(r"^[\x00-\x7F]*\z")
+        ascii_only = F.octet_length(col) == F.length(col)
         valid = ascii_only & F.when(F.contains(col, F.lit("=")), embedded).otherwise(plain)
     else:
         raise ValueError(f"unknown mode {mode!r}")

@@ -25,19 +25,13 @@ def round_tenth(col: Column) -> Column:
     """One decimal, half-even on the exact binary value (scalar rounding rule).
 
     ``col * 10`` may round onto a half that the exact product does not reach. 8x and 2x
-    are exact, so the error of their sum is recovered exactly and settles such cases.
+    are exact, so what the sum lost is recovered exactly and settles such cases.
     """
-    high, low = col * 8, col * 2
-    total = high + low
-    shifted = total - high
-    error = (high - (total - shifted)) + (low - shifted)
-    on_half = (total - F.floor(total)) == F.lit(0.5)
-    settled = (
-        F.when(on_half & (error > 0), F.ceil(total).cast("double"))
-        .when(on_half & (error < 0), F.floor(total).cast("double"))
-        .otherwise(F.rint(total))
-    )
-    return settled / 10
+    total = col * 10
+    lost = col * 2 - (total - col * 8)
+    low = F.floor(total)
+    near_half = (total - low == 0.5) & (lost != 0)
+    return F.when(near_half, low + (lost > 0).cast("int")).otherwise(F.rint(total)) / 10
 
 
 def derived_total(total: Column, tip: Column, tip_percentage: Column) -> Column:

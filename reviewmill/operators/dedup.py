@@ -79,9 +79,10 @@ def collapse_duplicates(
     def first_value(column: str) -> Column:
         return F.min_by(column, F.when(base & F.col(column).isNotNull(), position)).alias(column)
 
-    coalesced = [c for c in COALESCED_FIELDS if c in df.columns]
+    columns = df.columns
+    coalesced = [c for c in COALESCED_FIELDS if c in columns]
     skip = {*unit, *order, "review_id", *coalesced}
-    carried = [c for c in df.columns if c not in skip]
+    carried = [c for c in columns if c not in skip]
     aggregates = [first_value(c) for c in coalesced]
     if carried:
         aggregates.append(F.min_by(F.struct(*carried), F.when(base, position)).alias("_first"))

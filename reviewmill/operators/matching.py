@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from reviewmill.operators.bounds import small_copy
 
 PIECE = 3
+LITERAL_LIMIT = 128
 
 
 def _pieces(col: Column, width: int) -> Column:
@@ -35,21 +36,36 @@ def _signed(entries: DataFrame, entry: str) -> DataFrame:
     )
 
 
+def _held(text: Column, entry: Column, word: bool) -> Column:
+    held = F.contains(text, entry)
+    if word:
+        literal = F.concat(F.lit(r"\Q"), F.replace(entry, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+        edge = r"[\p{L}\p{N}_]"
+        held = held & F.regexp_like(text, F.concat(F.lit(f"(?<!{edge})"), literal, F.lit(f"(?!{edge})")))
+    return held
+
+
 def match_substrings(
-    texts: DataFrame, entries: DataFrame, text_id: str, text: str, entry: str, word: bool = False
+    texts: DataFrame, entries: DataFrame, text_id: str, text: str, entry: str, word: bool = False,
+    literal_limit: int = LITERAL_LIMIT,
 ) -> DataFrame:
     """``text_id, entry`` for every entry contained in a text.
 
     ``texts`` has one row per ``text_id``. Comparison is exact, so lower-case both sides
     first to ignore case. ``word=True`` asks for word boundaries around the entry as well.
+    A dictionary of up to ``literal_limit`` entries becomes an array literal that each text
+    filters in place; a larger one is joined by pieces.
     """
-    signed = _signed(entries.select(entry).distinct(), entry)
+    distinct = entries.select(entry).filter(F.length(entry) > 0).distinct()
+    few = distinct.limit(literal_limit + 1).collect()
+    if len(few) <= literal_limit:
+        known = F.array(*[F.lit(r[0]) for r in few]).cast("array<string>")
+        found = F.filter(known, lambda e: _held(F.col(text), e, word))
+        return texts.select(text_id, F.explode(found).alias(entry))
+
+    signed = _signed(distinct, entry)
     widths = F.concat(*[F.coalesce(_pieces(F.col(text), w), F.array().cast("array<string>")) for w in range(1, PIECE + 1)])
-    held = F.contains(F.col(text), F.col(entry))
-    if word:
-        literal = F.concat(F.lit(r"\Q"), F.replace(F.col(entry), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-        edge = r"[\p{L}\p{N}_]"
-        held = held & F.regexp_like(F.col(text), F.concat(F.lit(f"(?<!{edge})"), literal, F.lit(f"(?!{edge})")))
+    held = _held(F.col(text), F.col(entry), word)
     local = small_copy(signed)
     if local is not None:
         exploded = texts.select(text_id, text, F.explode(widths).alias("piece"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.contracts import FACT_SCHEMA
-from reviewmill.functions.dates import DEFAULT_DATE_FORMATS, parse_date
+from reviewmill.functions.dates import DEFAULT_DATE_FORMATS, with_date
 from reviewmill.functions.numbers import derived_total, to_number
 from reviewmill.functions.ratings import with_rating
 from reviewmill.operators.dedup import UNIT, collapse_duplicates
@@ -17,14 +17,12 @@ from reviewmill.operators.headers import conform
 
 def typed(raw: DataFrame) -> DataFrame:
     """Numeric columns of the raw contract as numbers; unreadable cells become null."""
-    money = {c: _number(raw, c) for c in ("total_spent", "tip_amount", "tip_percentage")}
-    return raw.withColumns({**money, "party_size": _number(raw, "party_size").try_cast("int")})
-
-
-def _number(df: DataFrame, column: str) -> Column:
-    if dict(df.dtypes)[column] == "string":
-        return to_number(F.col(column))
-    return F.col(column).cast("double")
+    types = dict(raw.dtypes)
+    numbers = {
+        c: to_number(F.col(c)) if types[c] == "string" else F.col(c).cast("double")
+        for c in ("total_spent", "tip_amount", "tip_percentage", "party_size")
+    }
+    return raw.withColumns({**numbers, "party_size": numbers["party_size"].try_cast("int")})
 
 
 def standardize_facts(
@@ -43,7 +41,7 @@ def standardize_facts(
     coalesces the raw cells first and keeps only what the first non-null one yields.
     Columns of ``unit`` beyond ``source`` stay at the end for the sink to partition by.
     """
-    dated = typed(raw).withColumn("review_date", parse_date(F.col("review_date"), formats))
+    dated = with_date(typed(raw), "review_date", formats)
     carried = [c for c in unit if c != "source"]
     rows = dated if compat else with_rating(dated, divisor)
     rows = rows.drop("location", "restaurant_name", *[c for c in ("file_key",) if c not in (*unit, *order)])

@@ -316,6 +316,8 @@ SQL: dict[str, str] = {
         SELECT doc_id, file_key, CASE WHEN kind = 'fact' THEN source END AS source, kind,
           CASE WHEN kind IN ('fact', 'dimension') THEN regexp_replace(replace(file_key, 'raw/', 'processed/'), '\.\w+$', '.csv') END AS target_key
         FROM kinds""",
+    "source_routing_many": _with(keys=views.oracle_text(views.MANY_KEYS)) + """
+        SELECT k.doc_id, arg_max(n.source, length(n.source)) AS source, 'fact' AS kind FROM keys k JOIN keys n ON contains(lower(k.key), n.source) GROUP BY k.doc_id""",
     "config_headers": _with(config=views.oracle_text(views.MAPPING_CONFIG)) + """
         SELECT lower(source_dataset) AS source, input_column, arg_max(target_column, pos) AS target_column FROM config c
         WHERE source_dataset = (SELECT max(source_dataset) FROM config d WHERE lower(d.source_dataset) = lower(c.source_dataset)) GROUP BY ALL""",

@@ -72,6 +72,13 @@ SELECT doc_id,
 FROM {documents}
 """
 
+# A source of its own for every document: names nest (src1_1 in src1_10).
+MANY_KEYS = """
+SELECT doc_id, concat(source, '_', CAST(doc_id AS STRING)) AS source,
+  concat('raw/', upper(source), '_', CAST(doc_id AS STRING), '_reviews.csv') AS key
+FROM {documents}
+"""
+
 INDEX = """
 SELECT CAST(vec_id AS STRING) AS review_id, concat('r', CAST(label AS STRING)) AS restaurant_id,
   CAST(vec_id % 5 + 1 AS FLOAT) AS rating, embedding

@@ -17,6 +17,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot never compiles methods past 8000 bytes; better to leave whole-stage code
+    # generation for such a stage than to run it interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
