@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,13 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
     A cluster always names it. Only a local session may lack it, and then gets a
     temporary folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="reviewmill-", dir=os.environ.get("TMPDIR", "/tmp")))
-    return spark.conf.get("spark.checkpoint.dir")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reviewmill-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
