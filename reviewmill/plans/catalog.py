@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.contracts import FACT_SCHEMA, MAX_CHARS
 from reviewmill.functions.dates import is_iso_date, with_date
-from reviewmill.functions.ids import is_base64url, is_near_dup
+from reviewmill.functions.ids import base_id, is_base64url, is_near_dup
 from reviewmill.functions.numbers import derived_total, needs_total
 from reviewmill.functions.ratings import rating_outcome, with_rating
 from reviewmill.functions.text import one_line, split_list
@@ -18,8 +18,8 @@ from reviewmill.operators.context import answer_payload, context_blocks, with_do
 from reviewmill.operators.dimension import conform_dimension, name_dictionary, standardize_dimension
 from reviewmill.operators.embed import QUERY, hashing_vectors
 from reviewmill.operators.evaluate import latency_report, score_answers, summarize
-from reviewmill.operators.headers import header_maps, rating_divisors, rename_headers
-from reviewmill.operators.index import as_documents, chunks, increment_counts, new_documents
+from reviewmill.operators.headers import SourceConfig, header_maps, rating_divisors, rename_headers
+from reviewmill.operators.index import as_documents, chunks, ensure_index, increment_counts, new_documents
 from reviewmill.operators.reports import counted_with_sample
 from reviewmill.operators.routing import route_keys
 from reviewmill.operators.search import (
@@ -30,6 +30,7 @@ from reviewmill.plans import views
 from reviewmill.plans.facts import standardize_facts
 from reviewmill.plans.views import table, view
 from reviewmill.session import fresh_path
+from reviewmill.streaming.ingest import index_stream, ingest_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIVISOR = 2
@@ -460,6 +461,49 @@ def eval_latency(spark, sf):
     return latency_report(view(spark, sf, views.ANSWERS))
 
 
+# ---- streams ----
+
+STREAM_SOURCES = ("north", "south", "east", "west")
+
+
+ROWS_PER_FILE = 500_000
+
+
+def _staged_lake(spark, sf) -> tuple[str, list[str]]:
+    """The raw reviews as CSV files per source, all rows of an id in one file, in row order."""
+    root = fresh_path(spark, "lake")
+    raw = raw_reviews(spark, sf)
+    columns = [c for c in raw.columns if c not in ("source", "pos")]
+    slices = max(4, table(spark, sf, "events").count() // ROWS_PER_FILE)
+    (
+        raw.repartition(slices, "source", base_id(F.col("review_id"))).sortWithinPartitions("source", "pos")
+        .select("source", *columns).write.partitionBy("source")
+        .csv(f"{root}/raw", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    )
+    return root, columns
+
+
+def _ingested_lake(spark, sf) -> str:
+    root, columns = _staged_lake(spark, sf)
+    config = SourceConfig({s: {"rating": "rating"} for s in STREAM_SOURCES}, {s: DIVISOR for s in STREAM_SOURCES})
+    for source in STREAM_SOURCES:
+        ingest_source(spark, root, source, columns, config, f"{root}/checkpoints/{source}", multi_line=False).awaitTermination()
+    return root
+
+
+def stream_ingest(spark, sf):
+    """Raw files through the ingest streams into silver; a file is a unit of deduplication."""
+    silver = spark.read.parquet(f"{_ingested_lake(spark, sf)}/processed/facts").drop("file_key")
+    return _joined(silver, "review_date")
+
+
+def stream_index(spark, sf):
+    """Silver on through the index stream."""
+    root = _ingested_lake(spark, sf)
+    index_stream(spark, root, f"{root}/index", f"{root}/checkpoints/index").awaitTermination()
+    return _joined(ensure_index(spark, f"{root}/index").drop("embedding"), "review_date")
+
+
 def near_dup_check(spark, sf):
     """Near-duplicates per source, in raw."""
     return raw_reviews(spark, sf).groupBy("source").agg(F.count_if(is_near_dup(F.col("review_id"))).alias("near_dups"))
@@ -476,6 +520,6 @@ QUERIES: dict[str, Query] = {
         profile_text_length, restaurant_summary, docs_per_restaurant, knn_topk, knn_cutoff, knn_filtered, knn_balanced,
         knn_fallback, question_targets, question_targets_word, question_resolution, question_rejected,
         question_unknown_targets, context_blocks_query, answer_payloads, text_chunks, index_documents, index_increment,
-        index_counts, hash_embed, hash_retrieve, eval_keywords, eval_summary, eval_latency,
+        index_counts, hash_embed, hash_retrieve, eval_keywords, eval_summary, eval_latency, stream_ingest, stream_index,
     )
 }

@@ -439,6 +439,10 @@ SQL: dict[str, str] = {
           count(*) FILTER (NOT was_known AND NOT earlier AND NOT full_text) AS blank,
           (SELECT count(*) FROM typed WHERE review_id IS NULL OR review_id = '') AS missing_id,
           (SELECT count(*) FROM typed WHERE raw_rating NOT IN ('', 'nan') AND rating IS NULL) AS bad_rating FROM staged""",
+    "stream_ingest": _facts_text(False),
+    "stream_index": _with(**_facts()) + f"""
+        SELECT review_id, restaurant_id, CAST(rating AS FLOAT) AS rating, strftime(review_date, '%Y-%m-%d') AS review_date, review_text
+        FROM facts WHERE NOT ({_blank_text('review_text')})""",
     "eval_keywords": _with(**_SCORED) + " SELECT * FROM scored",
     "eval_summary": _with(**_SCORED) + """
         SELECT category, count(*) AS tests, count(*) FILTER (passed) AS passed, round(avg(passed::INT) * 100, 1) AS pass_rate FROM scored GROUP BY category""",

@@ -26,12 +26,12 @@ from reviewmill.sources.files import relative_key, with_lineage, write_dimension
 FILE_UNIT = ("source", "file_key")
 
 
-def _csv_stream(spark: SparkSession, root: str, pattern: str, columns: list[str], max_files: int | None, multi_line: bool) -> DataFrame:
+def _csv_stream(spark: SparkSession, root: str, columns: list[str], max_files: int | None, multi_line: bool) -> DataFrame:
     reader = (
         spark.readStream.format("csv")
         .schema(", ".join(f"`{c}` string" for c in columns))
         .options(header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8",
-                 enforceSchema=False, recursiveFileLookup=True, pathGlobFilter=pattern)
+                 enforceSchema=False, recursiveFileLookup=True)
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -49,10 +49,10 @@ def ingest_source(
     read again after repair. Files are deduplicated one by one, and a file arriving again
     under its key replaces its former result. Rows without an id go to quarantine.
     """
-    pattern = "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in source) + "*"
-    stream = _csv_stream(spark, root, pattern, columns, max_files, multi_line)
+    stream = _csv_stream(spark, root, columns, max_files, multi_line)
     key = relative_key(F.col("path"), root)
     # The longest configured name in the key decides, so a nested name leaves files to it.
+    # The filter reads the file path alone: files of other sources are pruned, not opened.
     mine = stream.filter((source_of(key, config.sources) == source) & ~is_reference_key(key))
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -68,7 +68,7 @@ def ingest_source(
 
 def ingest_dimension(spark: SparkSession, root: str, checkpoint: str, columns: list[str] | None = None) -> StreamingQuery:
     """Drain new dimension files; the latest file replaces the dimension."""
-    stream = _csv_stream(spark, root, "*", columns or list(RAW_REFERENCE_COLUMNS), 1, True)
+    stream = _csv_stream(spark, root, columns or list(RAW_REFERENCE_COLUMNS), 1, True)
     mine = stream.filter(is_reference_key(relative_key(F.col("path"), root)))
 
     def load(batch: DataFrame, batch_id: int) -> None:

@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import shutil
+
+import pytest
+
+from reviewmill.contracts import FACT_COLUMNS
+from reviewmill.operators.headers import SourceConfig
+from reviewmill.operators.index import ensure_index
+from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_source
+
+CONFIG = SourceConfig(
+    headers={"harbor": {"review_number": "review_id", "score": "rating", "words": "review_text"}, "harborside": {"id": "review_id"}},
+    divisors={"harbor": 2, "harborside": 1},
+)
+HEADER = ["review_number", "score", "words", "review_date"]
+
+
+def drop(root, name, rows):
+    folder = root / "raw"
+    folder.mkdir(exist_ok=True)
+    lines = [",".join(HEADER)] + [",".join(r) for r in rows]
+    (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def run(spark, root, **options):
+    query = ingest_source(spark, str(root), "harbor", HEADER, CONFIG, str(root / "checkpoint"), **options)
+    query.awaitTermination()
+    facts = spark.read.parquet(str(root / "processed/facts"))
+    return {(r["file_key"], r["review_id"]): (r["rating"], r["transaction_count"]) for r in facts.collect()}, facts
+
+
+def test_files_are_drained_once_and_replaced_by_key(spark, tmp_path):
+    drop(tmp_path, "harbor_1.csv", [("a", "8", "x", "2024-01-01"), ("a", "", "y", ""), ("a_copy", "2", "z", ""), ("", "2", "no id", "")])
+    drop(tmp_path, "Harbor_2.txt", [("a", "6", "other file", "2024-01-02")])
+    drop(tmp_path, "harborside_1.csv", [("left", "1", "for the longer name", "")])
+    drop(tmp_path, "harbor_reference.csv", [("dimension", "1", "x", "")])
+    rows, facts = run(spark, tmp_path, max_files=1)
+    assert rows == {("raw/harbor_1.csv", "a"): (4.0, 3), ("raw/Harbor_2.txt", "a"): (3.0, 1)}
+    assert set(facts.columns) == {*FACT_COLUMNS, "file_key"} and {r["restaurant_id"] for r in facts.collect()} == {"harbor"}
+    assert spark.read.parquet(str(tmp_path / "quarantine/rows")).count() == 1
+
+    drop(tmp_path, "harbor_3.csv", [("b", "10", "new", "")])
+    (tmp_path / "raw/harbor").mkdir()
+    drop(tmp_path, "harbor/reviews.csv", [("d", "2", "named by its folder", "")])
+    rows, _ = run(spark, tmp_path)
+    assert len(rows) == 4 and rows["raw/harbor/reviews.csv", "d"] == (1.0, 1)
+
+    # The same key with other content: its partition is replaced, the rest stays.
+    (tmp_path / "raw/harbor_1.csv").unlink()
+    shutil.rmtree(tmp_path / "checkpoint")
+    drop(tmp_path, "harbor_1.csv", [("c", "2", "again", "")])
+    rows, _ = run(spark, tmp_path)
+    assert rows == {("raw/harbor_1.csv", "c"): (1.0, 1), ("raw/Harbor_2.txt", "a"): (3.0, 1), ("raw/harbor_3.csv", "b"): (5.0, 1), ("raw/harbor/reviews.csv", "d"): (1.0, 1)}
+
+
+def test_bad_header_fails_the_batch_and_loses_nothing(spark, tmp_path):
+    drop(tmp_path, "harbor_1.csv", [("a", "8", "x", "")])
+    (tmp_path / "raw/harbor_2.csv").write_text("score,review_number,words,review_date\n8,b,x,\n")
+    with pytest.raises(Exception):
+        run(spark, tmp_path)
+    drop(tmp_path, "harbor_2.csv", [("b", "8", "x", "")])
+    rows, _ = run(spark, tmp_path)
+    assert {k[1] for k in rows} == {"a", "b"}
+
+
+def test_silver_flows_into_the_index(spark, tmp_path):
+    drop(tmp_path, "harbor_1.csv", [("a", "8", "first", "2024-01-01"), ("b", "8", "", "")])
+    run(spark, tmp_path)
+    index = str(tmp_path / "index")
+    index_stream(spark, str(tmp_path), index, str(tmp_path / "ic")).awaitTermination()
+    drop(tmp_path, "harbor_2.csv", [("a", "2", "second", ""), ("b", "4", "late text", "")])
+    run(spark, tmp_path)
+    for _ in range(2):
+        index_stream(spark, str(tmp_path), index, str(tmp_path / "ic"), max_files=1).awaitTermination()
+    table = {r["review_id"]: (r["review_text"], r["rating"], r["restaurant_id"]) for r in ensure_index(spark, index).collect()}
+    assert table == {"a": ("first", 4.0, "harbor"), "b": ("late text", 2.0, "harbor")}
+    # Redelivery of everything under a new checkpoint adds nothing.
+    index_stream(spark, str(tmp_path), index, str(tmp_path / "other")).awaitTermination()
+    assert ensure_index(spark, index).count() == 2
+
+
+def test_dimension_stream(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    header = "location,restaurant_name,original_city,address,categories,avg_stars,total_reviews\n"
+    (tmp_path / "raw/all_restaurant_info.csv").write_text(header + 'Harbor,Blue,Town,1 Pier,"a, b",4.0,1\n')
+    drop(tmp_path, "harbor_1.csv", [("a", "8", "x", "")])
+    ingest_dimension(spark, str(tmp_path), str(tmp_path / "dc")).awaitTermination()
+    row = spark.read.parquet(str(tmp_path / "processed/reference")).first()
+    assert row["restaurant_id"] == "harbor" and row["categories"] == ["a", "b"]
