@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 def duplicate_fanout(raw: DataFrame, attributes: tuple[str, ...]) -> DataFrame:
     """Per source and rows-per-id: how many ids, and in how many each attribute disagrees.
 
-    Disagreement is min against max, which needs one pass and no distinct sets.
+    Disagreement is min against max, which needs one pass and no distinct sets. Texts are
+    compared by 64-bit hash, so aggregation buffers stay fixed-width and texts stay home.
     """
+    types = dict(raw.dtypes)
+
+    def value(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.xxhash64(c)) if types[c] == "string" else F.col(c)
+
     per_id = raw.groupBy("source", "review_id").agg(
         F.count(F.lit(1)).alias("rows_per_id"),
-        *[(F.min(c) != F.max(c)).alias(f"conflict_{c}") for c in attributes],
+        *[(F.min(value(c)) != F.max(value(c))).alias(f"conflict_{c}") for c in attributes],
     )
     return per_id.groupBy("source", "rows_per_id").agg(
         F.count(F.lit(1)).alias("ids"),

@@ -38,6 +38,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), int(lengths[0]))
 
 
+def _rows_by_name(column: pa.Array) -> tuple[pa.Array, dict[str | None, np.ndarray]]:
+    """The names, and the row numbers of each name present in the batch."""
+    encoded = column.dictionary_encode()
+    codes = encoded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    order = np.argsort(codes, kind="stable")
+    values = encoded.dictionary.to_pylist()
+    edges = np.searchsorted(codes[order], np.arange(len(values) + 1))
+    return column, {name: order[edges[i]:edges[i + 1]] for i, name in enumerate(values)}
+
+
 def _scorer(searches: pa.Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Arrow batch function: reviews in, the task's best hits per search out."""
     matrix = _matrix(searches.column("embedding").combine_chunks())
@@ -55,12 +65,11 @@ def _scorer(searches: pa.Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             if batch.num_rows == 0:
                 continue
             vectors = _matrix(batch.column("embedding"))
-            ids = batch.column("review_id").to_pylist()
-            restaurants = np.asarray(batch.column("restaurant_id").to_pylist(), dtype=object)
-            everything = np.arange(len(ids))
+            ids = batch.column("review_id")
+            names, rows_of = _rows_by_name(batch.column("restaurant_id"))
             for target, block in blocks:
-                rows = everything if target is None else np.flatnonzero(restaurants == target)
-                if not len(rows):
+                rows = np.arange(batch.num_rows) if target is None else rows_of.get(target)
+                if rows is None:
                     continue
                 scores = np.round(vectors[rows] @ matrix[block].T, SCORE_DECIMALS)
                 candidate = scores >= floors[block]
@@ -71,10 +80,12 @@ def _scorer(searches: pa.Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                     kth = np.partition(scores[:, heavy], depth, axis=0)[depth]
                     candidate[:, heavy] &= scores[:, heavy] >= kth
                 columns, hits = np.nonzero(candidate.T)
+                starts = np.searchsorted(columns, np.arange(len(block) + 1))
                 for j in np.unique(columns):
-                    search = block[j]
-                    fresh = [(float(scores[r, j]), ids[rows[r]], restaurants[rows[r]]) for r in hits[columns == j]]
-                    best = sorted(kept[search] + fresh, key=lambda h: (-h[0], h[1]))[: ks[search]]
+                    search, at = block[j], hits[starts[j]:starts[j + 1]]
+                    best_ids = ids.take(pa.array(rows[at])).to_pylist()
+                    fresh = zip(scores[at, j].tolist(), best_ids, names.take(pa.array(rows[at])).to_pylist())
+                    best = sorted([*kept[search], *fresh], key=lambda h: (-h[0], h[1]))[: ks[search]]
                     kept[search] = best
                     if len(best) == ks[search]:
                         floors[search] = best[-1][0]

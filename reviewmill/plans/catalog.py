@@ -426,14 +426,12 @@ def hash_embed(spark, sf):
 
 
 def hash_retrieve(spark, sf):
-    """User turns as questions against the embedded documents, end to end."""
+    """A fixed set of questions in words against the embedded documents, end to end."""
     docs = table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("review_id"), F.col("source").alias("restaurant_id"), "text"
     )
-    turns = table(spark, sf, "conversations").filter("role = 'user'").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("q_id"), F.col("text").alias("question")
-    )
-    questions = hashing_vectors(turns, "question", QUERY, 256).withColumn("targets", F.array().cast("array<string>"))
+    asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("q_id"), F.col("text").alias("question"))
+    questions = hashing_vectors(asked, "question", QUERY, 256).withColumn("targets", F.array().cast("array<string>"))
     return retrieve(hashing_vectors(docs, "text", dim=256), questions)
 
 

@@ -16,6 +16,9 @@ from reviewmill.operators.headers import SourceConfig, conform_raw, rename_heade
 from reviewmill.operators.routing import decode_key, is_reference_key, processed_key, source_of
 
 
+LARGE_FILE = 256 << 20
+
+
 def read_mapping_config(spark: SparkSession, path: str) -> DataFrame:
     """Mapping config with its row order in ``pos``; a malformed row fails the read."""
     return (
@@ -36,12 +39,12 @@ def relative_key(path: Column, root: str) -> Column:
 
 
 def list_keys(spark: SparkSession, root: str, prefix: str = "raw/") -> DataFrame:
-    """``path, file_key`` of every file under a prefix; contents are not read."""
+    """``path, length, file_key`` of every file under a prefix; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(f"{root.rstrip('/')}/{prefix}")
-        .select("path", relative_key(F.col("path"), root).alias("file_key"))
+        .select("path", "length", relative_key(F.col("path"), root).alias("file_key"))
     )
 
 
@@ -65,18 +68,26 @@ def read_raw_csv(spark: SparkSession, paths: str | Iterable[str], multi_line: bo
     )
 
 
+def spans_lines(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether a quoted cell runs over a line break: some line then holds an odd number of quotes."""
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    return not spark.read.text(paths).filter(odd).isEmpty()
+
+
 def read_facts(
-    spark: SparkSession, root: str, config: SourceConfig, multi_line: bool = True
+    spark: SparkSession, root: str, config: SourceConfig, multi_line: bool | None = None, large: int = LARGE_FILE
 ) -> tuple[DataFrame | None, DataFrame | None, list[str], dict[str, list[str]]]:
     """Every raw file below ``root``, routed by key.
 
     Returns the unioned raw facts (contract columns, ``source, file_key, pos`` and
     ``has_id``), the raw dimension, the keys without a known source, and the configured
     headers a source lacks. Only file paths come to the driver, as any listing does.
+    With ``multi_line`` left open, a source with a large file is read in splits unless a
+    scan of its lines finds a cell that needs the file whole.
     """
     listing = list_keys(spark, root)
     routed = listing.select(
-        "path", "file_key",
+        "path", "length", "file_key",
         is_reference_key(F.col("file_key")).alias("is_reference"),
         source_of(F.col("file_key"), config.sources).alias("source"),
     ).collect()
@@ -84,15 +95,19 @@ def read_facts(
     dimension_paths = sorted(r["path"] for r in routed if r["is_reference"])
     facts, absent = None, {}
     for source in config.sources:
-        paths = sorted(r["path"] for r in routed if not r["is_reference"] and r["source"] == source)
+        mine = [r for r in routed if not r["is_reference"] and r["source"] == source]
+        paths = sorted(r["path"] for r in mine)
         if not paths:
             continue
-        raw, missing = rename_headers(read_raw_csv(spark, paths, multi_line), config.headers[source])
+        whole = multi_line
+        if whole is None:
+            whole = max(r["length"] for r in mine) <= large or spans_lines(spark, paths)
+        raw, missing = rename_headers(read_raw_csv(spark, paths, whole), config.headers[source])
         if missing:
             absent[source] = missing
         part = with_lineage(raw, root, source)
         facts = part if facts is None else facts.unionByName(part)
-    dimension = read_raw_csv(spark, dimension_paths, multi_line) if dimension_paths else None
+    dimension = read_raw_csv(spark, dimension_paths) if dimension_paths else None
     return facts, dimension, unknown, absent
 
 

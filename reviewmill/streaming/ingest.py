@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,10 +58,15 @@ def ingest_source(
     def load(batch: DataFrame, batch_id: int) -> None:
         renamed, _ = rename_headers(batch.withColumn("pos", F.monotonically_increasing_id()), config.headers[source])
         raw = with_lineage(renamed, root, source)
+        lost = None
+        if "review_id" in renamed.columns:
+            # Counted while the facts are written, so the batch is read again only for rows to set aside.
+            lost = Observation()
+            raw = raw.drop("has_id").observe(lost, F.count_if(F.col("review_id").isNull()).alias("rows"))
         facts = standardize_facts(raw, F.lit(config.divisors.get(source, 1)), unit=FILE_UNIT)
         write_silver(facts, f"{root}/processed/facts", ("restaurant_id", "file_key"))
-        if "review_id" in renamed.columns:
-            write_silver(without_id(raw.drop("has_id")), f"{root}/quarantine/rows", ("source", "file_key"))
+        if lost is not None and lost.get["rows"]:
+            write_silver(without_id(with_lineage(renamed, root, source).drop("has_id")), f"{root}/quarantine/rows", ("source", "file_key"))
 
     return _drain(mine, load, checkpoint)
 

@@ -12,7 +12,7 @@ from reviewmill.operators.headers import SourceConfig, schema_issues
 from reviewmill.operators.routing import route_keys
 from reviewmill.plans.facts import standardize_facts
 from reviewmill.sources.files import (
-    export_csv, load_config, read_cases, read_facts, read_mapping_config, read_raw_csv, write_silver,
+    export_csv, load_config, read_cases, read_facts, read_mapping_config, read_raw_csv, spans_lines, write_silver,
 )
 
 CONFIG = """source_dataset;input_column;target_column;rating_divisor
@@ -110,6 +110,16 @@ def test_row_order_without_multi_line(spark, tmp_path):
     assert [r["n"] for r in rows] == [str(i) for i in range(5000)]
 
 
+def test_line_check(spark, lake, tmp_path):
+    (tmp_path / "flat.csv").write_text('a,b\n"x, ""y""",2\n')
+    assert not spans_lines(spark, [str(tmp_path / "flat.csv")])
+    assert spans_lines(spark, [str(lake / "raw/2024 spring/all_harbor_reviews.csv")])
+    config = load_config(spark, str(lake / "mapping.csv"))
+    whole = standardize_facts(read_facts(spark, str(lake), config)[0], F.lit(1)).orderBy("review_id").collect()
+    checked = standardize_facts(read_facts(spark, str(lake), config, large=0)[0], F.lit(1)).orderBy("review_id").collect()
+    assert whole == checked
+
+
 def test_silver_replaces_only_what_it_writes(spark, tmp_path):
     path = str(tmp_path / "silver")
     frame = spark.createDataFrame([("a", 1), ("b", 2)], "restaurant_id string, v int")
