@@ -83,8 +83,12 @@ def increment_counts(rows: DataFrame, indexed: DataFrame, order: Sequence[str] =
         F.count_if(F.col("review_id").isNull() | (F.col("review_id") == "")).alias("missing_id"),
         F.count_if(unreadable).alias("bad_rating"),
     )
-    one_row = [f.withColumn("_one", F.lit(1)) for f in (ids, late, totals)]
-    merged = one_row[0].join(one_row[1], "_one").join(one_row[2], "_one")
+    # Three single-row results become one by summing their union; no join of constants.
+    names = ("indexed", "skipped", "blank", "late", "missing_id", "bad_rating")
+    rows_of_one = [
+        f.select(*[(F.col(n) if n in f.columns else F.lit(0)).cast("bigint").alias(n) for n in names]) for f in (ids, late, totals)
+    ]
+    merged = rows_of_one[0].unionByName(rows_of_one[1]).unionByName(rows_of_one[2]).agg(*[F.sum(n).alias(n) for n in names])
     return merged.select(
         "indexed", (F.col("skipped") + F.col("late")).alias("skipped"), (F.col("blank") - F.col("late")).alias("blank"),
         "missing_id", "bad_rating",

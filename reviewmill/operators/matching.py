@@ -36,7 +36,8 @@ def _signed(entries: DataFrame, entry: str) -> DataFrame:
     )
 
 
-def _held(text: Column, entry: Column, word: bool) -> Column:
+def holds(text: Column, entry: Column, word: bool = False) -> Column:
+    """Whether the entry occurs in the text, on request between word boundaries only."""
     held = F.contains(text, entry)
     if word:
         literal = F.concat(F.lit(r"\Q"), F.replace(entry, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
@@ -60,12 +61,12 @@ def match_substrings(
     few = distinct.limit(literal_limit + 1).collect()
     if len(few) <= literal_limit:
         known = F.array(*[F.lit(r[0]) for r in few]).cast("array<string>")
-        found = F.filter(known, lambda e: _held(F.col(text), e, word))
+        found = F.filter(known, lambda e: holds(F.col(text), e, word))
         return texts.select(text_id, F.explode(found).alias(entry))
 
     signed = _signed(distinct, entry)
     widths = F.concat(*[F.coalesce(_pieces(F.col(text), w), F.array().cast("array<string>")) for w in range(1, PIECE + 1)])
-    held = _held(F.col(text), F.col(entry), word)
+    held = holds(F.col(text), F.col(entry), word)
     local = small_copy(signed)
     if local is not None:
         exploded = texts.select(text_id, text, F.explode(widths).alias("piece"))

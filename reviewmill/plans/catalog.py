@@ -25,7 +25,7 @@ from reviewmill.operators.routing import route_keys
 from reviewmill.operators.search import (
     apply_cutoff, best_hits, hit_bound, plan_searches, retrieve,
 )
-from reviewmill.operators.targets import payload_ids, resolve_targets, split_questions, text_targets, unknown_targets
+from reviewmill.operators.targets import add_text_targets, payload_ids, resolve_targets, split_questions, unknown_targets
 from reviewmill.plans import views
 from reviewmill.plans.facts import standardize_facts
 from reviewmill.plans.views import table, view
@@ -348,24 +348,29 @@ def _text_questions(spark, sf):
     return raw.select("q_id", "question", payload_ids(F.col("payload_id"), several).alias("payload_ids"))
 
 
-def _found(spark, sf, match="substring"):
+def _found(spark, sf, match="substring") -> tuple[DataFrame, DataFrame]:
+    """Valid questions with their text targets, and the known restaurants."""
     known = standardize_dimension(view(spark, sf, views.NATION_DIMENSION))
     tags = known.select(F.col("restaurant_id").alias("tag"))
     valid, _ = split_questions(_text_questions(spark, sf))
-    return valid, text_targets(valid, name_dictionary(known, "pos"), tags, match), known
+    return add_text_targets(valid, name_dictionary(known, "pos"), tags, match), known
+
+
+def _targets_text(found: DataFrame) -> DataFrame:
+    return _joined(found.filter(F.size("text_targets") > 0).select("q_id", "text_targets"), "text_targets")
 
 
 def question_targets(spark, sf):
-    return _joined(_found(spark, sf)[1], "text_targets")
+    return _targets_text(_found(spark, sf)[0])
 
 
 def question_targets_word(spark, sf):
-    return _joined(_found(spark, sf, "word")[1], "text_targets")
+    return _targets_text(_found(spark, sf, "word")[0])
 
 
 def question_resolution(spark, sf):
-    valid, found, _ = _found(spark, sf)
-    return _joined(resolve_targets(valid, found), "targets").select("q_id", "question", "origin", "targets")
+    found, _ = _found(spark, sf)
+    return _joined(resolve_targets(found), "targets").select("q_id", "question", "origin", "targets")
 
 
 def question_rejected(spark, sf):
@@ -373,8 +378,8 @@ def question_rejected(spark, sf):
 
 
 def question_unknown_targets(spark, sf):
-    valid, found, known = _found(spark, sf)
-    return unknown_targets(resolve_targets(valid, found), known)
+    found, known = _found(spark, sf)
+    return unknown_targets(resolve_targets(found), known)
 
 
 def _document_index(spark, sf) -> DataFrame:
@@ -484,8 +489,12 @@ def _staged_lake(spark, sf) -> tuple[str, list[str]]:
 def _ingested_lake(spark, sf) -> str:
     root, columns = _staged_lake(spark, sf)
     config = SourceConfig({s: {"rating": "rating"} for s in STREAM_SOURCES}, {s: DIVISOR for s in STREAM_SOURCES})
-    for source in STREAM_SOURCES:
-        ingest_source(spark, root, source, columns, config, f"{root}/checkpoints/{source}", multi_line=False).awaitTermination()
+    running = [
+        ingest_source(spark, root, source, columns, config, f"{root}/checkpoints/{source}", multi_line=False)
+        for source in STREAM_SOURCES
+    ]
+    for query in running:
+        query.awaitTermination()
     return root
 
 

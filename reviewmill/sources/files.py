@@ -13,7 +13,7 @@ from reviewmill.contracts import (
 from reviewmill.functions.text import na_to_null
 from reviewmill.operators.dimension import categories_json
 from reviewmill.operators.headers import SourceConfig, conform_raw, rename_headers
-from reviewmill.operators.routing import decode_key, is_reference_key, processed_key, source_of
+from reviewmill.operators.routing import decode_key, is_reference_key, source_of
 
 
 LARGE_FILE = 256 << 20
@@ -151,8 +151,11 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.select(*columns).write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="")
 
 
-def export_key(file_key: Column) -> Column:
-    return processed_key(file_key)
+def save_results(results: DataFrame, path: str, run: str) -> None:
+    """Keep the result table of a check or evaluation run beside those of other runs."""
+    results.withColumn("run", F.lit(run)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("run").parquet(path)
 
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.operators.evaluate import latency_report, score_answers, summarize
-from reviewmill.operators.targets import payload_ids, resolve_targets, split_questions, text_targets, unknown_targets
+from reviewmill.operators.targets import add_text_targets, payload_ids, resolve_targets, split_questions, unknown_targets
 
 NAMES = [("village inn", "downtown"), ("luke", "midtown")]
 TAGS = ["downtown", "midtown", "uptown"]
@@ -19,17 +20,19 @@ def questions(spark):
     return frame.select("q_id", "question", payload_ids(F.col("one"), F.col("many")).alias("payload_ids"), "many")
 
 
-def test_targets(spark):
+@pytest.mark.parametrize("limit", [0, 128])
+def test_targets(spark, limit):
     valid, rejected = split_questions(questions(spark))
     assert sorted(r["q_id"] for r in rejected.collect()) == [7, 8]
     names = spark.createDataFrame(NAMES, "name string, restaurant_id string")
     tags = spark.createDataFrame([(t,) for t in TAGS], "tag string")
-    found = text_targets(valid, names, tags)
+    found = add_text_targets(valid, names, tags, literal_limit=limit)
     assert {r["q_id"]: r["text_targets"] for r in found.collect()} == {
-        1: ["downtown"], 2: ["downtown", "uptown"], 3: ["midtown"], 5: ["uptown"], 6: ["uptown"], 9: ["uptown"]
+        1: ["downtown"], 2: ["downtown", "uptown"], 3: ["midtown"], 4: [], 5: ["uptown"], 6: ["uptown"], 9: ["uptown"]
     }
-    assert 3 not in {r["q_id"] for r in text_targets(valid, names, tags, "word").collect()}
-    resolved = resolve_targets(valid, found)
+    words = add_text_targets(valid, names, tags, "word", literal_limit=limit)
+    assert words.filter("q_id = 3").first()["text_targets"] == []
+    resolved = resolve_targets(found)
     assert {r["q_id"]: (r["origin"], r["targets"]) for r in resolved.collect()} == {
         1: ("text", ["downtown"]), 2: ("text", ["downtown", "uptown"]), 3: ("text", ["midtown"]), 4: ("payload", ["Uptown", "nowhere"]),
         5: ("text", ["uptown"]), 6: ("payload", ["midtown"]), 9: ("payload", ["a", "a"]),
@@ -39,10 +42,9 @@ def test_targets(spark):
 
 
 def test_empty_list_may_clear_targets(spark):
-    frame = spark.createDataFrame([(1, "uptown", [])], "q_id bigint, question string, payload_ids array<string>")
-    found = spark.createDataFrame([(1, ["uptown"])], "q_id bigint, text_targets array<string>")
-    assert resolve_targets(frame, found).first()["targets"] == ["uptown"]
-    assert resolve_targets(frame, found, empty_is_absent=False).first()["targets"] == []
+    frame = spark.createDataFrame([(1, ["uptown"], [])], "q_id bigint, text_targets array<string>, payload_ids array<string>")
+    assert resolve_targets(frame).first()["targets"] == ["uptown"]
+    assert resolve_targets(frame, empty_is_absent=False).first()["targets"] == []
 
 
 def test_scores(spark):
