@@ -383,10 +383,9 @@ SQL: dict[str, str] = {
         raw=RAW, endings="SELECT source, CAST(CAST(total_spent AS DECIMAL(18,2)) * 100 AS BIGINT) % 100 AS cents, count(*) AS n FROM raw WHERE total_spent IS NOT NULL GROUP BY ALL",
         totals="SELECT source, sum(n) AS total FROM endings GROUP BY source",
     ) + """
-        SELECT source, max(total)::BIGINT AS n_rows, count(n) AS endings,
+        SELECT t.source, max(total)::BIGINT AS n_rows, count(n) AS endings,
           round(sum(power(coalesce(n, 0) - total / 100.0, 2) / (total / 100.0)), 4) AS chi_square
-        FROM totals CROSS JOIN range(0, 100) t(c) LEFT JOIN endings e USING (source) WHERE e.cents = c GROUP BY source
-        """,
+        FROM (SELECT * FROM totals, range(0, 100) r(c)) t LEFT JOIN endings e ON e.source = t.source AND e.cents = t.c GROUP BY t.source""",
     "profile_text_length": _with(docs=_DOCS) + """
         SELECT restaurant_id, count(review_text) AS texts, count(*) FILTER (length(review_text) > 2000) AS over_limit,
           round(avg((length(review_text) > 2000)::INT), 6) AS over_limit_share, max(length(review_text))::INT AS longest FROM docs GROUP BY restaurant_id""",
