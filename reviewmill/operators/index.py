@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,16 +96,16 @@ def increment_counts(rows: DataFrame, indexed: DataFrame, order: Sequence[str] =
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def ensure_index(spark: SparkSession, path: str) -> DataFrame:
     """Open the index, creating an empty one with the fixed schema on first use."""
-    if not _exists(spark, path):
-        spark.createDataFrame([], INDEX_SCHEMA).write.mode("ignore").parquet(path)
-    return spark.read.schema(INDEX_SCHEMA).parquet(path)
+    reader = spark.read.schema(INDEX_SCHEMA)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([], INDEX_SCHEMA).write.mode("ignore").parquet(path)
+    return reader.parquet(path)
 
 
 def append_documents(rows: DataFrame, path: str, order: Sequence[str] = ("pos",), load: Callable | None = None) -> None:

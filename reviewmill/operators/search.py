@@ -118,23 +118,22 @@ def best_hits(index: DataFrame, searches: DataFrame, max_bytes: int = SEARCH_BYT
     spark = index.sparkSession
     reviews = index.select("review_id", "restaurant_id", "embedding").filter(F.col("embedding").isNotNull())
     slim = searches.select(*SEARCH_COLUMNS).filter(F.col("embedding").isNotNull())
-    stats = slim.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim"), F.max("k").alias("k")
-    ).first()
-    if not stats["n"]:
+    probe = slim.limit(1).toArrow()
+    if not probe.num_rows:
         return spark.createDataFrame([], HIT_COLUMNS + ", rank int")
-    slices = -(-stats["n"] * (8 * stats["dim"] + 256) // max_bytes)
-    if slices == 1:
-        local = _one_pass(reviews, slim.toArrow())
-    else:
-        path = fresh_path(spark, "hits")
-        cut = slim.withColumn("_slice", F.pmod(F.xxhash64("q_id", "target_no"), F.lit(slices)))
-        for i in range(slices):
-            part = cut.filter(F.col("_slice") == i).drop("_slice").toArrow()
-            if part.num_rows:
-                _ranked(_one_pass(reviews, part), stats["k"]).drop("rank").write.mode("append").parquet(path)
-        local = spark.read.schema(HIT_COLUMNS).parquet(path)
-    return _ranked(local, stats["k"])
+    bound = max(1, max_bytes // (8 * len(probe.column("embedding")[0]) + 256))
+    first = slim.limit(bound + 1).toArrow()
+    if first.num_rows <= bound:
+        return _ranked(_one_pass(reviews, first), max(first.column("k").to_pylist()))
+    stats = slim.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k")).first()
+    slices = 2 * -(-stats["n"] // bound)  # twice as many as fit, since hash slices vary in size
+    path = fresh_path(spark, "hits")
+    cut = slim.withColumn("_slice", F.pmod(F.xxhash64("q_id", "target_no"), F.lit(slices)))
+    for i in range(slices):
+        part = cut.filter(F.col("_slice") == i).drop("_slice").toArrow()
+        if part.num_rows:
+            _ranked(_one_pass(reviews, part), stats["k"]).drop("rank").write.mode("append").parquet(path)
+    return _ranked(spark.read.schema(HIT_COLUMNS).parquet(path), stats["k"])
 
 
 def _ranked(hits: DataFrame, deepest: int) -> DataFrame:

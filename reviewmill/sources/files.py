@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,10 +33,15 @@ def load_config(spark: SparkSession, path: str) -> SourceConfig:
     return SourceConfig.from_frame(read_mapping_config(spark, path))
 
 
-def relative_key(path: Column, root: str) -> Column:
-    """Key below the lake root, as ``raw/...``; file URIs arrive URL-encoded."""
-    clean = F.regexp_replace(decode_key(F.replace(path, F.lit("+"), F.lit("%2B"))), r"^file:/*", "/")
-    return F.replace(clean, F.lit(root.rstrip("/") + "/"), F.lit(""))
+# Scheme and authority of a file URI; what follows is the path.
+AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?"
+
+
+def relative_key(uri: Column, root: str) -> Column:
+    """Key below the lake root, as ``raw/...``, from an encoded file URI."""
+    start = re.sub(AUTHORITY, "", root.rstrip("/")) + "/"
+    path = F.regexp_replace(decode_key(F.replace(uri, F.lit("+"), F.lit("%2B"))), AUTHORITY, "")
+    return F.when(F.startswith(path, F.lit(start)), F.substring(path, len(start) + 1, 1 << 20)).otherwise(path)
 
 
 def list_keys(spark: SparkSession, root: str, prefix: str = "raw/") -> DataFrame:
@@ -44,7 +50,7 @@ def list_keys(spark: SparkSession, root: str, prefix: str = "raw/") -> DataFrame
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(f"{root.rstrip('/')}/{prefix}")
-        .select("path", "length", relative_key(F.col("path"), root).alias("file_key"))
+        .select("path", "length", relative_key(F.col("_metadata.file_path"), root).alias("file_key"))
     )
 
 

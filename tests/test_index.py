@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import regex
 
 from reviewmill.contracts import EMBEDDING_DIM, INDEX_SCHEMA
 from reviewmill.operators.embed import QUERY, embed, hashing_vectors
@@ -87,6 +88,52 @@ def test_hashing_vectors(spark):
     assert np.array_equal(v[3], v[4]) and not np.array_equal(q[3], q[4])
 
 
+def murmur3(data: bytes, seed: int = 42) -> int:
+    """The published 32-bit hash, by the book."""
+    def mix(k):
+        k = k * 0xCC9E2D51 & 0xFFFFFFFF
+        k = (k << 15 | k >> 17) & 0xFFFFFFFF
+        return k * 0x1B873593 & 0xFFFFFFFF
+
+    h, whole = seed, len(data) // 4 * 4
+    for i in range(0, whole, 4):
+        h ^= mix(int.from_bytes(data[i:i + 4], "little"))
+        h = ((h << 13 | h >> 19) * 5 + 0xE6546B64) & 0xFFFFFFFF
+    if data[whole:]:
+        h ^= mix(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+    h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def brute_vector(text, dim, limit):
+    v = np.zeros(dim)
+    for word in regex.findall(r"[\p{L}\p{N}]+", (text[:limit] if limit else text).lower()):
+        v[murmur3(word.encode()) % dim] += 1
+    norm = np.linalg.norm(v)
+    return v / norm if norm else v
+
+
+def test_catalogue_vectors_against_brute_force(spark, sf_dir):
+    from reviewmill.plans.catalog import hash_embed, hash_retrieve, table
+    texts = {r["doc_id"]: r["text"] for r in table(spark, sf_dir, "documents").collect()}
+    got = {r["doc_id"]: np.array(r["embedding"]) for r in hash_embed(spark, sf_dir).collect()}
+    assert set(got) == set(texts)
+    assert all(np.allclose(got[i], brute_vector(t, EMBEDDING_DIM, 2000), atol=1e-6) for i, t in texts.items())
+
+    docs = {str(i): brute_vector(t, 256, 2000).astype(np.float32).astype(np.float64) for i, t in texts.items()}
+    hits = hash_retrieve(spark, sf_dir).collect()
+    for r in table(spark, sf_dir, "benchmark").collect():
+        q = brute_vector(r["text"], 256, None).astype(np.float32).astype(np.float64)
+        scores = {i: float(np.round(v @ q, 6)) for i, v in docs.items()}
+        best = sorted(scores.values(), reverse=True)[:5]
+        mine = sorted((h for h in hits if h["q_id"] == r["item_id"]), key=lambda h: h["rank"])
+        assert np.allclose([h["score"] for h in mine], [s for s in best if s >= 0.7 * best[0] - 1e-6], atol=2e-6)
+        assert np.allclose([scores[h["review_id"]] for h in mine], [h["score"] for h in mine], atol=2e-6)
+
+
 def test_model_failures_stay_local(spark):
     def load():
         def model(texts, mode):
