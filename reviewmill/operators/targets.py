@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.contracts import KNOWN_TAGS, MISSING_QUESTION_ERROR
 from reviewmill.functions.text import strip
 from reviewmill.operators.matching import LITERAL_LIMIT, holds, match_substrings
 
 
 def split_questions(questions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Questions with text, stripped, and the rejected rest."""
+    """Questions with text, stripped, and the rejected rest with ``error``."""
     stripped = questions.withColumn("question", F.coalesce(strip(F.col("question")), F.lit("")))
-    return stripped.filter(F.col("question") != ""), stripped.filter(F.col("question") == "")
+    rejected = stripped.filter(F.col("question") == "").withColumn("error", F.lit(MISSING_QUESTION_ERROR))
+    return stripped.filter(F.col("question") != ""), rejected
+
+
+def known_tags(spark: SparkSession) -> DataFrame:
+    """The restaurant tags recognised in questions whatever the dimension says."""
+    return spark.createDataFrame([(t,) for t in KNOWN_TAGS], "tag string")
 
 
 def add_text_targets(

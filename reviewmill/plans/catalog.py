@@ -27,6 +27,7 @@ from reviewmill.operators.search import (
 )
 from reviewmill.operators.targets import add_text_targets, payload_ids, resolve_targets, split_questions, unknown_targets
 from reviewmill.plans import views
+from reviewmill.plans.answers import answer_questions
 from reviewmill.plans.facts import standardize_facts
 from reviewmill.plans.views import table, view
 from reviewmill.session import fresh_path
@@ -374,7 +375,7 @@ def question_resolution(spark, sf):
 
 
 def question_rejected(spark, sf):
-    return split_questions(_text_questions(spark, sf))[1].select("q_id", "question")
+    return split_questions(_text_questions(spark, sf))[1].select("q_id", "question", "error")
 
 
 def question_unknown_targets(spark, sf):
@@ -404,6 +405,24 @@ def answer_payloads(spark, sf):
     return payload.select("q_id", "prompt", "answer", sources.alias("sources"))
 
 
+def question_answers(spark, sf):
+    """A question per nation, naming a document source, answered from the embedded documents."""
+    docs = table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("review_id"), F.col("source").alias("restaurant_id"),
+        F.lit(None).cast("float").alias("rating"), F.col("text").alias("review_text"),
+    )
+    sources = table(spark, sf, "documents").select("source").distinct()
+    restaurants = sources.select(F.concat(F.lit("House of "), "source").alias("restaurant_name"), F.col("source").alias("restaurant_id"))
+    key = F.col("n_nationkey")
+    questions = table(spark, sf, "nation").select(
+        key.cast("bigint").alias("q_id"), F.format_string("What about src%d and the waiting?", key).alias("question"),
+        F.when(key % 5 == 0, F.lit("src0")).alias("restaurant_id"), F.lit(None).cast("array<string>").alias("restaurant_ids"),
+    )
+    index = hashing_vectors(docs, "review_text", dim=256)
+    tags = sources.select(F.col("source").alias("tag"))
+    return answer_questions(questions, index, restaurants, tags, dim=256)
+
+
 # ---- index ----
 
 def text_chunks(spark, sf):
@@ -526,7 +545,8 @@ QUERIES: dict[str, Query] = {
         profile_fanout, profile_tips, profile_domain_gaps, profile_spend, profile_overlap, profile_cents,
         profile_text_length, restaurant_summary, docs_per_restaurant, knn_topk, knn_cutoff, knn_filtered, knn_balanced,
         knn_fallback, question_targets, question_targets_word, question_resolution, question_rejected,
-        question_unknown_targets, context_blocks_query, answer_payloads, text_chunks, index_documents, index_increment,
+        question_unknown_targets, context_blocks_query, answer_payloads,
+        question_answers, text_chunks, index_documents, index_increment,
         index_counts, hash_embed, hash_retrieve, eval_keywords, eval_summary, eval_latency, stream_ingest, stream_index,
     )
 }

@@ -412,7 +412,7 @@ SQL: dict[str, str] = {
         SELECT q_id, array_to_string(list_sort(list(DISTINCT restaurant_id)), '|') AS text_targets FROM valid, entries
         WHERE contains(' ' || regexp_replace(text, '[^\p{L}\p{N}_]', ' ', 'g') || ' ', ' ' || name || ' ') GROUP BY q_id""",
     "question_resolution": _with(**_FOUND) + " SELECT q_id, question, origin, array_to_string(targets, '|') AS targets FROM resolved",
-    "question_rejected": _with(**_QUESTIONS) + " SELECT q_id, question FROM questions WHERE question = ''",
+    "question_rejected": _with(**_QUESTIONS) + """ SELECT q_id, question, 'Missing "question" in request body.' AS error FROM questions WHERE question = ''""",
     "question_unknown_targets": _with(**_FOUND) + f"""
         SELECT DISTINCT q_id, target FROM (SELECT q_id, unnest(targets) AS target FROM resolved)
         WHERE lower(target) NOT IN (SELECT lower(location) FROM ({_NATIONS}))""",
