@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 MAX_VOCABULARY_BYTES = 64 << 20  # checked before the vocabulary is broadcast
 BLOCK_CHARS = 1 << 18  # texts are encoded in blocks of about this many characters
 BLOCK_PIECES = 1 << 16
-MEMO_PIECES = 1 << 18  # bound of the per-task memo of resolved pre-tokens; it is emptied when full
+MEMO_PIECES = 400_000  # bound of each of the two memos of a task; they are emptied when full
 _ID = np.dtype("<u4")
 
 
@@ -121,22 +121,32 @@ def heap_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Encoder:
-    """Pre-token to ids, as packed little-endian 32-bit numbers; lives as long as a task."""
+    """Texts to ids, as packed little-endian 32-bit numbers; lives as long as a task.
+
+    Where a single space stands before anything but white space, a pre-token begins whatever comes before or after,
+    so texts are cut there first and each distinct part is matched once per block. The memos only keep results of the
+    two tiers; they are bounded and start anew when full.
+    """
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.pattern = regex.compile(pattern)
+        self.blank_first = regex.compile(r"\s").match
         self.ranks = {token: rank for rank, token in enumerate(tokens)}
         self.hash = PerfectHash(tokens)
         self.slots = np.empty(len(tokens), _ID)
         self.slots[self.hash.find(tokens)] = np.arange(len(tokens), dtype=_ID)
         self.tokens = tokens
         self.packed = [int(rank).to_bytes(4, "little") for rank in range(len(tokens))]
-        self.memo: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> Iterator[list[str]]:
+    def cuts(self, text: str) -> Iterator[list[str]]:
+        """Lists of parts that together are the text: cut at spaces where that is safe, else at pre-tokens."""
         if len(text) <= BLOCK_CHARS:
-            yield self.pattern.findall(text)
-            return
+            first, *rest = text.split(" ")
+            if not any(not part or self.blank_first(part) for part in set(rest)):
+                yield [first, *[" " + part for part in rest]]
+                return
         matches = self.pattern.finditer(text)
         while block := [m.group() for m in islice(matches, BLOCK_PIECES)]:
             yield block
@@ -147,9 +157,18 @@ class Encoder:
         keys = [text.encode("utf-8") for text in texts]
         for text, key, slot in zip(texts, keys, self.hash.find(keys).tolist(), strict=True):
             if slot >= 0 and self.tokens[rank := int(self.slots[slot])] == key:
-                self.memo[text] = self.packed[rank]
+                self.pieces[text] = self.packed[rank]
             else:
-                self.memo[text] = b"".join([self.packed[rank] for rank in heap_merge(key, self.ranks)])
+                self.pieces[text] = b"".join([self.packed[rank] for rank in heap_merge(key, self.ranks)])
+
+    def learn(self, parts: set[str]) -> None:
+        matched = [(part, self.pattern.findall(part)) for part in parts]
+        if len(self.pieces) > MEMO_PIECES:
+            self.pieces.clear()
+        if unseen := set().union(*(pieces for _, pieces in matched)) - self.pieces.keys():
+            self.resolve(unseen)
+        for part, pieces in matched:
+            self.parts[part] = b"".join(map(self.pieces.__getitem__, pieces))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         blocks: list[tuple[int, list[str]]] = []
@@ -157,19 +176,18 @@ class Encoder:
         chars = 0
 
         def flush() -> None:
-            if len(self.memo) > MEMO_PIECES:
-                self.memo.clear()
-            unseen = set().union(*(block for _, block in blocks)) - self.memo.keys()
-            if unseen:
-                self.resolve(unseen)
+            if len(self.parts) > MEMO_PIECES:
+                self.parts.clear()
+            if unseen := set().union(*(block for _, block in blocks)) - self.parts.keys():
+                self.learn(unseen)
             for k, block in blocks:
-                found[k].append(b"".join(map(self.memo.__getitem__, block)))
+                found[k].append(b"".join(map(self.parts.__getitem__, block)))
             blocks.clear()
 
         for k, text in enumerate(texts):
-            for block in self.pieces(text or ""):
+            for block in self.cuts(text or ""):
                 blocks.append((k, block))
-                chars += sum(map(len, block))
+                chars += min(len(text), BLOCK_CHARS)
                 if chars >= BLOCK_CHARS:
                     flush()
                     chars = 0
@@ -184,6 +202,13 @@ def _lists(packed: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def id_lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """The lists of an Arrow column as Python lists; null is an empty list."""
+    values, offsets = column.values.to_numpy(), column.offsets.to_numpy()
+    for row, (start, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+        yield values[start:end].tolist() if column[row].is_valid else []
+
+
 def _slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``most`` bytes of one column, a row at least."""
     for batch in batches:
@@ -226,7 +251,7 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "id
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = shared.value.__getitem__
         for part in _slices(batches, "__ids"):
-            texts = [b"".join(map(token, ids or ())) for ids in part.column("__ids").to_pylist()]
+            texts = [b"".join(map(token, ids)) for ids in id_lists(part.column("__ids"))]
             yield pa.RecordBatch.from_arrays([*(part.column(name) for name in keep), pa.array(texts, pa.binary())], [*keep, "decoded"])
 
     return read.mapInArrow(run, schema)

@@ -36,8 +36,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("ids")
-            offsets = column.offsets.to_numpy()
-            values = column.values.to_numpy().astype("<u4")
+            offsets, values = column.offsets.to_numpy(), column.values.to_numpy().astype("<u4")
             packed = [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)),
