@@ -8,11 +8,12 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import bpe, exact_dedup, quality_rules, rule_ensemble, simhash
+from reviewmill.llm import blob_ledger, bpe, exact_dedup, quality_rules, rule_ensemble, simhash, spans
 from reviewmill.llm.common import table
+from reviewmill.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -33,6 +34,23 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def _of_kind(found: Column, kind: str) -> Column:
+    return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
+
+
+@query
+def op5_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    ledger = fresh_path(spark, "blob-ledger")
+    blob_ledger.update_ledger(docs, ledger)
+    found = blob_ledger.findings(docs, ledger)
+    base = F.filter("findings", lambda s: s["rank"] < len(blob_ledger.BASE_RULES))
+    return found.select(
+        "doc_id", *(_of_kind(F.col("findings"), rule.kind).alias(f"n_{rule.kind}") for rule in blob_ledger.BASE_RULES),
+        F.sha2(spans.joined(base), 256).alias("base_sha256"), spans.joined(F.col("findings")).alias("spans"),
+    )
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
