@@ -91,17 +91,7 @@ def redact(docs: DataFrame, path: str, version: str = RULES_VERSION) -> DataFram
     hits = ledger.select(F.col("blob").alias("__blob"), F.col("findings").alias("__findings"))
     marked = docs.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(hits, "__blob", "left")
 
-    def cut(state: Column, s: Column) -> Column:
-        beyond = s["end"] > state["at"]
-        fresh = s["start"] >= state["at"]
-        kept = F.when(fresh, F.concat(F.substring(marked["text"], state["at"] + 1, s["start"] - state["at"]), F.lit("["), s["kind"], F.lit("]"))).otherwise("")
-        return F.struct(F.concat(state["done"], kept).alias("done"), F.when(beyond, s["end"]).otherwise(state["at"]).alias("at"))
-
-    clean = F.aggregate(
-        "__findings", F.struct(F.lit("").alias("done"), F.lit(0).alias("at")), cut,
-        lambda state: F.concat(state["done"], F.substring(marked["text"], state["at"] + 1, F.length(marked["text"]))),
-    )
-    out = marked.withColumn("text", F.when(F.col("__findings").isNull(), marked["text"]).otherwise(clean))
+    out = marked.withColumn("text", F.when(F.col("__findings").isNull(), marked["text"]).otherwise(spans.replaced(marked["text"], F.col("__findings"))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__findings").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

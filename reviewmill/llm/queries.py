@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import blob_ledger, bpe, exact_dedup, quality_rules, rule_ensemble, simhash, spans
+from reviewmill.llm import blob_ledger, bpe, disclosure, exact_dedup, quality_rules, rule_ensemble, simhash, spans
 from reviewmill.llm.common import table
 from reviewmill.session import fresh_path
 
@@ -38,6 +38,15 @@ def _of_kind(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
 
 
+@query
+def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(_of_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in disclosure.KINDS),
+        F.sha2(spans.joined(F.col("base")), 256).alias("base_sha256"), spans.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op5_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

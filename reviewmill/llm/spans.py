@@ -61,3 +61,18 @@ def named(spans: Column, kind: str, rank: int) -> Column:
 def joined(spans: Column) -> Column:
     """kind:start:end of every span, comma-joined in the order given."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def replaced(text: Column, ordered: Column) -> Column:
+    """The text with each span, ordered by start, replaced by its kind in brackets; overlapping spans by the first one's."""
+
+    def cut(state: Column, s: Column) -> Column:
+        fresh = s["start"] >= state["at"]
+        part = F.concat(F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit("["), s["kind"], F.lit("]"))
+        return F.struct(
+            F.when(fresh, F.concat(state["done"], part)).otherwise(state["done"]).alias("done"),
+            F.greatest(s["end"], state["at"]).alias("at"))
+
+    return F.aggregate(
+        ordered, F.struct(F.lit("").alias("done"), F.lit(0).alias("at")), cut,
+        lambda state: F.concat(state["done"], F.substring(text, state["at"] + 1, F.length(text))))
