@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import blob_ledger, bpe, disclosure, exact_dedup, quality_rules, rule_ensemble, simhash, spans
+from reviewmill.llm import blob_ledger, bpe, disclosure, exact_dedup, merkle, packing, quality_rules, rule_ensemble, simhash, spans
 from reviewmill.llm.common import table
 from reviewmill.session import fresh_path
 
@@ -38,6 +38,11 @@ def _of_kind(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
 
 
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = disclosure.personal_data(table(spark, sf_dir, "documents"))
@@ -73,6 +78,20 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def damaged_replica(pages: DataFrame) -> DataFrame:
+    """A second copy of the pages in which every 50th is changed, cut or lost in turn."""
+    turn = F.when(F.col("page_id") % 50 == 0, F.floor(F.col("page_id") / 50) % 3)
+    html = F.when(turn == 0, F.concat(F.lit("\u0000"), F.substring("html", 2, 1 << 30))).when(
+        turn == 1, F.substring(F.col("html"), F.lit(1), F.length("html") - 1)).otherwise(F.col("html"))
+    return pages.where(turn.isNull() | (turn != 2)).withColumn("html", html)
+
+
+@query
+def op8_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return merkle.audit(pages, damaged_replica(pages))
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
