@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import blob_ledger, bpe, disclosure, exact_dedup, merkle, packing, quality_rules, rule_ensemble, simhash, spans
+from reviewmill.llm import blob_ledger, bpe, disclosure, exact_dedup, license, merkle, packing, quality_rules, rule_ensemble, simhash, spans
 from reviewmill.llm.common import table
 from reviewmill.session import fresh_path
 
@@ -92,6 +92,22 @@ def op8_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(pages, damaged_replica(pages))
 
 
+def repository_paths(docs: DataFrame) -> DataFrame:
+    """Documents laid out as files: a repository per source, directories by ids; every 100th is a directory's licence file."""
+    number = F.col("doc_id")
+    upper, lower = F.floor(number / 10_000).cast("string"), F.floor(number / 100).cast("string")
+    path = F.when(number % 10_000 == 0, F.concat_ws("/", "source", upper, F.lit("LICENSE"))).when(
+        number % 100 == 0, F.concat_ws("/", "source", upper, lower, F.lit("LICENSE"))).otherwise(
+        F.concat_ws("/", "source", upper, lower, F.concat(number.cast("string"), F.lit(".txt"))))
+    return docs.select("doc_id", path.alias("path"), "text")
+
+
+@query
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license.scan(repository_paths(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "licence", "score", "origin", "inherited_from")
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
