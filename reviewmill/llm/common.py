@@ -42,3 +42,39 @@ def single_spaced(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also inside nested lambdas."""
     return F.transform(F.array(value), body)[0]
+
+
+_SLOTS = 1 << 16  # longs of a key filter: its size is fixed, whatever it holds
+
+
+def key_filter(keys: DataFrame, *names: str) -> DataFrame:
+    """A bitmap of the keys' hashes as (slot, bits): at most 65,536 rows, so it can be broadcast for any number of keys."""
+    bucket = keys.select(F.pmod(F.xxhash64(*names), F.lit(_SLOTS * 64)).alias("bucket"))
+    bit = F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))")
+    return written(bucket.groupBy(F.shiftright("bucket", 6).alias("__slot")).agg(F.bit_or(bit).alias("__bits")), "key-filter")
+
+
+def maybe_in(rows: DataFrame, bitmap: DataFrame, *names: str) -> DataFrame:
+    """``rows`` with ``__maybe``: false only where the key is surely not in the filter. Nothing is shuffled."""
+    bucket = F.pmod(F.xxhash64(*names), F.lit(_SLOTS * 64))
+    placed = rows.withColumn("__bucket", bucket).withColumn("__slot", F.shiftright("__bucket", 6))
+    met = placed.join(F.broadcast(bitmap), "__slot", "left")
+    hit = F.expr("coalesce(getbit(__bits, CAST(__bucket & 63 AS INT)), 0) = 1")
+    return met.withColumn("__maybe", hit).drop("__slot", "__bits", "__bucket")
+
+
+def without(rows: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
+    """``rows`` whose key is not among ``keys``, nulls equal to nulls.
+
+    Only rows that the fixed-size filter cannot clear are shuffled for the exact comparison; the fuller the filter, the
+    more of them there are.
+    """
+    keys = written(keys.select(*names).distinct(), "keys")
+    marked = maybe_in(rows, key_filter(keys, *names), *names)
+    cleared = marked.where("not __maybe").drop("__maybe")
+    open_rows = marked.where("__maybe").drop("__maybe")
+    named = keys.select(*(F.col(name).alias(f"__key_{name}") for name in names))
+    same = F.lit(True)
+    for name in names:
+        same = same & open_rows[name].eqNullSafe(named[f"__key_{name}"])
+    return cleared.unionByName(open_rows.join(named, same, "left_anti"))

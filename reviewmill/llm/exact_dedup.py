@@ -2,7 +2,7 @@
 
 Texts are equal when identical with every run of blanks as one space; null counts as empty, and empty texts are equal
 to each other. The first pass keeps (doc_id, length, prefix hash) only. Groups of one length are refined by the prefix
-hash, and just the rows still in a group of two or more are read again for the full hash. Of equal texts the row with
+hash, and just the rows still in a group of two or more are read again for the full hash; their texts stay in place. Of equal texts the row with
 the smallest doc_id stays; a null id stays only where no other is in the group. Rows that repeat both doc_id and text
 are one document: ``exact_groups`` lists it once with ``copies`` above one, and ``keep_first`` leaves one of them.
 Columns beside ``doc_id`` and ``text`` are only carried by ``keep_first``.
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import single_spaced, whole_text, written
+from reviewmill.llm.common import key_filter, maybe_in, single_spaced, whole_text, without, written
 
 PREFIX_CHARS = 256
 _MARK = ("__length", "__head")
@@ -46,11 +46,11 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     refined = written(marks.join(open_groups, list(_MARK), "left_semi").distinct(), "dedup-open")
     alone = marks.join(refined.select(*_MARK).distinct(), list(_MARK), "left_anti")
 
-    texts = _marked(docs, F.col("doc_id").alias("__id"))
-    wanted = texts.join(refined, F.col("__id").eqNullSafe(refined["doc_id"]) & (texts["__length"] == refined["__length"])
-                        & (texts["__head"] == refined["__head"]), "left_semi")
-    hashed = wanted.select(F.col("__id").alias("doc_id"), *_MARK, F.sha2("__text", 256).alias("sha256"))
-    documents = written(hashed.groupBy("doc_id", *_MARK, "sha256").agg(F.count("*").alias("copies")), "dedup-hashed")
+    # The filter keeps texts where they are: a row it cannot rule out is hashed in place, the exact test is on narrow rows.
+    texts = maybe_in(_marked(docs, "doc_id"), key_filter(refined, *_MARK), *_MARK).where("__maybe")
+    hashed = texts.select("doc_id", *_MARK, F.sha2("__text", 256).alias("sha256"))
+    hashed = hashed.groupBy("doc_id", *_MARK, "sha256").agg(F.count("*").alias("copies"))
+    documents = written(hashed.join(refined, _same(hashed, refined, "doc_id", *_MARK), "left_semi"), "dedup-hashed")
     groups = documents.groupBy("sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
     grouped = documents.join(groups, "sha256").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "copies", *_MARK, "sha256")
@@ -77,8 +77,7 @@ def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
         "__length": F.length(single_spaced(whole_text())),
         "__head": F.xxhash64(F.substring(single_spaced(whole_text()), 1, PREFIX_CHARS)),
     })
-    dropped = groups.where("not kept").select(*key).distinct()
-    stay = marked.join(dropped, _same(marked, dropped, *key), "left_anti")
+    stay = without(marked, groups.where("not kept"), *key)
     repeated = groups.where("kept and copies > 1").select(*key)
     if not repeated.isEmpty():
         once = stay.join(repeated, _same(stay, repeated, *key), "left_semi").dropDuplicates(list(key))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm import bktree
-from reviewmill.llm.common import whole_text, written
+from reviewmill.llm.common import whole_text, without, written
 from reviewmill.llm.components import star_labels
 
 SHARD = 1 << 14  # fingerprints of one tree, about
@@ -188,6 +188,5 @@ def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 2) -> DataFr
 
 def keep_one(docs: DataFrame, length: int = 3, radius: int = 2) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component, with all their columns; a component of null ids stays whole."""
-    dropped = near_duplicates(docs, length, radius).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["__dropped"]), "left_anti")
+    groups = near_duplicates(docs, length, radius)
+    return without(docs, groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "doc_id")
