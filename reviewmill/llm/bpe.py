@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 MAX_VOCABULARY_BYTES = 64 << 20  # checked before the vocabulary is broadcast
 BLOCK_CHARS = 1 << 18  # texts are encoded in blocks of about this many characters
 BLOCK_PIECES = 1 << 16
-MEMO_PIECES = 400_000  # bound of each of the two memos of a task; they are emptied when full
+MEMO_PARTS, MEMO_PIECES = 200_000, 400_000  # bounds of the two memos of a task; they are emptied when full
 _ID = np.dtype("<u4")
 
 
@@ -83,39 +83,58 @@ class PerfectHash:
         return found
 
 
-def heap_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: bytes form a linked list, a heap yields the lowest-ranked neighbouring pair, leftmost first.
+def pair_ranks(tokens: list[bytes]) -> dict[int, int]:
+    """Rank of what two neighbouring tokens make together, by left rank times the vocabulary's size plus right rank."""
+    ranks, size = {token: rank for rank, token in enumerate(tokens)}, len(tokens)
+    pairs = {}
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                pairs[left * size + right] = rank
+    return pairs
 
-    A heap entry is one number: rank, then where the pair starts, then where it ends.
+
+def heap_merge(parts: list[int], pairs: dict[int, int], size: int) -> list[int]:
+    """Merge the ranks of a pre-token's bytes, in place, until no two neighbours make a token.
+
+    The parts form a linked list; a heap yields the lowest-ranked pair of neighbours, leftmost first. An entry is one
+    number: rank, then where the pair starts, then where it ends.
     """
-    n = len(piece)
+    n = len(parts)
     wide = n + 1
     after = list(range(1, n + 2))  # by start of a part: start of the next
     before = list(range(-1, n))
-    get, push, pop = ranks.get, heapq.heappush, heapq.heappop
-    heap = [
-        (rank * wide + i) * wide + i + 2
-        for i in range(n - 1) if (rank := get(piece[i:i + 2])) is not None
-    ]
+    get, push, pop = pairs.get, heapq.heappush, heapq.heappop
+    heap = []
+    last = parts[0]
+    for i in range(1, n):
+        part = parts[i]
+        if (rank := get(last * size + part)) is not None:
+            heap.append((rank * wide + i - 1) * wide + i + 1)
+        last = part
     heapq.heapify(heap)
     while heap:
-        rest, end = divmod(pop(heap), wide)
-        i = rest % wide
+        entry = pop(heap)
+        end = entry % wide
+        entry //= wide
+        i = entry % wide
         middle = after[i]
         if middle >= n or before[middle] != i or after[middle] != end:
             continue  # one of the two parts has been merged meanwhile
+        merged = parts[i] = entry // wide
         after[i] = end
         before[middle] = -2
         if end < n:
             before[end] = i
-            if (rank := get(piece[i:after[end]])) is not None:
+            if (rank := get(merged * size + parts[end])) is not None:
                 push(heap, (rank * wide + i) * wide + after[end])
         left = before[i]
-        if left >= 0 and (rank := get(piece[left:end])) is not None:
+        if left >= 0 and (rank := get(parts[left] * size + merged)) is not None:
             push(heap, (rank * wide + left) * wide + end)
     ids, i = [], 0
     while i < n:
-        ids.append(ranks[piece[i:after[i]]])
+        ids.append(parts[i])
         i = after[i]
     return ids
 
@@ -124,14 +143,17 @@ class Encoder:
     """Texts to ids, as packed little-endian 32-bit numbers; lives as long as a task.
 
     Where a single space stands before anything but white space, a pre-token begins whatever comes before or after,
-    so texts are cut there first and each distinct part is matched once per block. The memos only keep results of the
-    two tiers; they are bounded and start anew when full.
+    so texts are cut at spaces first and each distinct part is matched once per block; a text with a space before white
+    space or at its end is matched whole. The memos only keep results of the two tiers; they are bounded and start anew
+    when full.
     """
 
     def __init__(self, tokens: list[bytes], pattern: str):
         self.pattern = regex.compile(pattern)
-        self.blank_first = regex.compile(r"\s").match
-        self.ranks = {token: rank for rank, token in enumerate(tokens)}
+        self.blank_first = regex.compile(r" (?:\s|$)").match
+        self.pairs = pair_ranks(tokens)
+        ranks = {token: rank for rank, token in enumerate(tokens)}
+        self.of_byte = [ranks[bytes([byte])] for byte in range(256)]
         self.hash = PerfectHash(tokens)
         self.slots = np.empty(len(tokens), _ID)
         self.slots[self.hash.find(tokens)] = np.arange(len(tokens), dtype=_ID)
@@ -140,16 +162,15 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def cuts(self, text: str) -> Iterator[list[str]]:
-        """Lists of parts that together are the text: cut at spaces where that is safe, else at pre-tokens."""
+    def cuts(self, text: str) -> Iterator[tuple[list[str], bool]]:
+        """Lists that together are the text, and whether they hold pre-tokens: cut at spaces, or, if very long, matched."""
         if len(text) <= BLOCK_CHARS:
             first, *rest = text.split(" ")
-            if not any(not part or self.blank_first(part) for part in set(rest)):
-                yield [first, *[" " + part for part in rest]]
-                return
+            yield [first, *[" " + part for part in rest]], False
+            return
         matches = self.pattern.finditer(text)
         while block := [m.group() for m in islice(matches, BLOCK_PIECES)]:
-            yield block
+            yield block, True
 
     def resolve(self, pieces: Iterable[str]) -> None:
         """Put pre-tokens into the memo: first tier by the perfect hash, all at once; then the heap."""
@@ -159,41 +180,48 @@ class Encoder:
             if slot >= 0 and self.tokens[rank := int(self.slots[slot])] == key:
                 self.pieces[text] = self.packed[rank]
             else:
-                self.pieces[text] = b"".join([self.packed[rank] for rank in heap_merge(key, self.ranks)])
-
-    def learn(self, parts: set[str]) -> None:
-        matched = [(part, self.pattern.findall(part)) for part in parts]
-        if len(self.pieces) > MEMO_PIECES:
-            self.pieces.clear()
-        if unseen := set().union(*(pieces for _, pieces in matched)) - self.pieces.keys():
-            self.resolve(unseen)
-        for part, pieces in matched:
-            self.parts[part] = b"".join(map(self.pieces.__getitem__, pieces))
+                ids = heap_merge([self.of_byte[byte] for byte in key], self.pairs, len(self.tokens))
+                self.pieces[text] = b"".join([self.packed[rank] for rank in ids])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        blocks: list[tuple[int, list[str]]] = []
         found: list[list[bytes]] = [[] for _ in texts]
+        blocks: list[tuple[int, list[str], bool]] = []
         chars = 0
-
-        def flush() -> None:
-            if len(self.parts) > MEMO_PIECES:
-                self.parts.clear()
-            if unseen := set().union(*(block for _, block in blocks)) - self.parts.keys():
-                self.learn(unseen)
-            for k, block in blocks:
-                found[k].append(b"".join(map(self.parts.__getitem__, block)))
-            blocks.clear()
-
         for k, text in enumerate(texts):
-            for block in self.cuts(text or ""):
-                blocks.append((k, block))
-                chars += min(len(text), BLOCK_CHARS)
+            for block, matched in self.cuts(text or ""):
+                blocks.append((k, block, matched))
+                chars += min(len(text or ""), BLOCK_CHARS)
                 if chars >= BLOCK_CHARS:
-                    flush()
-                    chars = 0
-        flush()
+                    self._flush(blocks, found)
+                    blocks, chars = [], 0
+        self._flush(blocks, found)
         return [b"".join(parts) for parts in found]
 
+    def _flush(self, blocks: list[tuple[int, list[str], bool]], found: list[list[bytes]]) -> None:
+        if len(self.parts) > MEMO_PARTS:
+            self.parts.clear()
+        if len(self.pieces) > MEMO_PIECES:
+            self.pieces.clear()
+        unseen = self._unseen(blocks)
+        if unsafe := {part for part in unseen if self.blank_first(part)}:
+            for at, (k, block, matched) in enumerate(blocks):
+                if not matched and not unsafe.isdisjoint(block):
+                    blocks[at] = k, self.pattern.findall("".join(block)), True
+            unseen = self._unseen(blocks)
+        learned = [(part, self.pattern.findall(part)) for part in unseen]
+        new = set().union(*(pieces for _, pieces in learned), *(block for _, block, matched in blocks if matched))
+        self.resolve(new - self.pieces.keys())
+        pieces = self.pieces.__getitem__
+        for part, own in learned:
+            self.parts[part] = pieces(own[0]) if len(own) == 1 else b"".join(map(pieces, own))
+        parts = self.parts.__getitem__
+        for k, block, matched in blocks:
+            found[k].append(b"".join(map(pieces if matched else parts, block)))
+
+    def _unseen(self, blocks: list[tuple[int, list[str], bool]]) -> set[str]:
+        """Parts not in the memo. A part that begins with two blanks is never put there."""
+        return set().union(*(block for _, block, matched in blocks if not matched)) - self.parts.keys()
+
 
 def _lists(packed: list[bytes]) -> pa.Array:
     offsets = np.zeros(len(packed) + 1, np.int32)
