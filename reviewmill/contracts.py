@@ -33,7 +33,6 @@ CONFIDENCE = {
     "low": ("party_size", "age_range", "gender", "ethnicity"),
 }
 REFERENCE_MARKERS = ("restaurant_info", "reference")
-KNOWN_TAGS = ("downtown", "eastside", "midtown", "uptown")
 VALID_RATINGS = (1, 2, 3, 4, 5)
 MAX_CHARS = 2000
 EMBEDDING_DIM = 1024

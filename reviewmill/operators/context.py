@@ -46,7 +46,7 @@ def context_blocks(evidence: DataFrame) -> DataFrame:
 
 
 def prompt(question: Column, context: Column) -> Column:
-    return F.concat(F.lit("Reviews:\n"), context, F.lit("\n\nQuestion: "), question, F.lit("\n\nAnswer:"))
+    return F.concat(F.lit("Use only these reviews.\n"), context, F.lit("\n\nAsked: "), question, F.lit("\nReply:"))
 
 
 def answer_payload(questions: DataFrame, blocks: DataFrame, answers: DataFrame | None = None) -> DataFrame:

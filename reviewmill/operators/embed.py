@@ -13,18 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.contracts import EMBEDDING_DIM, MAX_CHARS
-from reviewmill.functions.text import first_chunk
 
 DOCUMENT, QUERY = "search_document", "search_query"
 
 
 def model_input(col: Column, mode: str) -> Column:
-    """What the model sees: the first chunk of a document, the whole of a question."""
-    if mode == DOCUMENT:
-        return F.coalesce(first_chunk(col, MAX_CHARS), F.lit(""))
-    if mode == QUERY:
-        return F.coalesce(col, F.lit(""))
-    raise ValueError(f"unknown mode {mode!r}")
+    """The whole text, of a document as of a question; null is empty."""
+    if mode not in (DOCUMENT, QUERY):
+        raise ValueError(f"unknown mode {mode!r}")
+    return F.coalesce(col, F.lit(""))
 
 
 def hashing_vectors(df: DataFrame, text: str, mode: str = DOCUMENT, dim: int = EMBEDDING_DIM) -> DataFrame:
@@ -39,30 +36,53 @@ def hashing_vectors(df: DataFrame, text: str, mode: str = DOCUMENT, dim: int = E
     return vectors.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_text", "_words", "_counts", "_unit")
 
 
+def _pieces(text: str, width: int | None) -> list[str]:
+    return [text[i:i + width] for i in range(0, len(text), width)] or [""] if width else [text]
+
+
+def _mean(vectors: list, pieces: list[str]) -> np.ndarray:
+    """Mean of the pieces' vectors by length."""
+    if len(pieces) == 1:
+        return np.asarray(vectors[0], dtype=np.float32)
+    return np.average(np.asarray(vectors, dtype=np.float64), axis=0, weights=[len(p) for p in pieces]).astype(np.float32)
+
+
 def model_vectors(
-    df: DataFrame, text: str, load: Callable[[], Callable[[list[str], str], np.ndarray]], mode: str = DOCUMENT
+    df: DataFrame, text: str, load: Callable[[], Callable[[list[str], str], np.ndarray]], mode: str = DOCUMENT,
+    width: int | None = MAX_CHARS, at_once: int = 64,
 ) -> DataFrame:
     """Add ``embedding`` from a model. ``load`` runs once per task and returns a batch function.
 
-    A batch the model fails on is retried text by text; a text it still fails on gets a
-    null vector, so one bad row never stops the rest.
+    A document goes to the model in pieces of ``width`` characters, and its vector is their mean by length; a question
+    goes whole. The model gets some ``at_once`` pieces at a time. Texts of a call that fails are retried one by one; a text
+    it still fails on gets a null vector, so one bad row never stops the rest.
     """
+    cut = width if mode == DOCUMENT else None
 
     @F.pandas_udf("array<float>")
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
-        for batch in batches:
-            texts = batch.tolist()
+
+        def embedded(texts: list[list[str]]) -> list[np.ndarray]:
+            found = list(model([piece for pieces in texts for piece in pieces], mode))
+            ends = np.cumsum([len(pieces) for pieces in texts])
+            return [_mean(found[end - len(pieces):end], pieces) for end, pieces in zip(ends.tolist(), texts, strict=True)]
+
+        def safely(texts: list[list[str]]) -> list[np.ndarray | None]:
             try:
-                out = [np.asarray(v, dtype=np.float32) for v in model(texts, mode)]
+                return embedded(texts)
             except Exception:
-                out = []
-                for text in texts:
-                    try:
-                        out.append(np.asarray(model([text], mode)[0], dtype=np.float32))
-                    except Exception:
-                        out.append(None)
-            yield pd.Series(out, dtype=object)
+                return [None] if len(texts) == 1 else [vector for one in texts for vector in safely([one])]
+
+        for batch in batches:
+            out, waiting, n = [], [], 0
+            for text in batch:
+                waiting.append(_pieces(text, cut))
+                n += len(waiting[-1])
+                if n >= at_once:
+                    out += safely(waiting)
+                    waiting, n = [], 0
+            yield pd.Series(out + (safely(waiting) if waiting else []), dtype=object)
 
     return df.withColumn("embedding", vectors(model_input(F.col(text), mode)))
 

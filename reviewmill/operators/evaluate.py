@@ -38,14 +38,11 @@ def summarize(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def latency_report(answers: DataFrame, target: float = LATENCY_TARGET_SECONDS) -> DataFrame:
     """Share of answers within the target, mean and 95th percentile.
 
-    Latencies carry two decimals, so counting equal values first keeps the exact
-    percentile's state to the distinct values.
+    Equal values are counted first, so the exact percentile's state has distinct values only.
     """
-    rounded = answers.filter(F.col("latency").isNotNull()).groupBy(F.round("latency", 2).alias("latency")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counted = answers.filter(F.col("latency").isNotNull()).groupBy("latency").agg(F.count(F.lit(1)).alias("n"))
     within = F.sum(F.when(F.col("latency") <= target, F.col("n")).otherwise(0))
-    return rounded.agg(
+    return counted.agg(
         F.sum("n").alias("answers"),
         F.round(F.percentile("latency", F.lit(0.95), F.col("n")), 4).alias("p95"),
         F.round(F.sum(F.col("latency") * F.col("n")) / F.sum("n"), 4).alias("mean"),

@@ -82,6 +82,24 @@ def rename_headers(df: DataFrame, mapping: dict[str, str]) -> tuple[DataFrame, l
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns}), missing
 
 
+def united_headers(df: DataFrame, maps: dict[str, dict[str, str]]) -> DataFrame:
+    """Rows of many sources under their own headers, brought to the target columns in one pass over ``df``.
+
+    A row takes a target from the header its source maps to it, or from the column of the target's own name.
+    """
+    targets = dict.fromkeys(t for mapping in maps.values() for t in mapping.values())
+    renamed = {h for mapping in maps.values() for h in mapping}
+    plain = [c for c in df.columns if c not in renamed and c not in targets]
+    columns = []
+    for target in targets:
+        headers = [(s, h) for s, mapping in maps.items() for h, t in mapping.items() if t == target and h in df.columns]
+        value = F.col(target) if target in df.columns else F.lit(None).cast("string")
+        for source, header in headers:
+            value = F.when(F.col("source") == source, F.col(header)).otherwise(value)
+        columns.append(value.alias(target))
+    return df.select(*plain, *columns)
+
+
 def conform_raw(df: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Project on the raw contract; absent columns become null strings, others vanish."""
     present = set(df.columns)

@@ -6,11 +6,13 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from reviewmill.contracts import INDEX_SCHEMA, MAX_CHARS
 from reviewmill.functions.numbers import to_number
 from reviewmill.functions.text import chunk_array, has_text
 from reviewmill.operators.embed import embed
+from reviewmill.session import fresh_path
 
 DOC_COLUMNS = ("review_id", "restaurant_id", "rating", "review_date", "review_text")
 
@@ -116,16 +118,60 @@ def clustered(docs: DataFrame) -> DataFrame:
     return docs.hint("rebalance", "restaurant_id").sortWithinPartitions("restaurant_id")
 
 
+def _conformed(vectors: DataFrame) -> DataFrame:
+    return vectors.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INDEX_SCHEMA.fields])
+
+
+def failures_path(path: str) -> str:
+    """Where the documents stand that a model failed on, beside the index."""
+    return f"{path.rstrip('/')}_failures"
+
+
 def write_documents(vectors: DataFrame, path: str) -> None:
-    """Append embedded documents; a text the model failed on stays out and is tried next time."""
-    good = vectors.filter(F.col("embedding").isNotNull())
-    good.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INDEX_SCHEMA.fields]).write.mode("append").parquet(path)
+    """Append embedded documents; those the model failed on go to the failures table beside the index.
+
+    The vectors are written once, by whether there is one, so the model sees every text once.
+    """
+    spark = vectors.sparkSession
+    staged = fresh_path(spark, "embedded")
+    _conformed(vectors).withColumn("failed", F.col("embedding").isNull()).write.partitionBy("failed").parquet(staged)
+    tried = spark.read.schema(StructType([*INDEX_SCHEMA.fields, StructField("failed", BooleanType())])).parquet(staged)
+    tried.filter(~F.col("failed")).drop("failed").write.mode("append").parquet(path)
+    lost = tried.filter("failed").drop("failed")
+    if not lost.isEmpty():
+        lost.write.mode("append").parquet(failures_path(path))
+
+
+def failures(spark: SparkSession, path: str) -> DataFrame:
+    """The failures table of an index; it is created empty where it is missing."""
+    return ensure_index(spark, failures_path(path))
+
+
+def failed_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Documents in the failures table that the index still lacks, one row per id."""
+    lost = failures(spark, path).drop("embedding").dropDuplicates(["review_id"])
+    return lost.join(ensure_index(spark, path).select("review_id"), "review_id", "left_anti")
+
+
+def retry_failures(spark: SparkSession, path: str, load: Callable | None = None) -> None:
+    """Try the failed documents again. What fails once more stays in the failures table."""
+    write_documents(embed(clustered(failed_documents(spark, path)), "review_text", load=load), path)
 
 
 def refresh_index(rows: DataFrame, path: str, new_path: str, order: Sequence[str] = ("pos",), load: Callable | None = None) -> None:
-    """Write a new version of the index in which changed texts are re-embedded."""
-    index = ensure_index(rows.sparkSession, path)
-    changed = changed_documents(rows, index, order)
-    kept = index.join(changed.select("review_id"), "review_id", "left_anti")
-    kept.write.mode("errorifexists").parquet(new_path)
-    write_documents(embed(clustered(changed), "review_text", load=load), new_path)
+    """Write a new version of the index in which changed texts are re-embedded.
+
+    Texts are embedded first and written once. A changed document that the model fails on keeps its old row, so a new version
+    never has fewer documents than the old one.
+    """
+    spark = rows.sparkSession
+    index = ensure_index(spark, path)
+    staged = fresh_path(spark, "changed")
+    _conformed(embed(clustered(changed_documents(rows, index, order)), "review_text", load=load)).write.parquet(staged)
+    tried = spark.read.schema(INDEX_SCHEMA).parquet(staged)
+    fresh = tried.filter(F.col("embedding").isNotNull())
+    kept = index.join(fresh.select("review_id"), "review_id", "left_anti")
+    kept.unionByName(fresh).write.mode("errorifexists").parquet(new_path)
+    lost = tried.filter(F.col("embedding").isNull())
+    if not lost.isEmpty():
+        lost.write.mode("append").parquet(failures_path(new_path))

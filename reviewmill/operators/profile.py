@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,29 +42,53 @@ def tips(raw: DataFrame, tolerance: float = 0.1) -> DataFrame:
 
 def domain_gaps(raw: DataFrame, column: str, low: int, high: int) -> DataFrame:
     """Whole numbers of an expected range that a source never shows."""
-    if high - low > 100_000:
-        raise ValueError("expected range too wide to list")
-    seen = raw.groupBy("source", column).agg(F.count(F.lit(1)).alias("n"))
-    expected = seen.select("source").distinct().select(
-        "source", F.explode(F.sequence(F.lit(low), F.lit(high)).cast("array<int>")).alias(column)
-    )
+    seen = raw.groupBy("source", column).agg(F.count(F.lit(1)).alias("_rows"))
+    # listed by thousands first, so that no row ever holds the whole range
+    blocks = seen.select("source").distinct().select("source", F.explode(F.sequence(F.lit(low), F.lit(high), F.lit(1000))).alias("_start"))
+    numbers = F.sequence(F.col("_start"), F.least(F.col("_start") + 999, F.lit(high)))
+    expected = blocks.select("source", F.explode(numbers).alias(column)).withColumn(column, F.col(column).cast("int"))
     return expected.join(seen.select("source", column), ["source", column], "left_anti")
 
 
 def spend_per_person(raw: DataFrame, low: float) -> DataFrame:
-    """Spend per head by source: smallest, median, 99th percentile and rows under a limit.
-
-    Percentiles come from a bounded sketch.
-    """
+    """Spend per head by source: smallest, median, 99th percentile and rows under a limit, all exact."""
     head = F.when(F.col("party_size") > 0, F.col("total_spent") / F.col("party_size"))
     priced = raw.select("source", head.alias("per_person")).filter(F.col("per_person").isNotNull())
-    return priced.groupBy("source").agg(
+    totals = priced.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.round(F.min("per_person"), 4).alias("lowest"),
-        F.round(F.percentile_approx("per_person", 0.5, 100_000), 4).alias("median"),
-        F.round(F.percentile_approx("per_person", 0.99, 100_000), 4).alias("p99"),
         F.count_if(F.col("per_person") < low).alias("below_limit"),
     )
+    found = discrete_percentiles(priced, "source", "per_person", {"median": 0.5, "p99": 0.99})
+    return totals.join(found, "source").select(
+        "source", "n_rows", "lowest", F.round("median", 4).alias("median"), F.round("p99", 4).alias("p99"), "below_limit"
+    )
+
+
+def discrete_percentiles(rows: DataFrame, by: str, column: str, shares: dict[str, float]) -> DataFrame:
+    """The smallest value of each group that at least a share of its rows do not exceed, exact for any number of values.
+
+    Rows are counted in bins of magnitude, a bounded number per group. Running totals of the bins name the one bin that
+    holds a rank, and only that bin's values are counted and put in order.
+    """
+    value = F.col(column).cast("double")
+    size = F.floor(F.log2(F.abs(value) + 1) * 256)
+    binned = rows.select(by, value.alias("_value"), F.when(value < 0, -size - 1).otherwise(size).alias("_bin"))
+    bins = binned.groupBy(by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy(by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = F.sum("_n").over(Window.partitionBy(by))
+    names = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(share).alias("share")) for name, share in shares.items()])
+    placed = bins.withColumns({"_upto": F.sum("_n").over(running), "_all": whole}).select(
+        by, "_bin", (F.col("_upto") - F.col("_n")).alias("_before"), "_upto", "_all", F.explode(names).alias("_p"))
+    rank = F.greatest(F.ceil(F.col("_p.share") * F.col("_all")), F.lit(1))
+    wanted = placed.filter((rank > F.col("_before")) & (rank <= F.col("_upto"))).select(
+        by, "_bin", F.col("_p.name").alias("_name"), (rank - F.col("_before")).alias("_rank"))
+    values = binned.join(wanted.select(by, "_bin").distinct(), [by, "_bin"], "left_semi").groupBy(by, "_bin", "_value").agg(
+        F.count(F.lit(1)).alias("_n"))
+    inside = Window.partitionBy(by, "_bin").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = values.withColumn("_upto", F.sum("_n").over(inside))
+    met = ordered.join(wanted, [by, "_bin"]).filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
+    return met.groupBy(by).agg(*[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in shares])
 
 
 def customer_overlap(raw: DataFrame) -> DataFrame:

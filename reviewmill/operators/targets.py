@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.contracts import KNOWN_TAGS, MISSING_QUESTION_ERROR
+from reviewmill.contracts import MISSING_QUESTION_ERROR
 from reviewmill.functions.text import strip
 from reviewmill.operators.matching import LITERAL_LIMIT, holds, match_substrings
 
@@ -17,11 +17,6 @@ def split_questions(questions: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stripped.filter(F.col("question") != ""), rejected
 
 
-def known_tags(spark: SparkSession) -> DataFrame:
-    """The restaurant tags recognised in questions whatever the dimension says."""
-    return spark.createDataFrame([(t,) for t in KNOWN_TAGS], "tag string")
-
-
 def add_text_targets(
     questions: DataFrame, names: DataFrame, tags: DataFrame, match: str = "substring", literal_limit: int = LITERAL_LIMIT
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,14 +13,16 @@ from reviewmill.functions.dates import is_iso_date, with_date
 from reviewmill.functions.ids import base_id, is_base64url, is_near_dup
 from reviewmill.functions.numbers import derived_total, needs_total
 from reviewmill.functions.ratings import rating_outcome, with_rating
-from reviewmill.functions.text import one_line, split_list
+from reviewmill.functions.text import has_text, one_line, split_list
 from reviewmill.operators import dedup, profile, quality
 from reviewmill.operators.context import answer_payload, context_blocks, with_documents
 from reviewmill.operators.dimension import conform_dimension, name_dictionary, standardize_dimension
 from reviewmill.operators.embed import QUERY, hashing_vectors
 from reviewmill.operators.evaluate import latency_report, score_answers, summarize
-from reviewmill.operators.headers import SourceConfig, header_maps, rating_divisors, rename_headers
-from reviewmill.operators.index import as_documents, chunks, ensure_index, increment_counts, new_documents
+from reviewmill.operators.headers import SourceConfig, header_maps, rating_divisors, united_headers
+from reviewmill.operators.index import (
+    append_documents, as_documents, chunks, ensure_index, failures, increment_counts, new_documents, refresh_index,
+)
 from reviewmill.operators.reports import counted_with_sample
 from reviewmill.operators.routing import route_keys
 from reviewmill.operators.search import (
@@ -31,7 +34,8 @@ from reviewmill.plans.answers import answer_questions
 from reviewmill.plans.facts import standardize_facts
 from reviewmill.plans.views import table, view
 from reviewmill.session import fresh_path
-from reviewmill.streaming.ingest import index_stream, ingest_source
+from reviewmill.sources.files import export_csv, load_config, read_cases, read_facts, read_mapping_config, save_results, write_dimension, write_silver
+from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_source, quarantine_unknown
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIVISOR = 2
@@ -130,13 +134,17 @@ def header_union(spark, sf):
         "east": {"review_id": "review_id", "customer_name": "customer_id", "date": "review_date"},
         "west": {"review_id": "review_id", "customer_name": "customer_id", "feedback_comments": "review_text"},
     }
-    united = None
+    # As the files would stand side by side: each source's cells under its own headers, absent cells null.
+    spelled = {}
     for source, mapping in maps.items():
-        own = raw.filter(F.col("source") == source).withColumnsRenamed({v: k for k, v in mapping.items()})
-        own = own.drop("tip_percentage") if source == "south" else own
-        part = rename_headers(own, mapping)[0]
-        united = part if united is None else united.unionByName(part, allowMissingColumns=True)
-    return united.select("source", "pos", "review_id", "customer_id", "review_date", "review_text", "tip_percentage")
+        back = {target: header for header, target in mapping.items()}
+        for column in raw.columns:
+            if column not in ("source", "pos") and (source, column) != ("south", "tip_percentage"):
+                spelled.setdefault(back.get(column, column), {})[source] = column
+    wide = raw.select("source", "pos", *[
+        F.coalesce(*[F.when(F.col("source") == s, F.col(c)) for s, c in cells.items()]).alias(header) for header, cells in spelled.items()
+    ])
+    return united_headers(wide, maps).select("source", "pos", "review_id", "customer_id", "review_date", "review_text", "tip_percentage")
 
 
 def source_routing(spark, sf):
@@ -418,9 +426,11 @@ def question_answers(spark, sf):
         key.cast("bigint").alias("q_id"), F.format_string("What about src%d and the waiting?", key).alias("question"),
         F.when(key % 5 == 0, F.lit("src0")).alias("restaurant_id"), F.lit(None).cast("array<string>").alias("restaurant_ids"),
     )
-    index = hashing_vectors(docs, "review_text", dim=256)
+    index = hashing_vectors(docs, "review_text")
     tags = sources.select(F.col("source").alias("tag"))
-    return answer_questions(questions, index, restaurants, tags, dim=256)
+    payload = answer_questions(questions, index, restaurants, tags)
+    sources = F.array_join(F.transform("sources", lambda s: s["review_id"]), "|")
+    return payload.select("q_id", F.md5("prompt").alias("prompt_md5"), "answer", sources.alias("sources"), "error")
 
 
 # ---- index ----
@@ -444,9 +454,40 @@ def index_counts(spark, sf):
     return increment_counts(view(spark, sf, views.DOCS), view(spark, sf, views.INDEXED_IDS))
 
 
+def _half_blind_model():
+    """A model that fails on texts ending in a question mark."""
+    def model(texts, mode):
+        if any(text.endswith("?") for text in texts):
+            raise ValueError("unreadable")
+        return [[float(len(text)), 1.0] for text in texts]
+    return model
+
+
+def _refreshed(spark, sf) -> str:
+    """An index refreshed with edited texts, some of which the model fails on."""
+    docs, path = view(spark, sf, views.DOCS), fresh_path(spark, "index")
+    append_documents(docs, f"{path}/old")
+    ending = F.when(F.right("review_id", F.lit(1)) == "4", F.lit(" edited?")).otherwise(F.lit(" edited!"))
+    edited = docs.withColumn("review_text", F.when(has_text(F.col("review_text")) & F.right("review_id", F.lit(1)).isin("1", "4", "7"), F.concat("review_text", ending)).otherwise(F.col("review_text")))
+    refresh_index(edited, f"{path}/old", f"{path}/new", load=_half_blind_model)
+    return f"{path}/new"
+
+
+def index_refresh(spark, sf):
+    """Changed texts are re-embedded; where the model fails, the old row stays."""
+    return ensure_index(spark, _refreshed(spark, sf)).select("review_id", F.md5("review_text").alias("text_md5"))
+
+
+def index_failures(spark, sf):
+    """The documents a refresh could not embed."""
+    lost = failures(spark, _refreshed(spark, sf))
+    return lost.select("review_id", F.md5("review_text").alias("text_md5"))
+
+
 def hash_embed(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return hashing_vectors(docs, "text").select("doc_id", F.size("embedding").alias("dim"), "embedding")
+    vectors = hashing_vectors(docs, "text").select("doc_id", F.posexplode("embedding").alias("slot", "weight"))
+    return vectors.filter("weight <> 0").select("doc_id", "slot", F.col("weight").cast("double").alias("weight"))
 
 
 def hash_retrieve(spark, sf):
@@ -455,15 +496,15 @@ def hash_retrieve(spark, sf):
         F.col("doc_id").cast("string").alias("review_id"), F.col("source").alias("restaurant_id"), "text"
     )
     asked = table(spark, sf, "benchmark").select(F.col("item_id").alias("q_id"), F.col("text").alias("question"))
-    questions = hashing_vectors(asked, "question", QUERY, 256).withColumn("targets", F.array().cast("array<string>"))
-    return retrieve(hashing_vectors(docs, "text", dim=256), questions)
+    questions = hashing_vectors(asked, "question", QUERY).withColumn("targets", F.array().cast("array<string>"))
+    return _scored(retrieve(hashing_vectors(docs, "text"), questions)).select("q_id", "rank", "review_id", "restaurant_id", "score")
 
 
 # ---- evaluation ----
 
 def _cases(spark, sf) -> tuple[DataFrame, DataFrame]:
     rows = view(spark, sf, views.ANSWERS)
-    words = F.slice(F.split("query", " "), 1, 3)
+    words = F.array_distinct(F.split("query", " "))
     cases = rows.select("id", "category", "query", words.alias("expected_keywords"))
     return cases, rows.select("id", "answer")
 
@@ -530,6 +571,92 @@ def stream_index(spark, sf):
     return _joined(ensure_index(spark, f"{root}/index").drop("embedding"), "review_date")
 
 
+def stream_quarantine(spark, sf):
+    """Files that no configured source claims, by folder."""
+    root, _ = _staged_lake(spark, sf)
+    config = SourceConfig({s: {"rating": "rating"} for s in STREAM_SOURCES[:3]}, {})
+    quarantine_unknown(spark, root, config, f"{root}/checkpoints/unknown").awaitTermination()
+    files = spark.read.parquet(f"{root}/quarantine/files")
+    return files.groupBy(F.regexp_extract("file_key", "source=([a-z]+)", 1).alias("folder")).agg((F.sum("n_bytes") > 0).alias("held"))
+
+
+# ---- batch files ----
+
+def _lake_with_config(spark, sf) -> str:
+    """Facts, dimension and mapping config as files."""
+    root, columns = _staged_lake(spark, sf)
+    view(spark, sf, views.DIMENSION_RAW).coalesce(1).write.csv(f"{root}/raw/restaurant_info", header=True, escape='"')
+    sources = raw_reviews(spark, sf).select("source").distinct()
+    mapped = sources.select(F.col("source").alias("source_dataset"), F.explode(F.array(*[F.lit(c) for c in columns])).alias("input_column"))
+    config = mapped.select(
+        "source_dataset", "input_column", F.col("input_column").alias("target_column"),
+        F.when(F.col("input_column") == "rating", F.lit(DIVISOR)).alias("rating_divisor"))
+    config.coalesce(1).write.csv(f"{root}/config", header=True, sep=";")
+    return root
+
+
+def lake_ingest(spark, sf):
+    """The batch file path: config, raw facts by key, silver, read back."""
+    root = _lake_with_config(spark, sf)
+    config = load_config(spark, f"{root}/config")
+    raw, _, _, _ = read_facts(spark, root, config)
+    write_silver(standardize_facts(raw, config.divisor_of(F.col("source"))), f"{root}/processed/facts")
+    return _joined(spark.read.parquet(f"{root}/processed/facts").select(*FACT_SCHEMA.names), "review_date")
+
+
+def lake_config(spark, sf):
+    """The mapping config file, header by header."""
+    root = _lake_with_config(spark, sf)
+    return read_mapping_config(spark, f"{root}/config").select("source_dataset", "input_column", "target_column", "rating_divisor")
+
+
+def csv_export(spark, sf):
+    """The dimension as exported CSV, read back as text."""
+    path = fresh_path(spark, "export")
+    export_csv(dimension(spark, sf), path)
+    return spark.read.csv(path, header=True, quote='"', escape='"').select("restaurant_id", "restaurant_name", "categories")
+
+
+def _json_arrays(frames):
+    """The lines of each task as one JSON array."""
+    begun = False
+    for frame in frames:
+        if len(frame):
+            frame["value"] = ["," + line for line in frame["value"]]
+            if not begun:
+                frame.loc[frame.index[0], "value"] = "[" + frame["value"].iloc[0][1:]
+                begun = True
+            yield frame
+    if begun:
+        yield pd.DataFrame({"value": ["]"]})
+
+
+def cases_file(spark, sf):
+    """Evaluation cases through a JSON array file."""
+    path = fresh_path(spark, "cases")
+    cases = _cases(spark, sf)[0].select(F.col("id").cast("string").alias("id"), "category", "query", "expected_keywords")
+    cases.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(_json_arrays, "value string").write.text(path)
+    read = read_cases(spark, path)
+    return read.select("id", "category", F.md5("query").alias("query_md5"), F.size("expected_keywords").cast("bigint").alias("keywords"))
+
+
+def result_tables(spark, sf):
+    """Two runs of the evaluation summary side by side; a run written again replaces itself alone."""
+    path = fresh_path(spark, "results")
+    summary = summarize(score_answers(*_cases(spark, sf)), ("category",))
+    save_results(summary, path, "first")
+    save_results(summary.filter("category <> 'ratings'"), path, "second")
+    save_results(summary.filter("category = 'ratings'"), path, "second")
+    return spark.read.parquet(path).select("run", "category", "tests", "passed", "pass_rate")
+
+
+def dimension_stream(spark, sf):
+    """A dimension file through its stream."""
+    root = _lake_with_config(spark, sf)
+    ingest_dimension(spark, root, f"{root}/checkpoints/dimension").awaitTermination()
+    return _joined(spark.read.parquet(f"{root}/processed/reference"), "categories")
+
+
 def near_dup_check(spark, sf):
     """Near-duplicates per source, in raw."""
     return raw_reviews(spark, sf).groupBy("source").agg(F.count_if(is_near_dup(F.col("review_id"))).alias("near_dups"))
@@ -548,5 +675,6 @@ QUERIES: dict[str, Query] = {
         question_unknown_targets, context_blocks_query, answer_payloads,
         question_answers, text_chunks, index_documents, index_increment,
         index_counts, hash_embed, hash_retrieve, eval_keywords, eval_summary, eval_latency, stream_ingest, stream_index,
+        index_refresh, index_failures, stream_quarantine, lake_ingest, lake_config, csv_export, cases_file, result_tables, dimension_stream,
     )
 }

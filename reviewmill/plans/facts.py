@@ -29,18 +29,20 @@ def standardize_facts(
     raw: DataFrame,
     divisor: Column,
     unit: Sequence[str] = UNIT,
-    order: Sequence[str] = ("pos",),
+    order: Sequence[str] | None = None,
     compat: bool = False,
     formats: tuple[tuple[str, str], ...] = DEFAULT_DATE_FORMATS,
-    limit: int | None = None,
 ) -> DataFrame:
     """Raw contract rows to the 13 processed columns, in contract order.
 
     ``divisor`` is the rating divisor of a row's source. Ratings are normalised ahead of
     the collapse so a readable rating survives an unreadable sibling; ``compat=True``
     coalesces the raw cells first and keeps only what the first non-null one yields.
-    Columns of ``unit`` beyond ``source`` stay at the end for the sink to partition by.
+    ``order`` is the row order inside a unit: ``pos``, after ``file_key`` where rows have one, since rows are numbered
+    file by file and not across files. Columns of ``unit`` beyond ``source`` stay at the end for the sink to partition by.
     """
+    if order is None:
+        order = ("file_key", "pos") if "file_key" in raw.columns else ("pos",)
     dated = with_date(typed(raw), "review_date", formats)
     carried = [c for c in unit if c != "source"]
     rows = dated if compat else with_rating(dated, divisor)
@@ -58,5 +60,4 @@ def standardize_facts(
         "total_spent": derived_total(F.col("total_spent"), F.col("tip_amount"), F.col("tip_percentage")),
         "restaurant_id": F.col("source"),
     }).drop("tip_percentage")
-    facts = conform(completed, FACT_SCHEMA, tuple(carried))
-    return facts.limit(limit) if limit is not None else facts
+    return conform(completed, FACT_SCHEMA, tuple(carried))

@@ -250,13 +250,22 @@ _ANSWERS = views.oracle_text(views.ANSWERS)
 _REFUSALS = " OR ".join(f"contains(lower(answer), '{p}')" for p in ("not authorized", "cannot calculate", "quantitative questions", "typically say"))
 _SCORED = {
     "answers": _ANSWERS,
-    "marked": f"""SELECT id, category, answer, list_filter(string_split(query, ' ')[1:3], lambda w: contains(lower(answer), lower(w))) AS matched,
+    "marked": f"""SELECT id, category, answer, list_filter(list_filter(string_split(query, ' '), lambda w, i: list_position(string_split(query, ' '), w) = i), lambda w: contains(lower(answer), lower(w))) AS matched,
         upper(category) IN ('RATINGS', 'CALCULATIONS') AND ({_REFUSALS}) AS refused FROM answers""",
     "scored": """SELECT id, category, replace(answer, chr(10), ' ') AS answer,
         array_to_string(CASE WHEN refused THEN list_append(matched, 'GUARDRAIL_INTERCEPTED') ELSE matched END, '|') AS matched_keywords,
         refused, length(answer) > 0 AND (len(matched) > 0 OR refused) AS passed FROM marked""",
 }
 
+_REFRESH = {
+    **_DOC_FIELDS,
+    "first": """SELECT review_id, review_text FROM (SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY pos) AS rn FROM typed
+        WHERE review_id <> '' AND full_text) WHERE rn = 1""",
+    "edited": "SELECT review_id, review_text, CASE WHEN right(review_id, 1) IN ('1', '4', '7') THEN review_text || CASE WHEN right(review_id, 1) = '4' THEN ' edited?' ELSE ' edited!' END ELSE review_text END AS text FROM first",
+}
+_LAKE_COLUMNS = (
+    "review_id", "customer_id", "review_date", "rating", "review_text", "total_spent", "tip_amount", "tip_percentage", "party_size", "age_range", "gender", "ethnicity",
+)
 _CONTRACT_ROWS = " UNION ALL ".join(
     f"SELECT '{name}' AS check_id, '{dataset}' AS dataset, 0::BIGINT AS n_bad, '' AS sample_ids"
     for name, dataset in (
@@ -267,6 +276,58 @@ _LONE = """SELECT coalesce(f.id, d.id) AS restaurant_id, f.id IS NOT NULL AS in_
     FROM (SELECT DISTINCT lower(restaurant_id) AS id FROM facts) f FULL JOIN (SELECT DISTINCT restaurant_id AS id FROM dimension) d ON f.id = d.id
     WHERE f.id IS NULL OR d.id IS NULL"""
 
+# ---- hashed words ----
+
+_32 = "4294967295::UBIGINT"
+
+
+def _times(value: str, by: int) -> str:
+    return f"(({value}) * {by}::UBIGINT) & {_32}"
+
+
+def _turned(value: str, bits: int) -> str:
+    return f"((({value}) << {bits}) | (({value}) >> {32 - bits})) & {_32}"
+
+
+def _byte(at: str) -> str:
+    return f"substr(h, (2 * ({at}) + 1)::BIGINT, 2)"
+
+
+def _hashed(tokens: str) -> dict[str, str]:
+    """CTEs from ``tokens`` (id, word) to ``vectors`` (id, slot, weight): Murmur3 of every word, by the book."""
+    each = "list_transform(blocks, lambda k: {})"
+    steps = {}
+    for number, step in enumerate((_times("k", 3432918353), _turned("k", 15), _times("k", 461845907))):
+        steps[f"stirred{number}"] = (
+            f"SELECT word, n, {each.format(step)} AS blocks, {step.replace('k', 'tail')} AS tail FROM {f'stirred{number - 1}' if number else 'cut'}")
+    folded = _turned("xor(a, k)", 13)
+    return {
+        "tokens": tokens,
+        "coded": "SELECT word, hex(encode(word)) AS h, octet_length(encode(word))::UBIGINT AS n FROM (SELECT DISTINCT word FROM tokens)",
+        "cut": f"""SELECT word, n, list_transform(range(0, (n // 4)::BIGINT),
+              lambda i: ('0x' || {_byte('4 * i + 3')} || {_byte('4 * i + 2')} || {_byte('4 * i + 1')} || {_byte('4 * i')})::UBIGINT) AS blocks,
+            CASE n % 4 WHEN 0 THEN 0::UBIGINT WHEN 1 THEN ('0x' || {_byte('n - 1')})::UBIGINT WHEN 2 THEN ('0x' || {_byte('n - 1')} || {_byte('n - 2')})::UBIGINT
+              ELSE ('0x' || {_byte('n - 1')} || {_byte('n - 2')} || {_byte('n - 3')})::UBIGINT END AS tail FROM coded""",
+        **steps,
+        "folded": f"SELECT word, n, xor(xor(list_reduce(blocks, lambda a, k: (({folded}) * 5::UBIGINT + 3864292196::UBIGINT) & {_32}, 42::UBIGINT), tail), n) AS a FROM stirred2",
+        "mixed1": f"SELECT word, {_times('xor(a, a >> 16)', 2246822507)} AS a FROM folded",
+        "mixed2": f"SELECT word, {_times('xor(a, a >> 13)', 3266489909)} AS a FROM mixed1",
+        "slots": "SELECT word, (xor(a, a >> 16) % 1024)::INTEGER AS slot FROM mixed2",
+        "counts": "SELECT id, slot, count(*)::DOUBLE AS n FROM tokens JOIN slots USING (word) GROUP BY id, slot",
+        "vectors": "SELECT id, slot, (n / sqrt(sum(n * n) OVER (PARTITION BY id)))::FLOAT::DOUBLE AS weight FROM counts",
+    }
+
+
+_WORDS = r"unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word"
+_ASKED_SOURCES = {
+    "questions": "SELECT n_nationkey::BIGINT AS q_id, 'What about src' || n_nationkey || ' and the waiting?' AS question, n_nationkey % 5 = 0 AS paid FROM nation",
+    "resolved": """SELECT q_id, question, CASE WHEN paid AND len(named) < 2 THEN ['src0'] ELSE named END AS targets FROM (
+        SELECT q_id, question, paid, list_sort(list(DISTINCT source) FILTER (contains(question, source))) AS named
+        FROM questions, (SELECT DISTINCT source FROM documents) GROUP BY ALL)""",
+    "searches": """SELECT q_id, unnest(targets) AS target, generate_subscripts(targets, 1) - 1 AS target_no, len(targets) AS n,
+        CASE WHEN len(targets) > 1 THEN greatest(2, 5 // len(targets)) ELSE 5 END AS k FROM resolved""",
+}
+
 SQL: dict[str, str] = {
     "near_dup_drop": _with(raw=RAW) + f"""
         SELECT r.source, r.review_id, r.pos, coalesce(n.n, 0) AS near_dup_count FROM raw r
@@ -418,12 +479,12 @@ SQL: dict[str, str] = {
         WHERE lower(target) NOT IN (SELECT lower(location) FROM ({_NATIONS}))""",
     "context_blocks": _with(**_retrieved(), evidence=_EVIDENCE, blocks=_BLOCKS) + " SELECT q_id, n_sources, context FROM blocks",
     "answer_payloads": _with(**_retrieved(), evidence=_EVIDENCE, blocks=_BLOCKS) + """
-        SELECT c.q_id, 'Reviews:' || chr(10) || context || chr(10) || chr(10) || 'Question: Question ' || c.q_id || chr(10) || chr(10) || 'Answer:' AS prompt,
+        SELECT c.q_id, 'Use only these reviews.' || chr(10) || context || chr(10) || chr(10) || 'Asked: Question ' || c.q_id || chr(10) || 'Reply:' AS prompt,
           CASE WHEN b.q_id IS NULL THEN 'I couldn''t find any relevant reviews to answer that question.' END AS answer, coalesce(sources, '') AS sources
         FROM centroids c LEFT JOIN blocks b ON c.q_id = b.q_id""",
     "text_chunks": """
-        SELECT doc_id AS review_id, CAST(i AS INTEGER) AS chunk_no, substr(text, i * 2000 + 1, 2000) AS chunk
-        FROM documents, range(0, 100000) t(i) WHERE i * 2000 < length(text)""",
+        SELECT review_id, CAST(i AS INTEGER) AS chunk_no, substr(text, i * 2000 + 1, 2000) AS chunk
+        FROM (SELECT doc_id AS review_id, text, unnest(range(0, (length(text) + 1999) // 2000)) AS i FROM documents)""",
     "index_documents": _with(**_DOC_FIELDS) + " SELECT pos, review_id, restaurant_id, rating, review_date FROM typed",
     "index_increment": _with(**_DOC_FIELDS) + """
         SELECT review_id, restaurant_id, rating, review_date, review_text FROM
@@ -442,6 +503,46 @@ SQL: dict[str, str] = {
     "stream_index": _with(**_facts()) + f"""
         SELECT review_id, restaurant_id, CAST(rating AS FLOAT) AS rating, strftime(review_date, '%Y-%m-%d') AS review_date, review_text
         FROM facts WHERE NOT ({_blank_text('review_text')})""",
+    "hash_embed": _with(**_hashed(f"SELECT doc_id AS id, {_WORDS} FROM documents")) + " SELECT id AS doc_id, slot, weight FROM vectors",
+    "hash_retrieve": _with(
+        **_hashed(f"SELECT 'd' || doc_id AS id, {_WORDS} FROM documents UNION ALL SELECT 'q' || item_id, {_WORDS} FROM benchmark"),
+        scored="""SELECT q.id AS q, d.id AS d, round(sum(q.weight * d.weight), 9) AS score_ FROM vectors q JOIN vectors d USING (slot)
+            WHERE q.id LIKE 'q%' AND d.id LIKE 'd%' GROUP BY q.id, d.id""",
+        ranked="""SELECT *, row_number() OVER (PARTITION BY q ORDER BY score_ DESC, d) AS rank, max(score_) OVER (PARTITION BY q) AS top FROM scored""",
+    ) + """
+        SELECT substr(q, 2)::BIGINT AS q_id, rank::INTEGER AS rank, substr(d, 2) AS review_id, source AS restaurant_id, round(score_, 6) AS score
+        FROM ranked JOIN documents ON 'd' || doc_id = d WHERE rank <= 5 AND score_ >= 0.7 * top""",
+    "question_answers": _with(
+        **_ASKED_SOURCES,
+        **_hashed(f"SELECT 'd' || doc_id AS id, {_WORDS} FROM documents UNION ALL SELECT 'q' || q_id, {_WORDS.replace('text', 'question')} FROM questions"),
+        scored="""SELECT q.id AS q, d.id AS d, round(sum(q.weight * d.weight), 9) AS score_ FROM vectors q JOIN vectors d USING (slot)
+            WHERE q.id LIKE 'q%' AND d.id LIKE 'd%' GROUP BY q.id, d.id""",
+        pairs="""SELECT s.*, doc_id::VARCHAR AS review_id, text, coalesce(score_, 0) AS score_ FROM searches s JOIN documents ON source = target
+            LEFT JOIN scored ON q = 'q' || q_id AND d = 'd' || doc_id""",
+        ranked="SELECT *, row_number() OVER (PARTITION BY q_id, target_no ORDER BY score_ DESC, review_id) AS rank FROM pairs",
+        found="SELECT *, max(score_) OVER (PARTITION BY q_id) AS top FROM ranked WHERE rank <= k",
+        blocks="""SELECT q_id, string_agg('- Restaurant: ' || target || ' | Rating: n/a | Review: ' || text, chr(10) ORDER BY target_no, rank) AS context,
+            string_agg(review_id, '|' ORDER BY target_no, rank) AS sources FROM found WHERE n > 1 OR top <= 0 OR score_ >= 0.7 * top GROUP BY q_id""",
+    ) + """
+        SELECT q_id, md5('Use only these reviews.' || chr(10) || context || chr(10) || chr(10) || 'Asked: ' || question || chr(10) || 'Reply:') AS prompt_md5,
+          CASE WHEN context IS NULL THEN 'I couldn''t find any relevant reviews to answer that question.' END AS answer,
+          coalesce(sources, '') AS sources, NULL::VARCHAR AS error
+        FROM questions LEFT JOIN blocks USING (q_id)""",
+    "index_refresh": _with(**_REFRESH) + " SELECT review_id, md5(CASE WHEN text LIKE '%?' AND text <> review_text THEN review_text ELSE text END) AS text_md5 FROM edited",
+    "index_failures": _with(**_REFRESH) + " SELECT review_id, md5(text) AS text_md5 FROM edited WHERE text LIKE '%?' AND text <> review_text",
+    "stream_quarantine": _with(raw=RAW) + " SELECT DISTINCT source AS folder, true AS held FROM raw WHERE source = 'west'",
+    "lake_ingest": _facts_text(False),
+    "lake_config": _with(raw=RAW) + f"""
+        SELECT source AS source_dataset, c AS input_column, c AS target_column, CASE WHEN c = 'rating' THEN 2::DOUBLE END AS rating_divisor
+        FROM (SELECT DISTINCT source FROM raw), (SELECT unnest({list(_LAKE_COLUMNS)}) AS c)""",
+    "csv_export": _with(**_DIMENSION) + """
+        SELECT restaurant_id, restaurant_name, '[' || array_to_string(list_transform(categories, lambda c: '"' || c || '"'), ', ') || ']' AS categories FROM dimension""",
+    "cases_file": _with(answers=_ANSWERS) + """
+        SELECT id::VARCHAR AS id, category, md5(query) AS query_md5, len(list_distinct(string_split(query, ' '))) AS keywords FROM answers""",
+    "result_tables": _with(**_SCORED) + """
+        SELECT run, category, count(*) AS tests, count(*) FILTER (passed) AS passed, round(avg(passed::INT) * 100, 1) AS pass_rate
+        FROM scored, (SELECT unnest(['first', 'second']) AS run) WHERE run = 'first' OR category = 'ratings' GROUP BY run, category""",
+    "dimension_stream": _with(**_DIMENSION) + " SELECT * REPLACE (array_to_string(categories, '|') AS categories) FROM dimension",
     "eval_keywords": _with(**_SCORED) + " SELECT * FROM scored",
     "eval_summary": _with(**_SCORED) + """
         SELECT category, count(*) AS tests, count(*) FILTER (passed) AS passed, round(avg(passed::INT) * 100, 1) AS pass_rate FROM scored GROUP BY category""",

@@ -13,7 +13,7 @@ SELECT event_id AS pos,
   CASE user_id % 4 WHEN 0 THEN 'north' WHEN 1 THEN 'south' WHEN 2 THEN 'east' ELSE 'west' END AS source,
   concat('u', CAST(user_id AS STRING), 'd', CAST(day(ts) AS STRING),
          CASE WHEN event_id % 11 = 0 THEN '_copy' WHEN event_id % 13 = 0 THEN '_DUP' ELSE '' END) AS review_id,
-  concat('Customer_', lpad(CAST(event_id % 10000 AS STRING), 4, '0')) AS customer_id,
+  concat('Customer_', CAST(CAST(floor(user_id / 4) AS BIGINT) AS STRING)) AS customer_id,
   CASE event_id % 4
     WHEN 0 THEN concat(CAST(year(ts) AS STRING), '-', lpad(CAST(month(ts) AS STRING), 2, '0'), '-', lpad(CAST(day(ts) AS STRING), 2, '0'))
     WHEN 1 THEN concat(lpad(CAST(month(ts) AS STRING), 2, '0'), '/', lpad(CAST(day(ts) AS STRING), 2, '0'), '/', CAST(year(ts) AS STRING))

@@ -71,6 +71,20 @@ def ingest_source(
     return _drain(mine, load, checkpoint)
 
 
+def quarantine_unknown(spark: SparkSession, root: str, config: SourceConfig, checkpoint: str) -> StreamingQuery:
+    """List new raw files that no source and no dimension claims in ``<root>/quarantine/files``; contents are not read."""
+    arrived = (
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", "true").load(f"{root.rstrip('/')}/raw")
+        .select(relative_key(F.col("_metadata.file_path"), root).alias("file_key"), F.col("length").alias("n_bytes"), "modificationTime")
+    )
+    unknown = arrived.filter(source_of(F.col("file_key"), config.sources).isNull() & ~is_reference_key(F.col("file_key")))
+    return (
+        unknown.writeStream.format("parquet").option("path", f"{root}/quarantine/files").option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def ingest_dimension(spark: SparkSession, root: str, checkpoint: str, columns: list[str] | None = None) -> StreamingQuery:
     """Drain new dimension files; the latest file replaces the dimension."""
     stream = _csv_stream(spark, root, columns or list(RAW_REFERENCE_COLUMNS), 1, True)

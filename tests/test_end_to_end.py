@@ -11,7 +11,6 @@ from reviewmill.operators import dedup, quality
 from reviewmill.operators.dimension import conform_dimension, standardize_dimension
 from reviewmill.operators.evaluate import score_answers, summarize
 from reviewmill.operators.index import append_documents, ensure_index
-from reviewmill.operators.targets import known_tags
 from reviewmill.plans.answers import answer_questions
 from reviewmill.plans.facts import standardize_facts
 from reviewmill.sources.files import load_config, read_cases, read_facts, save_results, write_silver
@@ -89,10 +88,10 @@ def test_files_to_scored_answers(spark, lake, tmp_path):
     )
 
     def parrot(prompts):
-        refusal = F.contains("prompt", F.lit("Question: average?"))
+        refusal = F.contains("prompt", F.lit("Asked: average?"))
         return prompts.select("q_id", F.when(refusal, "Quantitative questions are not authorized.").otherwise(F.col("prompt")).alias("answer"))
 
-    payload = answer_questions(questions, index, reference, known_tags(spark), answers=parrot)
+    payload = answer_questions(questions, index, reference, spark.createDataFrame([(s,) for s in HEADERS], "tag string"), answers=parrot)
     got = {r["q_id"]: r for r in payload.collect()}
     assert len(got) == 7 and got[7]["error"] and all(got[i]["error"] is None for i in range(1, 7))
 

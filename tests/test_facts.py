@@ -124,5 +124,14 @@ def test_keep_first_and_near_dup_counts(spark):
     assert first == expected
 
 
-def test_limit(spark):
-    assert standardize_facts(make(spark, random_rows(200)), F.lit(2), limit=5).count() == 5
+def test_row_order_follows_files_not_their_size(spark, tmp_path):
+    """Spark reads the largest file first; the first value of an id still comes from the first file."""
+    from reviewmill.operators.headers import SourceConfig
+    from reviewmill.sources.files import read_facts
+
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw/north_a.csv").write_text("review_id,rating\nx,1\n")
+    (tmp_path / "raw/north_b.csv").write_text("review_id,rating\nx,2\n" + "".join(f"y{i},3\n" for i in range(3000)))
+    raw, _, unknown, _ = read_facts(spark, str(tmp_path), SourceConfig({"north": {"review_id": "review_id", "rating": "rating"}}, {}))
+    got = {r["review_id"]: r["rating"] for r in standardize_facts(raw, F.lit(1)).collect()}
+    assert got["x"] == 1.0 and len(got) == 3001 and unknown == []

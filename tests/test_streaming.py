@@ -7,7 +7,7 @@ import pytest
 from reviewmill.contracts import FACT_COLUMNS
 from reviewmill.operators.headers import SourceConfig
 from reviewmill.operators.index import ensure_index
-from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_source
+from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_source, quarantine_unknown
 
 CONFIG = SourceConfig(
     headers={"harbor": {"review_number": "review_id", "score": "rating", "words": "review_text"}, "harborside": {"id": "review_id"}},
@@ -88,3 +88,16 @@ def test_dimension_stream(spark, tmp_path):
     ingest_dimension(spark, str(tmp_path), str(tmp_path / "dc")).awaitTermination()
     row = spark.read.parquet(str(tmp_path / "processed/reference")).first()
     assert row["restaurant_id"] == "harbor" and row["categories"] == ["a", "b"]
+
+
+def test_unknown_files_are_listed_once(spark, tmp_path):
+    drop(tmp_path, "harbor_1.csv", [("a", "8", "x", "")])
+    drop(tmp_path, "stranger.csv", [("b", "8", "x", "")])
+    drop(tmp_path, "restaurant_info.csv", [("c", "8", "x", "")])
+    for _ in range(2):
+        quarantine_unknown(spark, str(tmp_path), CONFIG, str(tmp_path / "uc")).awaitTermination()
+        files = spark.read.parquet(str(tmp_path / "quarantine/files")).collect()
+        assert [(r["file_key"], r["n_bytes"] > 0) for r in files] == [("raw/stranger.csv", True)]
+    drop(tmp_path, "other.csv", [("b", "8", "x", "")])
+    quarantine_unknown(spark, str(tmp_path), CONFIG, str(tmp_path / "uc")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "quarantine/files")).count() == 2
