@@ -131,8 +131,10 @@ def term_spans(terms: DataFrame, holding: DataFrame) -> DataFrame:
     strongest = written(strongest, "pii-met")
     some = strongest.select("doc_id", "digest").distinct()
     texts = holding.join(some, _key(holding, some), "left_semi")
+    word = F.col("s.value")
+    start = F.col("s.start") + F.length(word) - F.length(F.ltrim(word, F.lit(_TERM_MARKS)))
     placed = texts.select("doc_id", "digest", F.explode(spans.find(F.col("text"), r"[^\x20\x09-\x0D]++")).alias("s")).select(
-        "doc_id", "digest", "s.start", "s.end", _term(F.col("s.value")).alias("term"))
+        "doc_id", "digest", start.alias("start"), (start + F.length(F.btrim(word, F.lit(_TERM_MARKS)))).alias("end"), _term(word).alias("term"))
     found = placed.join(strongest, _key(placed, strongest) & (placed["term"] == strongest["term"])).select(
         placed["doc_id"], placed["digest"], F.struct(
             F.when(F.col("strength") >= REVEAL, len(KINDS)).otherwise(len(KINDS) + 1).alias("rank"),
