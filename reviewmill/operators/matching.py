@@ -1,8 +1,7 @@
-"""Which dictionary entries occur inside which texts, as an equi-join.
+"""Which dictionary entries occur inside which texts, as an equi-join on whole entries.
 
-A cross product of texts and entries does not scale. Each entry is keyed by its rarest
-piece of up to three characters, each text by all of its pieces; only equal pieces meet,
-and ``contains`` confirms. A text holding the entry holds its piece, so nothing is lost.
+A cross product of texts and entries does not scale. A dictionary has few distinct lengths, so each text is cut into its
+distinct substrings of exactly these lengths, and only substrings equal to an entry meet it: what leaves the join is a match.
 """
 
 from __future__ import annotations
@@ -12,28 +11,24 @@ from pyspark.sql import functions as F
 
 from reviewmill.operators.bounds import small_copy
 
-PIECE = 3
 LITERAL_LIMIT = 128
+_WORD_EDGE = r"[\p{L}\p{N}_]"
 
 
-def _pieces(col: Column, width: int) -> Column:
-    """Distinct substrings of one width."""
-    starts = F.sequence(F.lit(1), F.length(col) - (width - 1))
-    cut = F.array_distinct(F.transform(starts, lambda i: F.substring(col, i, F.lit(width))))
-    return F.when(F.length(col) >= width, cut)
+def _cuts(text: Column, widths: list[int], word: bool) -> Column:
+    """Distinct substrings of the given widths, on request only those between word boundaries."""
 
+    def of_width(width: Column) -> Column:
+        starts = F.when(F.length(text) >= width, F.sequence(F.lit(1), F.length(text) - width + 1)).otherwise(F.array().cast("array<int>"))
+        if word:
+            def free(i: Column) -> Column:
+                ahead = F.when(i > 1, F.substring(text, i - 1, F.lit(1))).otherwise("")
+                return ~ahead.rlike(_WORD_EDGE) & ~F.substring(text, i + width, F.lit(1)).rlike(_WORD_EDGE)
 
-def _signed(entries: DataFrame, entry: str) -> DataFrame:
-    """Entries with the piece the fewest entries share, ties settled by the piece itself."""
-    width = F.least(F.length(entry), F.lit(PIECE))
-    pieces = F.coalesce(_pieces(F.col(entry), PIECE), F.array(F.col(entry)))
-    exploded = entries.filter(width > 0).select(entry, F.explode(pieces).alias("piece"))
-    shared = exploded.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    return (
-        exploded.join(shared, "piece")
-        .groupBy(entry)
-        .agg(F.min_by("piece", F.struct("n", "piece")).alias("piece"))
-    )
+            starts = F.filter(starts, free)
+        return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, width)))
+
+    return F.flatten(F.transform(F.array(*[F.lit(w) for w in widths]), of_width))
 
 
 def holds(text: Column, entry: Column, word: bool = False) -> Column:
@@ -41,8 +36,7 @@ def holds(text: Column, entry: Column, word: bool = False) -> Column:
     held = F.contains(text, entry)
     if word:
         literal = F.concat(F.lit(r"\Q"), F.replace(entry, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-        edge = r"[\p{L}\p{N}_]"
-        held = held & F.regexp_like(text, F.concat(F.lit(f"(?<!{edge})"), literal, F.lit(f"(?!{edge})")))
+        held = held & F.regexp_like(text, F.concat(F.lit(f"(?<!{_WORD_EDGE})"), literal, F.lit(f"(?!{_WORD_EDGE})")))
     return held
 
 
@@ -55,7 +49,7 @@ def match_substrings(
     ``texts`` has one row per ``text_id``. Comparison is exact, so lower-case both sides
     first to ignore case. ``word=True`` asks for word boundaries around the entry as well.
     A dictionary of up to ``literal_limit`` entries becomes an array literal that each text
-    filters in place; a larger one is joined by pieces.
+    filters in place; a larger one is joined on whole entries, of which only the distinct lengths are collected.
     """
     distinct = entries.select(entry).filter(F.length(entry) > 0).distinct()
     few = distinct.limit(literal_limit + 1).collect()
@@ -64,13 +58,7 @@ def match_substrings(
         found = F.filter(known, lambda e: holds(F.col(text), e, word))
         return texts.select(text_id, F.explode(found).alias(entry))
 
-    signed = _signed(distinct, entry)
-    widths = F.concat(*[F.coalesce(_pieces(F.col(text), w), F.array().cast("array<string>")) for w in range(1, PIECE + 1)])
-    held = holds(F.col(text), F.col(entry), word)
-    local = small_copy(signed)
-    if local is not None:
-        exploded = texts.select(text_id, text, F.explode(widths).alias("piece"))
-        return exploded.join(F.broadcast(local), "piece").filter(held).select(text_id, entry)
-    # A dictionary past the bound shuffles: move ids and pieces only, fetch texts for the candidates.
-    candidates = texts.select(text_id, F.explode(widths).alias("piece")).join(signed, "piece").select(text_id, entry)
-    return candidates.join(texts.select(text_id, text), text_id).filter(held).select(text_id, entry)
+    widths = [r[0] for r in distinct.select(F.length(entry)).distinct().orderBy(F.length(entry)).collect()]
+    cut = texts.select(text_id, F.explode(_cuts(F.col(text), widths, word)).alias(entry))
+    local = small_copy(distinct)
+    return cut.join(distinct if local is None else F.broadcast(local), entry).select(text_id, entry)

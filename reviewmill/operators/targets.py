@@ -24,7 +24,7 @@ def add_text_targets(
 
     ``names`` is the name dictionary (name, restaurant_id), ``tags`` holds ``tag``; both in
     lower case. A small dictionary is filtered in place, row by row and without a shuffle;
-    a larger one is joined on pieces of the text.
+    a larger one is joined on substrings of the text.
     """
     entries = names.select("name", "restaurant_id").unionByName(
         tags.select(F.col("tag").alias("name"), F.col("tag").alias("restaurant_id"))

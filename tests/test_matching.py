@@ -31,3 +31,15 @@ def test_word_match(spark, limit):
     names = spark.createDataFrame([("luke",)], "entry string")
     got = match_substrings(texts, names, "id", "text", "entry", word=True, literal_limit=limit)
     assert sorted(r["id"] for r in got.collect()) == [0, 2, 4]
+
+
+def test_only_matches_leave_the_join(spark):
+    """Names that share every short piece: rows joined are the true matches, in proportion to the texts."""
+    made = []
+    for n in (100, 400):
+        names = spark.createDataFrame([(f"source_{i:05d}",) for i in range(n)], "entry string")
+        texts = spark.createDataFrame([(i, f"raw/source_{i:05d}.csv") for i in range(n)], "id int, text string")
+        found = match_substrings(texts, names, "id", "text", "entry", literal_limit=0)
+        assert sorted(map(tuple, found.collect())) == [(i, f"source_{i:05d}") for i in range(n)]
+        made.append(found.count())
+    assert made == [100, 400]
