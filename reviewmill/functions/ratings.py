@@ -33,6 +33,16 @@ def rating_outcome(col: Column) -> Column:
     )
 
 
+def symbol_set(df: DataFrame, cell: Column, by: str) -> DataFrame:
+    """``by, symbols``: the distinct symbol characters of each group's cells, sorted and joined.
+
+    Characters are counted first, so what a group gathers is bounded by the distinct symbols.
+    """
+    each = df.select(by, F.explode(F.regexp_extract_all(symbols(cell), F.lit("(?s)."), F.lit(0))).alias("symbol"))
+    return each.groupBy(by, "symbol").agg(F.count(F.lit(1)).alias("n")).groupBy(by).agg(
+        F.array_join(F.sort_array(F.collect_list("symbol")), "").alias("symbols"))
+
+
 def with_rating(df: DataFrame, divisor: Column, column: str = "rating") -> DataFrame:
     """Scale numbers by the divisor, count symbols, null everything mixed or unreadable.
 

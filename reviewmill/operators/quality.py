@@ -27,9 +27,14 @@ def _blank(df: DataFrame, column: str) -> Column:
     return is_blank(F.col(column), dict(df.dtypes)[column])
 
 
-def row_failures(facts: DataFrame, dataset: str = "restaurant_id") -> DataFrame:
-    """``check_id, dataset, review_id`` of every failed row check on processed facts."""
+def row_failures(facts: DataFrame, dataset: str | None = None) -> DataFrame:
+    """``check_id, dataset, review_id`` of every failed row check on processed facts.
+
+    ``dataset`` names the column with the source of a row's file: ``source`` where there is one. A restaurant id that is null
+    or not its source's fails.
+    """
     types = dict(facts.dtypes)
+    dataset = dataset or ("source" if "source" in types else "restaurant_id")
     rating_text = F.col("rating")
     date_ok = F.col("review_date").isNotNull() if types["review_date"] == "date" else is_iso_date(F.col("review_date"))
     several = F.col("transaction_count") > 1
@@ -38,7 +43,7 @@ def row_failures(facts: DataFrame, dataset: str = "restaurant_id") -> DataFrame:
         "date_format": ~date_ok,
         "near_dup_left": is_near_dup(F.col("review_id")),
         "id_encoding": ~is_base64url(F.col("review_id"), allow_empty=False),
-        "restaurant_mismatch": F.lower("restaurant_id") != F.col(dataset),
+        "restaurant_mismatch": ~F.lower("restaurant_id").eqNullSafe(F.lower(F.col(dataset))),
     }
     for field in NULLED_ON_DUPLICATE:
         if field in types:

@@ -12,7 +12,7 @@ from reviewmill.contracts import FACT_SCHEMA, MAX_CHARS
 from reviewmill.functions.dates import is_iso_date, with_date
 from reviewmill.functions.ids import base_id, is_base64url, is_near_dup
 from reviewmill.functions.numbers import derived_total, needs_total
-from reviewmill.functions.ratings import rating_outcome, with_rating
+from reviewmill.functions.ratings import rating_outcome, symbol_set, with_rating
 from reviewmill.functions.text import has_text, one_line, split_list
 from reviewmill.operators import dedup, profile, quality
 from reviewmill.operators.context import answer_payload, context_blocks, with_documents
@@ -110,6 +110,12 @@ def rating_outcomes(spark, sf):
     )
 
 
+def rating_symbols(spark, sf):
+    """The symbols in which ratings are written, by source."""
+    rated = raw_reviews(spark, sf).filter(rating_outcome(F.col("rating")) == "symbol")
+    return symbol_set(rated, F.col("rating"), "source")
+
+
 def derive_total(spark, sf):
     args = (F.col("total_spent"), F.col("tip_amount"), F.col("tip_percentage"))
     return raw_reviews(spark, sf).filter(needs_total(*args)).select(
@@ -207,7 +213,7 @@ def _rough_facts(spark, sf) -> DataFrame:
     raw = raw_reviews(spark, sf)
     numbered = raw.withColumns({
         "rating": F.col("rating").try_cast("double"), "transaction_count": (F.col("pos") % 3 + 1).cast("bigint"),
-        "restaurant_id": F.col("source"),
+        "restaurant_id": F.when(F.col("pos") % 17 == 0, F.lit("elsewhere")).when(F.col("pos") % 19 != 0, F.col("source")),
     })
     return numbered.drop("tip_percentage")
 
@@ -666,7 +672,7 @@ QUERIES: dict[str, Query] = {
     f.__name__.removesuffix("_query"): f
     for f in (
         near_dup_drop, near_dup_orphans, near_dup_check, collapse_duplicates, keep_first, date_normalize, date_audit,
-        rating_normalize, rating_outcomes, derive_total, fact_standardize, fact_standardize_compat, header_union,
+        rating_normalize, rating_outcomes, rating_symbols, derive_total, fact_standardize, fact_standardize_compat, header_union,
         source_routing, source_routing_many, config_headers, config_divisors, dimension_standardize, category_counts, dictionary,
         id_encoding_audit, id_encoding_samples, dq_row_checks, dq_passthrough, dq_summary, dq_cross_ids, dq_reconcile,
         profile_fanout, profile_tips, profile_domain_gaps, profile_spend, profile_overlap, profile_cents,

@@ -103,19 +103,19 @@ def _blank_text(cell: str) -> str:
     return f"NOT coalesce(regexp_matches({cell}, '[^{_SPACE[1:-1]}]'), false)"
 
 
-def _row_failures(facts: str, date_bad: str) -> str:
+def _row_failures(facts: str, date_bad: str, dataset: str = "restaurant_id") -> str:
     rules = {
         "rating_domain": "rating IS NOT NULL AND rating NOT IN (1, 2, 3, 4, 5)",
         "date_format": date_bad,
         "near_dup_left": _NEAR,
         "id_encoding": f"NOT ({_lenient('review_id')}) OR review_id = ''",
-        "restaurant_mismatch": "lower(restaurant_id) <> restaurant_id",
+        "restaurant_mismatch": f"lower(restaurant_id) IS DISTINCT FROM lower({dataset})",
     }
     for field in _NULLED:
         blank = f"{field} IS NULL" if field in ("total_spent", "tip_amount", "party_size") else _blank_text(field)
         rules[f"not_nulled_{field}"] = f"transaction_count > 1 AND NOT ({blank})"
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS check_id, restaurant_id AS dataset, review_id FROM {facts} WHERE {rule}" for name, rule in rules.items()
+        f"SELECT '{name}' AS check_id, {dataset} AS dataset, review_id FROM {facts} WHERE {rule}" for name, rule in rules.items()
     )
 
 
@@ -361,6 +361,10 @@ SQL: dict[str, str] = {
         FROM raw GROUP BY source""",
     "rating_normalize": _with(raw=RAW) + f" SELECT pos, rating AS raw_rating, {_rating('rating')} AS rating FROM raw",
     "rating_outcomes": _with(raw=RAW) + f" SELECT source, {_outcome('rating')} AS outcome, count(*) AS n_rows FROM raw GROUP BY ALL",
+    "rating_symbols": _with(raw=RAW) + f"""
+        SELECT source, array_to_string(list_sort(list(DISTINCT symbol)), '') AS symbols FROM (
+          SELECT source, unnest(regexp_extract_all(regexp_replace(rating, '{_NON_SYMBOL}', '', 'g'), '.')) AS symbol
+          FROM raw WHERE {_outcome('rating')} = 'symbol') GROUP BY source""",
     "derive_total": _with(raw=RAW) + f" SELECT pos, tip_amount, tip_percentage, {_TOTAL} AS total_spent FROM raw WHERE {_NEEDS_TOTAL}",
     "fact_standardize": _facts_text(False),
     "fact_standardize_compat": _facts_text(True),
@@ -396,9 +400,10 @@ SQL: dict[str, str] = {
         SELECT source, count(*) AS n_bad, array_to_string(list_sort(list(review_id))[1:10], '|') AS sample_ids
         FROM raw WHERE NOT {_strict('review_id')} GROUP BY source""",
     "dq_row_checks": _with(
-        raw=RAW, rough="SELECT * REPLACE (TRY_CAST(trim(rating) AS DOUBLE) AS rating), pos % 3 + 1 AS transaction_count, source AS restaurant_id FROM raw",
+        raw=RAW, rough="""SELECT * REPLACE (TRY_CAST(trim(rating) AS DOUBLE) AS rating), pos % 3 + 1 AS transaction_count,
+            CASE WHEN pos % 17 = 0 THEN 'elsewhere' WHEN pos % 19 <> 0 THEN source END AS restaurant_id FROM raw""",
     ) + _sampled(_row_failures(
-        "rough", "NOT coalesce(regexp_full_match(review_date, '\\d{4}-\\d{2}-\\d{2}') AND try_strptime(review_date, '%Y-%m-%d') IS NOT NULL, false)"
+        "rough", "NOT coalesce(regexp_full_match(review_date, '\\d{4}-\\d{2}-\\d{2}') AND try_strptime(review_date, '%Y-%m-%d') IS NOT NULL, false)", "source"
     )),
     "dq_passthrough": _with(
         **_facts(), damaged="""SELECT * REPLACE (CASE WHEN restaurant_id <> 'north' THEN review_text END AS review_text,
