@@ -7,8 +7,9 @@ never written out. Scores are rounded to nine decimals before ranking: equal sco
 ties, and the smaller review id comes first.
 
 The search matrix travels to the tasks, so its size is bounded. Past the bound searches
-are cut into hash slices; each slice makes its own pass over the reviews and leaves its
-hits in the shared folder, and the driver never holds more than one slice.
+are cut by target and, within one bucket of targets, by hash; each part makes its own pass
+over the reviews of its targets and leaves its hits in the shared folder, and the driver
+never holds more than one part.
 """
 
 from __future__ import annotations
@@ -113,29 +114,41 @@ def _one_pass(reviews: DataFrame, searches: pa.Table) -> DataFrame:
 def best_hits(index: DataFrame, searches: DataFrame, max_bytes: int = SEARCH_BYTES) -> DataFrame:
     """Hits of each search in ``rank`` order, k at most.
 
-    Only id, restaurant and vector are read here; texts join the few hits afterwards.
+    Only id, restaurant and vector are read here; texts join the few hits afterwards. The searches are written once, so
+    whatever embeds the questions runs once. More searches than fit ``max_bytes`` are cut by target, so that each pass reads
+    its restaurants only; the searches of one bucket of targets that are still too many are cut by hash.
     """
     spark = index.sparkSession
     reviews = index.select("review_id", "restaurant_id", "embedding").filter(F.col("embedding").isNotNull())
-    slim = searches.select(*SEARCH_COLUMNS).filter(F.col("embedding").isNotNull())
-    probe = slim.limit(1).toArrow()
-    if not probe.num_rows:
+    # filtered after the write: a filter on a model's output ahead of it would run the model twice
+    slim = _written(searches.select(*SEARCH_COLUMNS), "searches").filter(F.col("embedding").isNotNull())
+    stats = slim.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k"), F.max(F.size("embedding")).alias("dim")).first()
+    if not stats["n"]:
         return spark.createDataFrame([], HIT_COLUMNS + ", rank int")
-    bound = max(1, max_bytes // (8 * len(probe.column("embedding")[0]) + 256))
-    first = slim.limit(bound + 1).toArrow()
-    if first.num_rows <= bound:
-        return _ranked(_one_pass(reviews, first), max(first.column("k").to_pylist()))
-    stats = slim.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k")).first()
-    slices = 2 * -(-stats["n"] // bound)  # twice as many as fit, since hash slices vary in size
+    bound = max(1, max_bytes // (8 * stats["dim"] + 256))
+    if stats["n"] <= bound:
+        return _ranked(_one_pass(reviews, slim.toArrow()), stats["k"])
     path = fresh_path(spark, "hits")
-    cut = slim.withColumn("_slice", F.pmod(F.xxhash64("q_id", "target_no"), F.lit(slices)))
-    for i in range(slices):
-        part = cut.filter(F.col("_slice") == i).drop("_slice").toArrow()
-        if part.num_rows:
-            _ranked(_one_pass(reviews, part), stats["k"]).drop("rank").write.mode("append").parquet(path)
+    buckets = -(-stats["n"] // bound)
+    placed = slim.withColumns({
+        "_bucket": F.pmod(F.xxhash64("target"), F.lit(buckets)), "_turn": F.xxhash64("q_id", "target_no"),
+    })
+    for row in placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+        turns = 1 if row["n"] <= bound else 2 * -(-row["n"] // bound)  # twice as many as fit, since hash slices vary in size
+        for turn in range(turns):
+            mine = (F.col("_bucket") == row["_bucket"]) & (F.pmod("_turn", F.lit(turns)) == turn)
+            part = placed.filter(mine).drop("_bucket", "_turn").toArrow()
+            if part.num_rows:
+                _ranked(_one_pass(reviews, part), stats["k"]).drop("rank").write.mode("append").parquet(path)
     return _ranked(spark.read.schema(HIT_COLUMNS).parquet(path), stats["k"])
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _ranked(hits: DataFrame, deepest: int) -> DataFrame:
     order = Window.partitionBy("q_id", "target_no").orderBy(F.desc("score"), "review_id")
     ranked = hits.withColumn("rank", F.row_number().over(order))
@@ -223,6 +236,7 @@ def retrieve(
     fraction: float = RELATIVE_CUTOFF,
     filter_mode: str = "pre",
     transform: Callable[[Column], Column] | None = None,
+    max_bytes: int = SEARCH_BYTES,
 ) -> DataFrame:
     """Evidence per question: ``q_id, target_no, rank, review_id, restaurant_id, score, fallback``.
 
@@ -233,7 +247,7 @@ def retrieve(
     ``transform`` maps scores monotonically ahead of the cut-off.
     """
     searches = plan_searches(questions, top_k, filter_mode)
-    hits = best_hits(index, searches)
+    hits = best_hits(index, searches, max_bytes)
     if transform is not None:
         hits = hits.withColumn("score", transform(F.col("score")))
     if filter_mode == "post":

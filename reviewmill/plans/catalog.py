@@ -352,6 +352,12 @@ def knn_balanced(spark, sf):
     return _scored(hits).select("q_id", "target_no", "rank", "review_id", "restaurant_id", "score", "fallback")
 
 
+def knn_sliced(spark, sf):
+    """The same under a bound of a few searches a pass, so that they are cut by target and by hash."""
+    hits = retrieve(_index(spark, sf), _targeted_questions(spark, sf), max_bytes=4000)
+    return _scored(hits).select("q_id", "target_no", "rank", "review_id", "restaurant_id", "score", "fallback")
+
+
 def knn_fallback(spark, sf):
     hits = retrieve(_index(spark, sf), _targeted_questions(spark, sf), filter_mode="post")
     return _scored(hits).select("q_id", "target_no", "rank", "review_id", "restaurant_id", "score", "fallback")
@@ -677,7 +683,7 @@ QUERIES: dict[str, Query] = {
         id_encoding_audit, id_encoding_samples, dq_row_checks, dq_passthrough, dq_summary, dq_cross_ids, dq_reconcile,
         profile_fanout, profile_tips, profile_domain_gaps, profile_spend, profile_overlap, profile_cents,
         profile_text_length, restaurant_summary, docs_per_restaurant, knn_topk, knn_cutoff, knn_filtered, knn_balanced,
-        knn_fallback, question_targets, question_targets_word, question_resolution, question_rejected,
+        knn_sliced, knn_fallback, question_targets, question_targets_word, question_resolution, question_rejected,
         question_unknown_targets, context_blocks_query, answer_payloads,
         question_answers, text_chunks, index_documents, index_increment,
         index_counts, hash_embed, hash_retrieve, eval_keywords, eval_summary, eval_latency, stream_ingest, stream_index,

@@ -472,6 +472,7 @@ SQL: dict[str, str] = {
             SELECT q_id, 'r' || (q_id + 1) % 10 AS asked, review_id, round(list_inner_product(embedding::DOUBLE[], q), 9) AS score_
             FROM centroids JOIN idx ON restaurant_id = 'r' || (q_id + 1) % 10)) WHERE rank <= 5""",
     "knn_balanced": _with(**_retrieved()) + _HITS,
+    "knn_sliced": _with(**_retrieved()) + _HITS,
     "knn_fallback": _with(**_post_retrieved()) + _HITS,
     "question_targets": _with(**_FOUND) + " SELECT q_id, array_to_string(text_targets, '|') AS text_targets FROM found",
     "question_targets_word": _with(**_QUESTIONS) + r"""

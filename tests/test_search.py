@@ -112,6 +112,24 @@ def test_context_and_fixed_answer(spark):
     assert blocks.first()["context"] == "- Restaurant: y | Rating: 2.0 | Review: \n- Restaurant: x | Rating: n/a | Review: one"
     questions = spark.createDataFrame([(1, "q one"), (2, "q two")], "q_id bigint, question string")
     payload = {r["q_id"]: r for r in answer_payload(questions, blocks, spark.createDataFrame([(1, "fine")], "q_id bigint, answer string")).collect()}
-    assert payload[1]["answer"] == "fine" and payload[1]["prompt"].startswith("Reviews:\n- Restaurant: y") and payload[1]["prompt"].endswith("Question: q one\n\nAnswer:")
+    assert payload[1]["answer"] == "fine" and payload[1]["prompt"].startswith("Use only these reviews.\n- Restaurant: y") and payload[1]["prompt"].endswith("Asked: q one\nReply:")
     assert payload[2]["answer"].startswith("I couldn't find") and payload[2]["sources"] == []
     assert set(payload[1]["sources"][0].asDict()) == {"review_id", "restaurant_id", "rating", "review_text"}
+
+
+@pytest.mark.parametrize("max_bytes", [1, 5000, 64 << 20])
+def test_questions_are_embedded_once(spark, max_bytes):
+    from reviewmill.operators.embed import QUERY, embed
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts, mode):
+            calls.add(len(texts))
+            return [[float(len(t)), 1.0] for t in texts]
+        return model
+
+    index = spark.createDataFrame([(f"r{i}", f"p{i % 3}", [float(i), 1.0]) for i in range(20)], "review_id string, restaurant_id string, embedding array<float>")
+    asked = spark.createDataFrame([(i, f"question {i}", ["p0"] if i % 2 else []) for i in range(30)], "q_id bigint, question string, targets array<string>")
+    hits = retrieve(index, embed(asked, "question", QUERY, load), max_bytes=max_bytes).collect()
+    assert {h["q_id"] for h in hits} == set(range(30)) and calls.value == 30
