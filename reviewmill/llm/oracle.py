@@ -12,7 +12,7 @@ SQL["op2_quality_rules"] = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (
   SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM d
 ),
 windows AS (
@@ -21,18 +21,18 @@ windows AS (
 ),
 twice AS (SELECT doc_id, win FROM windows GROUP BY doc_id, win HAVING count(*) > 1),
 covered AS (
-  SELECT doc_id, count(DISTINCT at) AS n_repeat_words
-  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS at FROM windows JOIN twice USING (doc_id, win))
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM windows JOIN twice USING (doc_id, win))
   GROUP BY doc_id
 ),
 counts AS (
-  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
     coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-    len(list_filter(words, x -> lower(x) IN ({_STOP}))) AS stops, len(lines) AS n_lines,
-    len(list_filter(lines, x -> regexp_matches(x, '^[\x20\t]*[-*•]'))) AS bullets,
-    len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|…)[\x20\t\r]*$'))) AS cuts
+    len(list_filter(words, lambda x: lower(x) IN ({_STOP}))) AS stops, len(lines) AS n_lines,
+    len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\t]*[-*•]'))) AS bullets,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\t\r]*$'))) AS cuts
   FROM w LEFT JOIN covered USING (doc_id)
 ),
 judged AS (
@@ -50,3 +50,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     AND repeat_rate <= 0.5 AND bullet_rate <= 0.9 AND cut_rate <= 0.3 AS kept
 FROM judged
 """
+
+SQL["op7_exact_dedup"] = r"""
+WITH spaced AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM spaced WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+_RECORD = (
+    "'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url || chr(13) || chr(10) "
+    "|| 'WARC-Record-ID: <urn:page:' || page_id || '>' || chr(13) || chr(10) || 'Content-Length: ' || strlen(html) "
+    "|| chr(13) || chr(10) || chr(13) || chr(10) || html || chr(13) || chr(10) || chr(13) || chr(10)"
+)
+
+SQL["op8_merkle_fixity"] = f"""
+WITH records AS (SELECT page_id, page_id // 4096 AS file, page_id % 4096 AS "at", {_RECORD} AS record FROM pages),
+held AS (
+  SELECT page_id, file, "at", sha256(record) AS hash, strlen(record)::BIGINT AS n_bytes,
+    coalesce(sum(strlen(record)) OVER (PARTITION BY file ORDER BY "at" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+  FROM records
+),
+turned AS (SELECT *, page_id // 50 % 3 AS turn FROM pages WHERE page_id % 50 = 0),
+other AS (
+  SELECT page_id, sha256({_RECORD}) AS hash_other FROM (
+    SELECT page_id, url, CASE turn WHEN 0 THEN '~' || substr(html, 2) ELSE substr(html, 1, length(html) - 1) END AS html FROM turned WHERE turn <> 2)
+)
+SELECT file, "at", held.page_id, CASE WHEN turn = 2 THEN 'missing' ELSE 'damaged' END AS status, "offset", n_bytes, hash, hash_other
+FROM held JOIN turned USING (page_id) LEFT JOIN other USING (page_id)
+"""

@@ -81,7 +81,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def damaged_replica(pages: DataFrame) -> DataFrame:
     """A second copy of the pages in which every 50th is changed, cut or lost in turn."""
     turn = F.when(F.col("page_id") % 50 == 0, F.floor(F.col("page_id") / 50) % 3)
-    html = F.when(turn == 0, F.concat(F.lit("\u0000"), F.substring("html", 2, 1 << 30))).when(
+    html = F.when(turn == 0, F.concat(F.lit("~"), F.substring("html", 2, 1 << 30))).when(
         turn == 1, F.substring(F.col("html"), F.lit(1), F.length("html") - 1)).otherwise(F.col("html"))
     return pages.where(turn.isNull() | (turn != 2)).withColumn("html", html)
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -236,29 +239,126 @@ def test_own_and_inherited_licences(spark):
     assert license.scan(docs.limit(0)).count() == 0
 
 
+def test_licence_query_against_brute_force(spark):
+    """Cosines of every line by plain arithmetic, then the nearest directory above."""
+    sf_dir = "/root/testdata/sf0.01"
+    from reviewmill.llm.queries import op9_license, repository_paths
+
+    grams = [(name, license._grams(text)) for name, text in license.TEMPLATES]
+    seen = Counter(term for _, own in grams for term in own)
+    idf = Counter({term: math.log((1 + len(grams)) / (1 + n)) + 1 for term, n in seen.items()})
+
+    def weights(own):
+        return {term: n * idf.get(term, math.log(1 + len(grams)) + 1) for term, n in own.items()}
+
+    def length(w):
+        return math.sqrt(sum(x * x for x in w.values()))
+
+    def best(text):
+        lines = [line for line in (text or "").split("\n") if re.search(license.LINE, line)]
+        scores = []
+        for line in {*lines, "\n".join(lines)} - {""}:
+            mine = weights(license._grams(line))
+            for name, own in grams:
+                other = weights(own)
+                scores.append((round(sum(x * other.get(term, 0) for term, x in mine.items()) / length(mine) / length(other), 6), name))
+        return max((s for s in scores if s[0] >= license.LEAST), default=None)
+
+    rows = repository_paths(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
+    own = {r.doc_id: best(r.text) for r in rows}
+    given = {r.path.rpartition("/")[0]: own[r.doc_id] for r in rows if r.path.endswith("LICENSE") and own[r.doc_id]}
+    got = {r.doc_id: r for r in op9_license(spark, sf_dir).collect()}
+    assert len(got) == len(rows) and sum(x is not None for x in own.values()) > 20
+    for r in rows:
+        want, origin, above = own[r.doc_id], "own", r.path.rpartition("/")[0]
+        while want is None and origin != "none":
+            want, origin = given.get(above), "inherited"
+            if want is None:
+                above, origin = (above.rpartition("/")[0], "inherited") if above else (None, "none")
+        mine = got[r.doc_id]
+        assert (mine.origin, mine.licence) == (origin, want and want[1])
+        assert mine.score == (pytest.approx(want[0], abs=2e-6) if want else None)
+
+
+def test_packing_query_is_optimal_over_its_cells(spark, sf_dir):
+    from reviewmill.llm.queries import op3_packing
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    got = op3_packing(spark, sf_dir).collect()
+    words = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in texts.items()}
+    assert {r.doc_id: r.n_tokens for r in got} == words and len(got) == len(words)
+
+    def cell(n):
+        step = 1 << max(0, n.bit_length() - packing.FINE.bit_length())
+        return n - n % step
+
+    cells = {}
+    for n in words.values():
+        cells.setdefault(cell(n), []).append(n)
+    order = sorted(cells)
+    least = {0: [0] + [math.inf] * len(order)}
+    for k in range(1, packing.BUCKETS + 1):
+        least[k] = [0] + [math.inf] * len(order)
+        for j in range(1, len(order) + 1):
+            members = []
+            for i in range(j - 1, -1, -1):
+                members += cells[order[i]]
+                cost = least[k - 1][i] + max(cells[order[j - 1]]) * len(members) - sum(members)
+                least[k][j] = min(least[k][j], cost)
+    assert sum(r.bucket_length - r.n_tokens for r in got) == min(least[k][len(order)] for k in range(1, packing.BUCKETS + 1))
+
+
 # --- pipeline
 
 
 def test_pipeline_stages(spark, sf_dir):
+    """Every stage against plain Python on the rows that the stage before kept."""
     import corpus_pipeline as pipeline
-    from reviewmill.llm import blob_ledger, exact_dedup, simhash
+    from reviewmill.llm import rule_ensemble as quality
     from reviewmill.session import fresh_path
+    from tests.llm.test_dedup import brute_fingerprint, reachable, spaced
+    from tests.llm.test_text_rules import secret_spans
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns, sizes = docs.columns, [docs.count()]
-    for name, stage in pipeline.STAGES[:-1]:
+    columns, held = docs.columns, {}
+
+    def rows_after(k):
         path = fresh_path(spark, "stage")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        assert docs.columns == columns, name
-        sizes.append(docs.count())
-    assert sizes == sorted(sizes, reverse=True) and sizes[1] < sizes[0]
-    groups = exact_dedup.exact_groups(docs)
-    assert groups.where("not kept").count() == 0
-    ledger = fresh_path(spark, "ledger-test")
-    blob_ledger.update_ledger(docs, ledger)
-    assert blob_ledger.findings(docs, ledger).where(F.size("findings") > 0).count() == 0
-    packed = pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
-    assert sorted(r.doc_id for r in packed) == sorted(r.doc_id for r in docs.collect())
-    assert pipeline.run(spark, sf_dir).count() == len(packed)
-    assert simhash.near_duplicates(docs).select("component_id").distinct().count() <= len(packed)
+        pipeline.STAGES[k][1](spark, docs, sf_dir).write.parquet(path)
+        return spark.read.parquet(path)
+
+    judged = {r.doc_id: r.predicted for r in quality.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    docs = rows_after(0)
+    held = {r.doc_id: r for r in docs.collect()}
+    assert docs.columns == columns and set(held) == {i for i, p in judged.items() if p == 1} and len(held) < len(judged)
+    assert sum(labels[i] for i in held if i in labels) >= 0.95 * sum(labels.values())
+
+    first = {}
+    for i in sorted(held):
+        first.setdefault(spaced(held[i].text), i)
+    docs = rows_after(1)
+    assert docs.columns == columns and {r.doc_id for r in docs.collect()} == set(first.values())
+
+    held = {r.doc_id: r for r in docs.collect()}
+    marks = {i: brute_fingerprint(r.text) for i, r in held.items()}
+    groups = reachable(sorted(marks), lambda a, b: (marks[a] ^ marks[b]).bit_count() <= 2)
+    docs = rows_after(2)
+    assert docs.columns == columns and {r.doc_id for r in docs.collect()} == set(groups.values())
+
+    held = {r.doc_id: r for r in docs.collect()}
+    docs = rows_after(3)
+    clean = {r.doc_id: r for r in docs.collect()}
+    assert docs.columns == columns and set(clean) == set(held)
+    for i, row in held.items():
+        text, at = "", 0
+        for kind, start, end in secret_spans(row.text):
+            if start >= at:
+                text += row.text[at:start] + f"[{kind}]"
+            at = max(at, end)
+        text += row.text[at:]
+        assert clean[i].text == text and clean[i].n_chars == (len(text) if text != row.text else row.n_chars)
+
+    packed = rows_after(4).collect()
+    assert {r.doc_id: r.n_tokens for r in packed} == {i: len(r.text.split()) for i, r in clean.items()} and len(packed) == len(clean)
+    assert {r.doc_id for r in pipeline.run(spark, sf_dir).collect()} == set(clean)
