@@ -41,16 +41,14 @@ def _same(left: DataFrame, right: DataFrame, *keys: str) -> Column:
 def exact_groups(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, copies, and the length, prefix hash and (of refined rows) full hash behind them."""
     marks = written(_marked(docs, "doc_id").drop("__text"), "dedup-marks")
-    same_length = marks.join(_several(marks, "__length"), "__length", "left_semi")
-    open_groups = _several(same_length, *_MARK)
-    refined = written(marks.join(open_groups, list(_MARK), "left_semi").distinct(), "dedup-open")
-    alone = marks.join(refined.select(*_MARK).distinct(), list(_MARK), "left_anti")
-
-    # The filter keeps texts where they are: a row it cannot rule out is hashed in place, the exact test is on narrow rows.
-    texts = maybe_in(_marked(docs, "doc_id"), key_filter(refined, *_MARK), *_MARK).where("__maybe")
+    # Filters of fixed size carry each step to the next: no join meets a length or prefix that a third of the rows share. What a
+    # filter cannot rule out goes one step further and falls out there, at the latest as a group of one.
+    same_length = maybe_in(marks, key_filter(_several(marks, "__length"), "__length"), "__length").where("__maybe")
+    open_groups = key_filter(_several(same_length, *_MARK), *_MARK)
+    alone = maybe_in(marks, open_groups, *_MARK).where("not __maybe")
+    texts = maybe_in(_marked(docs, "doc_id"), open_groups, *_MARK).where("__maybe")
     hashed = texts.select("doc_id", *_MARK, F.sha2("__text", 256).alias("sha256"))
-    hashed = hashed.groupBy("doc_id", *_MARK, "sha256").agg(F.count("*").alias("copies"))
-    documents = written(hashed.join(refined, _same(hashed, refined, "doc_id", *_MARK), "left_semi"), "dedup-hashed")
+    documents = written(hashed.groupBy("doc_id", *_MARK, "sha256").agg(F.count("*").alias("copies")), "dedup-hashed")
     groups = documents.groupBy("sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
     grouped = documents.join(groups, "sha256").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "copies", *_MARK, "sha256")
