@@ -34,7 +34,7 @@ from reviewmill.plans.answers import answer_questions
 from reviewmill.plans.facts import standardize_facts
 from reviewmill.plans.views import table, view
 from reviewmill.session import fresh_path
-from reviewmill.sources.files import export_csv, load_config, read_cases, read_facts, read_mapping_config, save_results, write_dimension, write_silver
+from reviewmill.sources.files import export_csv, load_config, read_cases, read_facts, read_mapping_config, save_results, write_silver
 from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_source, quarantine_unknown
 
 Query = Callable[[SparkSession, str], DataFrame]

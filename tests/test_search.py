@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from reviewmill.functions import positive_score
 from reviewmill.operators.context import answer_payload, context_blocks, with_documents
