@@ -49,7 +49,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     texts = maybe_in(_marked(docs, "doc_id"), open_groups, *_MARK).where("__maybe")
     hashed = texts.select("doc_id", *_MARK, F.sha2("__text", 256).alias("sha256"))
     documents = written(hashed.groupBy("doc_id", *_MARK, "sha256").agg(F.count("*").alias("copies")), "dedup-hashed")
-    groups = documents.groupBy("sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    # written, so that the join below meets two plain tables and a hash with many rows can be split over tasks
+    groups = written(documents.groupBy("sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")), "dedup-sizes")
     grouped = documents.join(groups, "sha256").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "copies", *_MARK, "sha256")
     single = alone.select(
