@@ -182,7 +182,8 @@ def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 2) -> DataFr
     placed = marked.join(center, marked["fingerprint"] == center["node"], "left").select(
         "doc_id", "fingerprint", F.coalesce("center", "fingerprint").alias("center"))
     placed = written(placed, "simhash-placed")
-    smallest = placed.groupBy("center").agg(F.min("doc_id").alias("component_id"))
+    # written, so that the join below meets two plain tables and a component with many rows can be split over tasks
+    smallest = written(placed.groupBy("center").agg(F.min("doc_id").alias("component_id")), "simhash-smallest")
     return placed.join(smallest, "center").select("doc_id", "fingerprint", "component_id")
 
 
