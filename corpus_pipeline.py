@@ -1,7 +1,8 @@
 """From documents to packed training batches: five stages, each over what the one before kept.
 
 Every stage takes (spark, docs, sf_dir); its result is written as Parquet and read again as the next one's docs. All but the
-last keep the columns of documents. Rows are told apart by doc_id; null texts count as empty throughout.
+last keep the columns of documents. A verdict holds for rows of one doc_id and one text, so rows that share an id, or have none,
+are dropped each for its own text; null texts count as empty throughout.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm import blob_ledger, exact_dedup, packing, rule_ensemble, simhash
-from reviewmill.llm.common import table, without, written
+from reviewmill.llm.common import DIGEST, table, text_digest, without, written
 from reviewmill.session import fresh_path
 
 SHINGLE_WORDS = 3
@@ -18,8 +19,8 @@ RADIUS = 2
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble does not reject."""
-    judged = rule_ensemble.classify(docs, table(spark, sf_dir, "labels"))
-    return without(docs, judged.where("predicted = 0"), "doc_id")
+    judged = rule_ensemble.classify(docs, table(spark, sf_dir, "labels"), carried=(text_digest(),))
+    return without(docs.select("*", text_digest()), judged.where("predicted = 0"), "doc_id", DIGEST).select(*docs.columns)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

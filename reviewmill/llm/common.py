@@ -27,6 +27,14 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+DIGEST = "__digest"
+
+
+def text_digest() -> Column:
+    """Hash of the whole text, by which rows of one doc_id are told apart."""
+    return F.sha2(whole_text(), 256).alias(DIGEST)
+
+
 def words(text: Column) -> Column:
     """Runs of anything but space and \\t to \\r, in order; none in a blank text."""
     trimmed = F.btrim(text, F.lit(BLANKS))

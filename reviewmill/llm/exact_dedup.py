@@ -71,14 +71,13 @@ def with_digest(docs: DataFrame, groups: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     groups = written(exact_groups(docs) if groups is None else groups, "dedup-groups")
-    key = ("doc_id", *_MARK)
-    marked = docs.withColumns({
-        "__length": F.length(single_spaced(whole_text())),
-        "__head": F.xxhash64(F.substring(single_spaced(whole_text()), 1, PREFIX_CHARS)),
-    })
+    key = ("doc_id", "sha256")
+    # groups without a full hash are of one row and stay
+    spaced = F.sha2(single_spaced(whole_text()), 256)
+    marked = docs.select(*(F.col(c).alias(f"__own_{c}") for c in docs.columns), "doc_id", spaced.alias("sha256"))
     stay = without(marked, groups.where("not kept"), *key)
     repeated = groups.where("kept and copies > 1").select(*key)
     if not repeated.isEmpty():
         once = stay.join(repeated, _same(stay, repeated, *key), "left_semi").dropDuplicates(list(key))
         stay = stay.join(repeated, _same(stay, repeated, *key), "left_anti").unionByName(once)
-    return stay.select(*(stay[c] for c in docs.columns))
+    return stay.select(*(F.col(f"__own_{c}").alias(c) for c in docs.columns))

@@ -31,18 +31,19 @@ STATISTICS = (
 )
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the statistics, one row per input row."""
-    read = docs.select("doc_id", whole_text().alias("text"))
+def statistics(docs: DataFrame, *carried: Column) -> DataFrame:
+    """doc_id, the carried columns and the statistics, one row per input row."""
+    read = docs.select("doc_id", *carried, whole_text().alias("text"))
+    own = [c for c in read.columns if c != "text"]
     cut = read.select(
-        "doc_id", "text", words(F.col("text")).alias("words"),
+        *own, "text", words(F.col("text")).alias("words"),
         F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
     items, lines = F.col("words"), F.col("lines")
     hashed = F.transform(items, lambda w: F.xxhash64(w))
     pairs = F.zip_with(F.col("hashed"), F.slice("hashed", 2, F.greatest(F.size("hashed") - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
     counted = cut.withColumn("hashed", hashed).select(
-        "doc_id",
+        *own,
         F.size(items).alias("n"), F.length(F.array_join(items, "")).alias("chars"), F.size(lines).alias("n_lines"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).alias("symbols"),
         F.regexp_count("text", F.lit(r"\p{P}")).alias("marks"),
@@ -59,7 +60,7 @@ def statistics(docs: DataFrame) -> DataFrame:
         return F.when(F.col(whole) > 0, F.col(of) / F.col(whole)).otherwise(0.0)
 
     return counted.select(
-        "doc_id",
+        *own,
         F.log1p("n").alias("log_words"), share("chars", "n").alias("word_length"),
         *(share(name, "chars").alias(name) for name in ("symbols", "marks", "capitals", "digits")),
         *(share(name, "n").alias(name) for name in ("distinct_words", "distinct_pairs", "stop_words", "one_letter")),
@@ -155,9 +156,10 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
-def classify(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document; texts are read once."""
-    measured = written(statistics(docs), "quality-statistics")
+def classify(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING_ROWS, carried: tuple[Column, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns, held_out, score and predicted of every document; texts are read once."""
+    measured = written(statistics(docs, *carried), "quality-statistics")
+    own = [c for c in measured.columns if c not in STATISTICS]
     model = fit(training_rows(measured.where(~held_out()), labels, most))
-    return measured.select("doc_id", held_out().alias("held_out"), model.score().alias("score")).withColumn(
+    return measured.select(*own, held_out().alias("held_out"), model.score().alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int"))

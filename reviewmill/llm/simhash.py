@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm import bktree
-from reviewmill.llm.common import whole_text, without, written
+from reviewmill.llm.common import DIGEST, text_digest, whole_text, without, written
 from reviewmill.llm.components import star_labels
 
 SHARD = 1 << 14  # fingerprints of one tree, about
@@ -78,16 +78,18 @@ def fingerprint(text: bytes, length: int = 3) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.uint64)[0]) if n else 0
 
 
-def fingerprints(docs: DataFrame, length: int = 3) -> DataFrame:
-    """doc_id and fingerprint (long), one row per input row."""
-    read = docs.select("doc_id", F.encode(whole_text(), "UTF-8").alias("text"))
+def fingerprints(docs: DataFrame, length: int = 3, *carried: Column) -> DataFrame:
+    """doc_id, the carried columns and fingerprint (long), one row per input row."""
+    read = docs.select("doc_id", *carried, F.encode(whole_text(), "UTF-8").alias("text"))
+    own = [f for f in read.schema.fields if f.name != "text"]
+    names = [f.name for f in own]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(text.as_py(), length) for text in batch.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), pa.array(values.view(np.int64))], [*names, "fingerprint"])
 
-    return read.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fingerprint long")
+    return read.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own) + ", fingerprint long")
 
 
 def _bucket_keys(blocks: int, radius: int) -> list[Column]:
@@ -174,20 +176,21 @@ def links(distinct: DataFrame, radius: int = 2, shard: int = SHARD, broadcast_by
     return inside.unionByName(met.mapInArrow(_across(radius), _LINK))
 
 
-def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 2) -> DataFrame:
-    """doc_id, fingerprint (long) and component_id of every row."""
-    marked = written(fingerprints(docs, length), "simhash-fingerprints")
+def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 2, carried: tuple[Column, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns, fingerprint (long) and component_id of every row."""
+    marked = written(fingerprints(docs, length, *carried), "simhash-fingerprints")
     distinct = written(marked.select("fingerprint").distinct(), "simhash-distinct")
     center = star_labels(links(distinct, radius))
     placed = marked.join(center, marked["fingerprint"] == center["node"], "left").select(
-        "doc_id", "fingerprint", F.coalesce("center", "fingerprint").alias("center"))
+        *marked.columns, F.coalesce("center", "fingerprint").alias("center"))
     placed = written(placed, "simhash-placed")
     # written, so that the join below meets two plain tables and a component with many rows can be split over tasks
     smallest = written(placed.groupBy("center").agg(F.min("doc_id").alias("component_id")), "simhash-smallest")
-    return placed.join(smallest, "center").select("doc_id", "fingerprint", "component_id")
+    return placed.join(smallest, "center").select(*marked.columns, "component_id")
 
 
 def keep_one(docs: DataFrame, length: int = 3, radius: int = 2) -> DataFrame:
     """The rows of ``docs`` whose doc_id names their component, with all their columns; a component of null ids stays whole."""
-    groups = near_duplicates(docs, length, radius)
-    return without(docs, groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))), "doc_id")
+    groups = near_duplicates(docs, length, radius, (text_digest(),))
+    others = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return without(docs.select("*", text_digest()), others, "doc_id", DIGEST).select(*docs.columns)
