@@ -3,7 +3,8 @@
 Entities are the values of the base spans. The corpus tells how much a term t gives away about an entity e: their pointwise
 mutual information over documents, against the information content of e. Where PMI(e; t) reaches ``HINT`` of IC(e) the term
 is generalised, where it reaches ``REVEAL`` it is removed. An entity is looked at when at least ``SUPPORT`` different texts
-hold it and it carries a bit or more; a term when it meets the entity in as many documents. Counts cover the whole corpus.
+hold it and it carries a bit or more; a term when it meets the entity in as many documents. Counts cover the whole corpus, and all
+of them are over different documents.
 
 Built-in functions only. Pairs of entity and term are counted with map-side sums, so an entity or term that a third of the
 rows hold is a row per task; a broadcast happens only below ``MAX_BROADCAST_ROWS`` counted rows, with a join beyond it. Null
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm import spans
-from reviewmill.llm.common import whole_text, words, written
+from reviewmill.llm.common import key_filter, maybe_in, whole_text, words, written
 
 SUPPORT = 3
 HINT = 0.9
@@ -91,6 +92,18 @@ def _key(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["digest"] == right["digest"])
 
 
+def _with_copies(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """text and copies of every row: how often its document stands in the table. Only rows that may be repeated are shuffled."""
+    texts = docs.select("doc_id", whole_text().alias("text"))
+    if repeated.isEmpty():
+        return texts.select("text", F.lit(1).cast("long").alias("copies"))
+    marked = maybe_in(texts.withColumn("digest", F.xxhash64("text")), key_filter(repeated, "doc_id", "digest"), "doc_id", "digest")
+    single = marked.where("not __maybe").select("text", F.lit(1).cast("long").alias("copies"))
+    rest = marked.where("__maybe")
+    met = rest.join(repeated, _key(rest, repeated), "left").select("text", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
+    return single.unionByName(met)
+
+
 def disclosing_terms(docs: DataFrame, marked: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame] | None:
     """(entity, term, strength) with strength PMI / IC of at least ``HINT``, and the documents that hold such entities.
 
@@ -98,7 +111,8 @@ def disclosing_terms(docs: DataFrame, marked: DataFrame, support: int = SUPPORT)
     """
     held = marked.select("doc_id", "digest", F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity")).distinct()
     entities = held.groupBy("entity").agg(F.count("*").alias("df_entity"), F.count_distinct("digest").alias("texts")).where(F.col("texts") >= support)
-    n = marked.count()
+    copies = written(marked.groupBy("doc_id", "digest").agg(F.count("*").alias("copies")), "pii-documents")
+    n = copies.count()
     entities = written(entities.where(F.log2(n / F.col("df_entity")) >= 1).drop("texts"), "pii-entities")
     if entities.isEmpty():
         return None
@@ -112,10 +126,12 @@ def disclosing_terms(docs: DataFrame, marked: DataFrame, support: int = SUPPORT)
     pairs = written(met.groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= support), "pii-pairs")
     wanted = pairs.select("term").distinct()
     few = pairs.count() <= MAX_BROADCAST_ROWS
-    everywhere = docs.select(F.explode(_terms(whole_text())).alias("term"))
+    everywhere = _with_copies(docs, copies.where("copies > 1")).select("copies", F.explode(_terms(F.col("text"))).alias("term"))
     if few:
         everywhere = everywhere.join(F.broadcast(wanted), "term", "left_semi")
-    frequency = everywhere.groupBy("term").agg(F.count("*").alias("df_term"))
+    # of the documents that stand in the table c times, a term has c rows for each one
+    frequency = everywhere.groupBy("term", "copies").agg(F.count("*").alias("rows")).groupBy("term").agg(
+        F.sum(F.expr("rows div copies")).alias("df_term"))
     if few:
         frequency = F.broadcast(frequency)
     strength = F.log2(F.lit(float(n)) * F.col("both") / (F.col("df_entity") * F.col("df_term"))) / F.log2(n / F.col("df_entity"))
