@@ -6,6 +6,9 @@ is generalised, where it reaches ``REVEAL`` it is removed. An entity is looked a
 hold it and it carries a bit or more; a term when it meets the entity in as many documents. Counts cover the whole corpus, and all
 of them are over different documents.
 
+A term is a run of letters, marks and digits of any script and length, joined inside by apostrophes, hyphens or underscores, and
+outside the base spans; the same pattern counts and places it. Text written without spaces has its runs between marks as terms.
+
 Built-in functions only. Pairs of entity and term are counted with map-side sums, so an entity or term that a third of the
 rows hold is a row per task; a broadcast happens only below ``MAX_BROADCAST_ROWS`` counted rows, with a join beyond it. Null
 texts count as empty and have no spans. A document is a (doc_id, text) pair: repeats count once and each repeated row gets
@@ -18,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm import spans
-from reviewmill.llm.common import key_filter, maybe_in, whole_text, words, written
+from reviewmill.llm.common import key_filter, let, maybe_in, whole_text, written
 
 SUPPORT = 3
 HINT = 0.9
@@ -36,8 +39,7 @@ KINDS = ("email", "ip", "card", "phone")
 REVEALS, HINTS = "reveal", "hint"
 
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
-_TERM_MARKS = ".,;:!?\"'()[]{}<>*#$%&|"
-_TERM = r"^\p{L}[\p{L}\p{M}'’-]{2,}$"
+_TERM = r"[\p{L}\p{M}\p{N}]++(?:['’_-][\p{L}\p{M}\p{N}]++)*+"
 
 
 def _digits(value: Column) -> Column:
@@ -74,13 +76,22 @@ def _named(found: Column, kind: str, rank: int) -> Column:
         F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
 
 
-def _term(word: Column) -> Column:
-    return F.lower(F.btrim(word, F.lit(_TERM_MARKS)))
+def _open_text(text: Column) -> Column:
+    """The text with blanks in the places of its base spans."""
+
+    def blanked(found: Column) -> Column:
+        return F.when(F.size(found) == 0, text).otherwise(spans.blanked(text, found))
+
+    def by_start(found: Column) -> Column:
+        return F.sort_array(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    return let(by_start(base_spans(text)), blanked)
 
 
 def _terms(text: Column) -> Column:
-    """Distinct terms of a text: words of letters, lower-cased, without marks around them."""
-    return F.filter(F.array_distinct(F.transform(words(text), _term)), lambda t: t.rlike(_TERM))
+    """Distinct terms of a text outside its base spans, lower-cased."""
+    found = F.regexp_extract_all(_open_text(text), F.lit(_TERM), F.lit(0))
+    return F.array_distinct(F.transform(found, lambda t: F.lower(t)))
 
 
 def _entity(s: Column) -> Column:
@@ -146,11 +157,9 @@ def term_spans(terms: DataFrame, holding: DataFrame) -> DataFrame:
     strongest = met.join(terms, ["entity", "term"]).groupBy("doc_id", "digest", "term").agg(F.max("strength").alias("strength"))
     strongest = written(strongest, "pii-met")
     some = strongest.select("doc_id", "digest").distinct()
-    texts = holding.join(some, _key(holding, some), "left_semi")
-    word = F.col("s.value")
-    start = F.col("s.start") + F.length(word) - F.length(F.ltrim(word, F.lit(_TERM_MARKS)))
-    placed = texts.select("doc_id", "digest", F.explode(spans.find(F.col("text"), r"[^\x20\x09-\x0D]++")).alias("s")).select(
-        "doc_id", "digest", start.alias("start"), (start + F.length(F.btrim(word, F.lit(_TERM_MARKS)))).alias("end"), _term(word).alias("term"))
+    texts = holding.join(some, _key(holding, some), "left_semi").select("doc_id", "digest", _open_text(F.col("text")).alias("open"))
+    placed = texts.select("doc_id", "digest", F.explode(spans.find(F.col("open"), _TERM)).alias("s")).select(
+        "doc_id", "digest", F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.lower("s.value").alias("term"))
     found = placed.join(strongest, _key(placed, strongest) & (placed["term"] == strongest["term"])).select(
         placed["doc_id"], placed["digest"], F.struct(
             F.when(F.col("strength") >= REVEAL, len(KINDS)).otherwise(len(KINDS) + 1).alias("rank"),

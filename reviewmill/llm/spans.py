@@ -63,6 +63,19 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def blanked(text: Column, ordered: Column) -> Column:
+    """The text with a space for each character of the spans, ordered by start: all other places stay as they are."""
+
+    def cut(state: Column, s: Column) -> Column:
+        start = F.greatest(s["start"], state["at"])
+        part = F.concat(F.substring(text, state["at"] + 1, start - state["at"]), F.repeat(F.lit(" "), F.greatest(s["end"] - start, F.lit(0))))
+        return F.struct(F.concat(state["done"], part).alias("done"), F.greatest(s["end"], state["at"]).alias("at"))
+
+    return F.aggregate(
+        ordered, F.struct(F.lit("").alias("done"), F.lit(0).alias("at")), cut,
+        lambda state: F.concat(state["done"], F.substring(text, state["at"] + 1, F.length(text))))
+
+
 def replaced(text: Column, ordered: Column) -> Column:
     """The text with each span, ordered by start, replaced by its kind in brackets; overlapping spans by the first one's."""
 
