@@ -75,7 +75,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     groups = exact_dedup.with_digest(docs, exact_dedup.exact_groups(docs))
-    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    every = groups.withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
+    return every.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def damaged_replica(pages: DataFrame) -> DataFrame:
