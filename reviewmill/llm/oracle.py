@@ -78,3 +78,17 @@ other AS (
 SELECT file, "at", held.page_id, CASE WHEN turn = 2 THEN 'missing' ELSE 'damaged' END AS status, "offset", n_bytes, hash, hash_other
 FROM held JOIN turned USING (page_id) LEFT JOIN other USING (page_id)
 """
+
+SQL["op11_url_rules"] = r"""
+WITH rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+a AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+)
+SELECT page_id, host, path,
+  (SELECT arg_max(h || p, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule,
+  coalesce((SELECT arg_max(v, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)), 'allow') AS verdict
+FROM a
+"""

@@ -11,7 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.llm import blob_ledger, bpe, disclosure, exact_dedup, license, merkle, packing, quality_rules, rule_ensemble, simhash, spans
+from reviewmill.llm import (
+    blob_ledger, bpe, disclosure, exact_dedup, license, merkle, packing, quality_rules, rule_ensemble, simhash, spans, url_rules,
+)
 from reviewmill.llm.common import table
 from reviewmill.session import fresh_path
 
@@ -127,3 +129,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
             ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return decoded.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+URL_RULES = [
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"),
+]
+
+
+@query
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
