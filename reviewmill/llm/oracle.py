@@ -92,3 +92,22 @@ SELECT page_id, host, path,
   coalesce((SELECT arg_max(v, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)), 'allow') AS verdict
 FROM a
 """
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL["op12_lexical_search"] = f"""
+WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS length FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, big_n),
+gains AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // length))) AS gain
+  FROM tf JOIN weights USING (term) JOIN sizes USING (doc_id), total),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id, sum(gain)::BIGINT AS score FROM asked JOIN gains USING (term) GROUP BY item_id, doc_id HAVING score > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored QUALIFY rank <= 10
+"""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.llm import (
-    blob_ledger, bpe, disclosure, exact_dedup, license, merkle, packing, quality_rules, rule_ensemble, simhash, spans, url_rules,
+    blob_ledger, bpe, disclosure, exact_dedup, lexical, license, merkle, packing, quality_rules, rule_ensemble, simhash, spans, url_rules,
 )
 from reviewmill.llm.common import table
 from reviewmill.session import fresh_path
@@ -140,3 +140,8 @@ URL_RULES = [
 def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
