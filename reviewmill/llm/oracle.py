@@ -111,3 +111,32 @@ scored AS (SELECT item_id, doc_id, sum(gain)::BIGINT AS score FROM asked JOIN ga
 SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
 FROM scored QUALIFY rank <= 10
 """
+
+SQL["op13_collocations"] = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), {_LOWER}) AS text FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, size, array_to_string(words[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) s(size) WHERE len(words) >= size)
+),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL HAVING f >= 30),
+cuts AS (
+  SELECT lang, size, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS first, array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM f WHERE size > 1)
+),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.size, a, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score, k
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = first JOIN f y ON y.lang = cuts.lang AND y.phrase = rest
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, f, array_to_string(string_split(phrase, ' ')[i:i + wide - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, size - wide + 2)) AS i FROM f, (VALUES (2), (3)) s(wide) WHERE wide < size)
+),
+longer AS (SELECT lang, phrase, max(f) AS f FROM inside GROUP BY lang, phrase),
+free AS (SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE longer.f IS NULL OR 100::HUGEINT * longer.f < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM free JOIN totals USING (lang) QUALIFY rank <= 2000
+"""

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.llm import (
-    blob_ledger, bpe, disclosure, exact_dedup, lexical, license, merkle, packing, quality_rules, rule_ensemble, simhash, spans, url_rules,
+    blob_ledger, bpe, collocations, disclosure, exact_dedup, lexical, license, merkle, packing, quality_rules, rule_ensemble, simhash, spans,
+    url_rules,
 )
 from reviewmill.llm.common import table
 from reviewmill.session import fresh_path
@@ -145,3 +146,8 @@ def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("seen")
