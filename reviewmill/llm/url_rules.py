@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from reviewmill.llm.common import written
 
-SLOT = 100_000
+SLOT = 1_000
 MAX_BROADCAST_SITES = 100_000  # rows of (site, counts) that may be broadcast; beyond it the join is left to Spark
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BEHIND = b"\xff"  # greater than any byte of UTF-8
