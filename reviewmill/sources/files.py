@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.contracts import (
-    CONFIG_SCHEMA, EVAL_CASE_SCHEMA, NA_TOKENS, RAW_FACT_COLUMNS,
+    CONFIG_SCHEMA, EVAL_CASE_SCHEMA, NA_TOKENS,
 )
 from reviewmill.functions.text import na_to_null
 from reviewmill.operators.dimension import categories_json
 from reviewmill.operators.headers import SourceConfig, conform_raw, rename_headers
 from reviewmill.operators.routing import decode_key, is_reference_key, source_of
+from reviewmill.sources.multiline import read_csv_in_splits
 
 
 LARGE_FILE = 256 << 20
@@ -54,21 +55,32 @@ def list_keys(spark: SparkSession, root: str, prefix: str = "raw/") -> DataFrame
     )
 
 
-def read_raw_csv(spark: SparkSession, paths: str | Iterable[str], multi_line: bool = True) -> DataFrame:
+def read_raw_csv(
+    spark: SparkSession, paths: str | Iterable[str], multi_line: bool | str = True, columns: list[str] | None = None, where: Column | None = None,
+) -> DataFrame:
     """All-string read of comma files whatever their extension.
 
     Missing-value spellings become null, ``pos`` is the row order inside a file and
-    ``path`` the file. Quoted newlines need ``multi_line``, which makes a file one task;
-    turn it off for texts without newlines to split large files. Files read together must
-    share one header: a differing header fails instead of shifting columns.
+    ``path`` the file. Quoted newlines need ``multi_line``: True makes a file one task, ``"splits"`` reads large files by many
+    tasks (see ``multiline``); False is for texts without newlines. Files read together must
+    share one header: a differing header fails instead of shifting columns. ``where``, over the file path alone, prunes files
+    below ``paths`` and needs ``columns``, their header.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.csv(
-        paths, header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8",
-        inferSchema=False, enforceSchema=False, mode="PERMISSIVE",
-    )
+    if multi_line == "splits":
+        df = read_csv_in_splits(spark, paths)
+        return df.select(*[na_to_null(F.col(f"`{c}`"), NA_TOKENS).alias(c) for c in df.columns[:-2]], "pos", "path")
+    reader = spark.read.options(
+        header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8", inferSchema=False, enforceSchema=False, mode="PERMISSIVE",
+        recursiveFileLookup=where is not None)
+    if columns is not None:
+        reader = reader.schema(", ".join(f"`{c}` string" for c in columns))
+    df = reader.csv(paths)
+    names = df.columns
+    if where is not None:
+        df = df.where(where)
     return df.select(
-        *[na_to_null(F.col(f"`{c}`"), NA_TOKENS).alias(c) for c in df.columns],
+        *[na_to_null(F.col(f"`{c}`"), NA_TOKENS).alias(c) for c in names],
         F.monotonically_increasing_id().alias("pos"),
         F.col("_metadata.file_path").alias("path"),
     )
@@ -167,8 +179,3 @@ def save_results(results: DataFrame, path: str, run: str) -> None:
 def read_cases(spark: SparkSession, path: str) -> DataFrame:
     """Evaluation cases from a JSON array file; extra fields are ignored."""
     return spark.read.schema(EVAL_CASE_SCHEMA).option("multiLine", "true").json(path)
-
-
-def empty_raw(spark: SparkSession) -> DataFrame:
-    schema = ", ".join(f"{c} string" for c in RAW_FACT_COLUMNS)
-    return spark.createDataFrame([], f"{schema}, source string, file_key string, pos bigint, has_id boolean")
