@@ -35,7 +35,7 @@ from reviewmill.plans.facts import standardize_facts
 from reviewmill.plans.views import table, view
 from reviewmill.session import fresh_path
 from reviewmill.sources.files import export_csv, load_config, read_cases, read_facts, read_mapping_config, save_results, write_silver
-from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_source, quarantine_unknown
+from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_lake, ledger, quarantine_unknown
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIVISOR = 2
@@ -544,29 +544,24 @@ STREAM_SOURCES = ("north", "south", "east", "west")
 ROWS_PER_FILE = 500_000
 
 
-def _staged_lake(spark, sf) -> tuple[str, list[str]]:
+def _staged_lake(spark, sf, sources=STREAM_SOURCES, root=None) -> tuple[str, list[str]]:
     """The raw reviews as CSV files per source, all rows of an id in one file, in row order."""
-    root = fresh_path(spark, "lake")
-    raw = raw_reviews(spark, sf)
+    root = root or fresh_path(spark, "lake")
+    raw = raw_reviews(spark, sf).filter(F.col("source").isin(*sources))
     columns = [c for c in raw.columns if c not in ("source", "pos")]
     slices = max(4, table(spark, sf, "events").count() // ROWS_PER_FILE)
     (
         raw.repartition(slices, "source", base_id(F.col("review_id"))).sortWithinPartitions("source", "pos")
-        .select("source", *columns).write.partitionBy("source")
+        .select("source", *columns).write.mode("append").partitionBy("source")
         .csv(f"{root}/raw", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     )
     return root, columns
 
 
 def _ingested_lake(spark, sf) -> str:
-    root, columns = _staged_lake(spark, sf)
+    root, _ = _staged_lake(spark, sf)
     config = SourceConfig({s: {"rating": "rating"} for s in STREAM_SOURCES}, {s: DIVISOR for s in STREAM_SOURCES})
-    running = [
-        ingest_source(spark, root, source, columns, config, f"{root}/checkpoints/{source}", multi_line=False)
-        for source in STREAM_SOURCES
-    ]
-    for query in running:
-        query.awaitTermination()
+    ingest_lake(spark, root, config, f"{root}/checkpoints/raw").awaitTermination()
     return root
 
 
@@ -583,6 +578,42 @@ def stream_index(spark, sf):
     return _joined(ensure_index(spark, f"{root}/index").drop("embedding"), "review_date")
 
 
+def _write_config(spark, root: str, divisor: int) -> None:
+    rows = [(s, "rating", "rating", float(divisor)) for s in STREAM_SOURCES]
+    spark.createDataFrame(rows, "source_dataset string, input_column string, target_column string, rating_divisor double").coalesce(1).write.mode(
+        "overwrite").csv(f"{root}/config", header=True, sep=";")
+
+
+def _reconfigured_lake(spark, sf) -> str:
+    """Two sources arrive, the divisor changes, two more arrive: all in one running query."""
+    root, _ = _staged_lake(spark, sf, STREAM_SOURCES[:2])
+    _write_config(spark, root, DIVISOR)
+    query = ingest_lake(spark, root, f"{root}/config", f"{root}/checkpoints/raw", every="1 second")
+    try:
+        query.processAllAvailable()
+        _write_config(spark, root, 1)
+        _staged_lake(spark, sf, STREAM_SOURCES[2:], root)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return root
+
+
+def stream_config(spark, sf):
+    """Facts of a stream whose config changed between batches, each with the divisor of its batch's config version."""
+    root = _reconfigured_lake(spark, sf)
+    used = ledger(spark, root).join(
+        spark.read.parquet(f"{root}/config_versions").groupBy("config_version").agg(F.first("rating_divisor").alias("divisor")), "config_version")
+    silver = spark.read.parquet(f"{root}/processed/facts").join(used.select("file_key", "divisor"), "file_key")
+    return silver.select("restaurant_id", "review_id", "rating", "divisor")
+
+
+def stream_ledger(spark, sf):
+    """What became of the files of that stream, by source."""
+    files = ledger(spark, _reconfigured_lake(spark, sf))
+    return files.groupBy("kind", "source", "status").agg(F.count_distinct("config_version").alias("versions"), (F.count("file_key") > 0).alias("held"))
+
+
 def stream_quarantine(spark, sf):
     """Files that no configured source claims, by folder."""
     root, _ = _staged_lake(spark, sf)
@@ -686,7 +717,7 @@ QUERIES: dict[str, Query] = {
         knn_sliced, knn_fallback, question_targets, question_targets_word, question_resolution, question_rejected,
         question_unknown_targets, context_blocks_query, answer_payloads,
         question_answers, text_chunks, index_documents, index_increment,
-        index_counts, hash_embed, hash_retrieve, eval_keywords, eval_summary, eval_latency, stream_ingest, stream_index,
+        index_counts, hash_embed, hash_retrieve, eval_keywords, eval_summary, eval_latency, stream_ingest, stream_config, stream_ledger, stream_index,
         index_refresh, index_failures, stream_quarantine, lake_ingest, lake_config, csv_export, cases_file, result_tables, dimension_stream,
     )
 }

@@ -263,6 +263,8 @@ _REFRESH = {
         WHERE review_id <> '' AND full_text) WHERE rn = 1""",
     "edited": "SELECT review_id, review_text, CASE WHEN right(review_id, 1) IN ('1', '4', '7') THEN review_text || CASE WHEN right(review_id, 1) = '4' THEN ' edited?' ELSE ' edited!' END ELSE review_text END AS text FROM first",
 }
+# Divisors of a stream whose config changes after its first two sources.
+_CHANGED = "CASE WHEN source IN ('north', 'south') THEN 2 ELSE 1 END"
 _LAKE_COLUMNS = (
     "review_id", "customer_id", "review_date", "rating", "review_text", "total_spent", "tip_amount", "tip_percentage", "party_size", "age_range", "gender", "ethnicity",
 )
@@ -506,6 +508,9 @@ SQL: dict[str, str] = {
           (SELECT count(*) FROM typed WHERE review_id IS NULL OR review_id = '') AS missing_id,
           (SELECT count(*) FROM typed WHERE raw_rating NOT IN ('', 'nan') AND rating IS NULL) AS bad_rating FROM staged""",
     "stream_ingest": _facts_text(False),
+    "stream_config": _with(**_facts()).replace(" / 2, 1)", f" / {_CHANGED}, 1)") + f"""
+        SELECT restaurant_id, review_id, rating, {_CHANGED.replace('source', 'restaurant_id')}::DOUBLE AS divisor FROM facts""",
+    "stream_ledger": _with(raw=RAW) + " SELECT DISTINCT 'fact' AS kind, source, 'loaded' AS status, 1 AS versions, true AS held FROM raw",
     "stream_index": _with(**_facts()) + f"""
         SELECT review_id, restaurant_id, CAST(rating AS FLOAT) AS rating, strftime(review_date, '%Y-%m-%d') AS review_date, review_text
         FROM facts WHERE NOT ({_blank_text('review_text')})""",

@@ -68,7 +68,7 @@ def read_raw_csv(
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if multi_line == "splits":
-        df = read_csv_in_splits(spark, paths)
+        df = read_csv_in_splits(spark, paths, where)
         return df.select(*[na_to_null(F.col(f"`{c}`"), NA_TOKENS).alias(c) for c in df.columns[:-2]], "pos", "path")
     reader = spark.read.options(
         header=True, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8", inferSchema=False, enforceSchema=False, mode="PERMISSIVE",
@@ -86,46 +86,51 @@ def read_raw_csv(
     )
 
 
-def spans_lines(spark: SparkSession, paths: list[str]) -> bool:
+def spans_lines(spark: SparkSession, paths: str | list[str], where: Column | None = None) -> bool:
     """Whether a quoted cell runs over a line break: some line then holds an odd number of quotes."""
+    lines = spark.read.option("recursiveFileLookup", where is not None).text(paths)
+    if where is not None:
+        lines = lines.where(where)
     odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
-    return not spark.read.text(paths).filter(odd).isEmpty()
+    return not lines.filter(odd).isEmpty()
 
 
 def read_facts(
-    spark: SparkSession, root: str, config: SourceConfig, multi_line: bool | None = None, large: int = LARGE_FILE
-) -> tuple[DataFrame | None, DataFrame | None, list[str], dict[str, list[str]]]:
+    spark: SparkSession, root: str, config: SourceConfig, multi_line: bool | str | None = None, large: int = LARGE_FILE
+) -> tuple[DataFrame | None, DataFrame | None, DataFrame, dict[str, list[str]]]:
     """Every raw file below ``root``, routed by key.
 
     Returns the unioned raw facts (contract columns, ``source, file_key, pos`` and
-    ``has_id``), the raw dimension, the keys without a known source, and the configured
-    headers a source lacks. Only file paths come to the driver, as any listing does.
-    With ``multi_line`` left open, a source with a large file is read in splits unless a
-    scan of its lines finds a cell that needs the file whole.
+    ``has_id``), the raw dimension, the table of keys without a known source, and the configured
+    headers a source lacks. One row per source comes to the driver, with one file to take the header from; the reads are
+    pruned by file path, so other sources' files are not opened. With ``multi_line`` left open, a source with a large file is read
+    in splits: plain ones, unless a scan of its lines finds a cell that runs over a line break.
     """
-    listing = list_keys(spark, root)
-    routed = listing.select(
-        "path", "length", "file_key",
-        is_reference_key(F.col("file_key")).alias("is_reference"),
-        source_of(F.col("file_key"), config.sources).alias("source"),
-    ).collect()
-    unknown = sorted(r["file_key"] for r in routed if not r["is_reference"] and r["source"] is None)
-    dimension_paths = sorted(r["path"] for r in routed if r["is_reference"])
-    facts, absent = None, {}
-    for source in config.sources:
-        mine = [r for r in routed if not r["is_reference"] and r["source"] == source]
-        paths = sorted(r["path"] for r in mine)
-        if not paths:
-            continue
-        whole = multi_line
-        if whole is None:
-            whole = max(r["length"] for r in mine) <= large or spans_lines(spark, paths)
-        raw, missing = rename_headers(read_raw_csv(spark, paths, whole), config.headers[source])
-        if missing:
-            absent[source] = missing
-        part = with_lineage(raw, root, source)
-        facts = part if facts is None else facts.unionByName(part)
-    dimension = read_raw_csv(spark, dimension_paths) if dimension_paths else None
+    routed = list_keys(spark, root).select(
+        "path", "length", "file_key", is_reference_key(F.col("file_key")).alias("is_reference"), source_of(F.col("file_key"), config.sources).alias("source"))
+    unknown = routed.filter("NOT is_reference AND source IS NULL").select("file_key")
+    groups = routed.groupBy("is_reference", F.when(~F.col("is_reference"), F.col("source")).alias("source")).agg(
+        F.min_by("path", "file_key").alias("example"), F.max("length").alias("largest")).collect()
+    key = relative_key(F.col("_metadata.file_path"), root)
+    facts, dimension, absent = None, None, {}
+
+    def read(example: str, mine: Column, mode: bool | str) -> DataFrame:
+        columns = read_raw_csv(spark, example).columns[:-2]
+        return read_raw_csv(spark, f"{root.rstrip('/')}/raw", mode, columns, mine)
+
+    for group in sorted(groups, key=lambda g: config.sources.index(g["source"]) if g["source"] is not None else -1):
+        if group["is_reference"]:
+            dimension = read(group["example"], is_reference_key(key), True)
+        elif group["source"] is not None:
+            mine = (source_of(key, config.sources) == group["source"]) & ~is_reference_key(key)
+            mode = multi_line
+            if mode is None:
+                mode = True if group["largest"] <= large else "splits" if spans_lines(spark, f"{root.rstrip('/')}/raw", mine) else False
+            raw, missing = rename_headers(read(group["example"], mine, mode), config.headers[group["source"]])
+            if missing:
+                absent[group["source"]] = missing
+            part = with_lineage(raw, root, group["source"])
+            facts = part if facts is None else facts.unionByName(part)
     return facts, dimension, unknown, absent
 
 

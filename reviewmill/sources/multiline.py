@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill.operators.bounds import BROADCAST_ROWS
@@ -102,12 +102,13 @@ def _inside(chunks: DataFrame) -> DataFrame:
     return own.join(begun, ["path", "block"]).where((F.col("ahead") + F.col("own")) % 2 == 1).select("path", "block", "seq")
 
 
-def rows_of_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+def rows_of_files(spark: SparkSession, paths: list[str], where: Column | None = None) -> DataFrame:
     """``path, pos, text`` of every row, header rows included; ``pos`` orders the rows of a file, and is 0 for its first line.
 
     ``pos`` is twice the byte a split starts at plus the line in it: a split has no more lines than bytes.
     """
-    lines = spark.read.option("lineSep", "\n").text(paths).select(
+    read = spark.read.options(lineSep="\n", recursiveFileLookup=where is not None).text(paths)
+    lines = (read if where is None else read.where(where)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
     chunks = _written(lines.mapInArrow(_packed, _CHUNK_COLUMNS), "raw-chunks")
     inside = _written(_inside(chunks), "raw-inside")
@@ -125,9 +126,12 @@ def rows_of_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     return cut.where(F.col("part") == WHOLE).select("path", "pos", F.col("text").cast("string").alias("text")).unionByName(joined.select("path", "pos", "text"))
 
 
-def read_csv_in_splits(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All-string columns of the header, with ``pos`` and ``path``: the same rows in the same order as a read file by file."""
-    rows = rows_of_files(spark, paths).withColumn("text", F.regexp_replace("text", "\r\\z", ""))
+def read_csv_in_splits(spark: SparkSession, paths: list[str], where: Column | None = None) -> DataFrame:
+    """All-string columns of the header, with ``pos`` and ``path``: the same rows in the same order as a read file by file.
+
+    ``where``, over the file path alone, prunes files below ``paths``.
+    """
+    rows = rows_of_files(spark, paths, where).withColumn("text", F.regexp_replace("text", "\r\\z", ""))
     first = rows.where("pos = 0").select(F.regexp_replace("text", "^﻿", "").alias("text"))
     header = first.first()
     if header is None:

@@ -54,7 +54,7 @@ def lake(tmp_path_factory):
 def test_files_to_scored_answers(spark, lake, tmp_path):
     config = load_config(spark, str(lake / "mapping.csv"))
     raw, dimension, unknown, missing = read_facts(spark, str(lake), config)
-    assert not unknown and not missing
+    assert unknown.isEmpty() and not missing
     write_silver(standardize_facts(raw, config.divisor_of(F.col("source"))), str(tmp_path / "facts"))
     facts = spark.read.parquet(str(tmp_path / "facts"))
     facts = standardize_contract(facts)

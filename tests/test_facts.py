@@ -134,4 +134,4 @@ def test_row_order_follows_files_not_their_size(spark, tmp_path):
     (tmp_path / "raw/north_b.csv").write_text("review_id,rating\nx,2\n" + "".join(f"y{i},3\n" for i in range(3000)))
     raw, _, unknown, _ = read_facts(spark, str(tmp_path), SourceConfig({"north": {"review_id": "review_id", "rating": "rating"}}, {}))
     got = {r["review_id"]: r["rating"] for r in standardize_facts(raw, F.lit(1)).collect()}
-    assert got["x"] == 1.0 and len(got) == 3001 and unknown == []
+    assert got["x"] == 1.0 and len(got) == 3001 and unknown.isEmpty()

@@ -80,7 +80,7 @@ def test_malformed_config_fails(spark, tmp_path):
 def test_files_to_facts(spark, lake):
     config = load_config(spark, str(lake / "mapping.csv"))
     raw, dimension, unknown, missing = read_facts(spark, str(lake), config)
-    assert unknown == ["raw/2024 spring/all_unknown_reviews.csv"] and missing == {}
+    assert [r["file_key"] for r in unknown.collect()] == ["raw/2024 spring/all_unknown_reviews.csv"] and missing == {}
     facts = standardize_facts(raw, config.divisor_of(F.col("source")))
     assert tuple(facts.columns) == FACT_COLUMNS
     rows = {r["review_id"]: r for r in facts.collect()}

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import shutil
 
 import pytest
@@ -7,7 +8,7 @@ import pytest
 from reviewmill.contracts import FACT_COLUMNS
 from reviewmill.operators.headers import SourceConfig
 from reviewmill.operators.index import ensure_index
-from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_source, quarantine_unknown
+from reviewmill.streaming.ingest import index_stream, ingest_dimension, ingest_lake, ingest_source, ledger, quarantine_unknown
 
 CONFIG = SourceConfig(
     headers={"harbor": {"review_number": "review_id", "score": "rating", "words": "review_text"}, "harborside": {"id": "review_id"}},
@@ -24,7 +25,7 @@ def drop(root, name, rows):
 
 
 def run(spark, root, **options):
-    query = ingest_source(spark, str(root), "harbor", HEADER, CONFIG, str(root / "checkpoint"), **options)
+    query = ingest_source(spark, str(root), "harbor", CONFIG, str(root / "checkpoint"), **options)
     query.awaitTermination()
     facts = spark.read.parquet(str(root / "processed/facts"))
     return {(r["file_key"], r["review_id"]): (r["rating"], r["transaction_count"]) for r in facts.collect()}, facts
@@ -54,14 +55,105 @@ def test_files_are_drained_once_and_replaced_by_key(spark, tmp_path):
     assert rows == {("raw/harbor_1.csv", "c"): (1.0, 1), ("raw/Harbor_2.txt", "a"): (3.0, 1), ("raw/harbor_3.csv", "b"): (5.0, 1), ("raw/harbor/reviews.csv", "d"): (1.0, 1)}
 
 
-def test_bad_header_fails_the_batch_and_loses_nothing(spark, tmp_path):
+def test_a_bad_file_fails_the_batch_and_loses_nothing(spark, tmp_path):
     drop(tmp_path, "harbor_1.csv", [("a", "8", "x", "")])
-    (tmp_path / "raw/harbor_2.csv").write_text("score,review_number,words,review_date\n8,b,x,\n")
-    with pytest.raises(Exception):
+    (tmp_path / "raw/harbor_2.csv").write_text("other,columns\n8,b\n")
+    with pytest.raises(Exception, match="no configured column"):
         run(spark, tmp_path)
-    drop(tmp_path, "harbor_2.csv", [("b", "8", "x", "")])
+    (tmp_path / "raw/harbor_2.csv").write_text("score,review_number,words,review_date\n8,b,x,\n")  # columns in another order
     rows, _ = run(spark, tmp_path)
-    assert {k[1] for k in rows} == {"a", "b"}
+    assert {k[1]: v for k, v in rows.items()} == {"a": (4.0, 1), "b": (4.0, 1)}
+
+
+MAPPING = "\n".join([
+    "source_dataset;input_column;target_column;rating_divisor", "harbor;review_number;review_id;", "harbor;score;rating;{}",
+    "harbor;words;review_text;", "harborside;id;review_id;", ""])
+
+
+def stamped(root, name, second, text=None, rows=None):
+    """A raw file with its time of arrival."""
+    if rows is not None:
+        drop(root, name, rows)
+    else:
+        (root / "raw" / name).write_text(text)
+    os.utime(root / "raw" / name, (1_700_000_000 + second, 1_700_000_000 + second))
+
+
+def lake_run(spark, root, **options):
+    ingest_lake(spark, str(root), str(root / "mapping.csv"), str(root / "lc"), **options).awaitTermination()
+
+
+def told(spark, root):
+    return {r["file_key"].removeprefix("raw/"): (r["kind"], r["source"], r["status"], r["error"]) for r in ledger(spark, str(root)).collect()}
+
+
+def silver(spark, root):
+    return {(r["file_key"].removeprefix("raw/"), r["review_id"]): r["rating"] for r in spark.read.parquet(str(root / "processed/facts")).collect()}
+
+
+def test_all_sources_in_order_up_to_the_first_error(spark, tmp_path):
+    (tmp_path / "mapping.csv").write_text(MAPPING.format(2))
+    stamped(tmp_path, "harbor_b.csv", 1, rows=[("a", "8", "one", ""), ("", "2", "no id", "")])
+    stamped(tmp_path, "harborside.txt", 2, text="id,rating\nleft,3\n")
+    stamped(tmp_path, "harbor_a.csv", 3, text="other\n1\n")
+    stamped(tmp_path, "harbor_c.csv", 4, rows=[("c", "4", "behind the error", "")])
+    stamped(tmp_path, "restaurant_info.csv", 5, text="location,restaurant_name\nHarbor,Blue\n")
+    with pytest.raises(Exception, match="harbor_a.csv: no configured column"):
+        lake_run(spark, tmp_path)
+    assert told(spark, tmp_path) == {
+        "harbor_b.csv": ("fact", "harbor", "loaded", None), "harborside.txt": ("fact", "harborside", "loaded", None),
+        "harbor_a.csv": ("fact", "harbor", "failed", "no configured column in the header"), "harbor_c.csv": ("fact", "harbor", "waiting", None),
+        "restaurant_info.csv": ("dimension", None, "waiting", None)}
+    assert silver(spark, tmp_path) == {("harbor_b.csv", "a"): 4.0, ("harborside.txt", "left"): 3.0}
+    assert not (tmp_path / "processed/reference").exists()
+
+    stamped(tmp_path, "harbor_a.csv", 3, rows=[("b", "6", "repaired", "")])
+    lake_run(spark, tmp_path)
+    assert {status for _, _, status, _ in told(spark, tmp_path).values()} == {"loaded"} and len(told(spark, tmp_path)) == 5
+    assert silver(spark, tmp_path) == {
+        ("harbor_b.csv", "a"): 4.0, ("harborside.txt", "left"): 3.0, ("harbor_a.csv", "b"): 3.0, ("harbor_c.csv", "c"): 2.0}
+    assert spark.read.parquet(str(tmp_path / "processed/reference")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "quarantine/rows")).count() == 1
+
+
+def test_an_unknown_file_stops_the_batch(spark, tmp_path):
+    (tmp_path / "mapping.csv").write_text(MAPPING.format(2))
+    drop(tmp_path, "harbor_1.csv", [("a", "8", "x", "")])
+    stamped(tmp_path, "stranger.csv", 900_000_000, text="id\n1\n")
+    with pytest.raises(Exception, match="no configured source"):
+        lake_run(spark, tmp_path)
+    assert silver(spark, tmp_path) == {("harbor_1.csv", "a"): 4.0}
+
+
+def test_config_changes_between_batches_of_a_running_query(spark, tmp_path):
+    (tmp_path / "mapping.csv").write_text(MAPPING.format(2))
+    (tmp_path / "raw").mkdir()
+    query = ingest_lake(spark, str(tmp_path), str(tmp_path / "mapping.csv"), str(tmp_path / "lc"), every="200 milliseconds")
+    try:
+        drop(tmp_path, "harbor_1.csv", [("a", "8", "x", "")])
+        query.processAllAvailable()
+        (tmp_path / "mapping.csv").write_text(MAPPING.format(4))
+        drop(tmp_path, "harbor_2.csv", [("b", "8", "x", "")])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert silver(spark, tmp_path) == {("harbor_1.csv", "a"): 4.0, ("harbor_2.csv", "b"): 2.0}
+    versions = {r["file_key"]: r["config_version"] for r in ledger(spark, str(tmp_path)).collect()}
+    kept = spark.read.parquet(str(tmp_path / "config_versions"))
+    used = {r["config_version"]: r["rating_divisor"] for r in kept.filter("target_column = 'rating'").collect()}
+    assert [used[versions[f"raw/harbor_{k}.csv"]] for k in (1, 2)] == [2.0, 4.0]
+
+
+def test_a_large_file_with_line_breaks_is_many_tasks(spark, tmp_path):
+    rows = [(f"r{i}", "8", f'"line\n{i}, ""q"""', "2024-01-01") for i in range(400)]
+    drop(tmp_path, "harbor_1.csv", rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 2000)
+    try:
+        run(spark, tmp_path, large=0)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    facts = spark.read.parquet(str(tmp_path / "processed/facts")).collect()
+    assert {r["review_id"]: r["review_text"] for r in facts} == {f"r{i}": f'line\n{i}, "q"' for i in range(400)}
 
 
 def test_silver_flows_into_the_index(spark, tmp_path):
