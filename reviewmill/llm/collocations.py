@@ -7,7 +7,7 @@ n-gram one, all as numpy arrays with 64-bit wrap-around; language and length are
 2. phrases of three and four words whose pairs all may be frequent (a phrase is no more frequent than its parts);
 3. occurrences whose fingerprint may be frequent: a pointer to the first of each in the buffer is followed to the text, and the
    others are compared with it word by word, so phrases that share a fingerprint are told apart. Only these phrases
-   become text; their counts are summed by phrase, which makes them exact, and every phrase carries one pointer (doc_id, place of its first word).
+   become text; their counts are summed by phrase, which makes them exact, and every phrase carries the doc_id of one occurrence.
 
 "May be frequent" is a bitmap of the fingerprints with enough occurrences, at most ``MAX_FILTER_BITS``, sized by their
 counted number. It has no false negatives; the fuller it is, the more infrequent phrases scan 3 writes out, and they fall at the exact count.
@@ -36,6 +36,7 @@ LONGEST = 4
 BUFFER = 1 << 21  # bytes hashed at a time
 WIDE = 1 << 16  # words of so many bytes are hashed by their digest, so that no word fills a buffer
 HELD = 1 << 21  # (fingerprint, count) entries a task sums before it hands them on
+HELD_PHRASES = 1 << 18  # phrases a task sums before it hands them on
 MAX_FILTER_BITS = 1 << 28  # 32 MB: the bound of what is broadcast
 _RANK_SLICES = 64
 
@@ -79,20 +80,19 @@ def _prefix(values: np.ndarray, powers: _Powers) -> tuple[np.ndarray, np.ndarray
 class Buffer:
     """Texts with their rows, cut into words; ``old`` words at the front were counted before, in the piece they come from."""
 
-    def __init__(self, texts: list[bytes], rows: list[int], seeds: np.ndarray, wide: dict[bytes, bytes], old: int = 0, before: int = 0):
+    def __init__(self, texts: list[bytes], rows: list[int], seeds: np.ndarray, wide: dict[bytes, bytes], old: int = 0):
         self.wide = wide
         self.raw = b"\n".join(texts)
         self.bytes = np.frombuffer(self.raw, np.uint8)
         gap = (self.bytes == 32) | (self.bytes == 10)
         edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]])))
         self.start, self.end = edge[::2], edge[1::2]
-        self.old, self.before = old, before
+        self.old = old
         lines = np.cumsum(self.bytes == 10, dtype=np.int64)
         self.piece = lines[self.start] if len(self.start) else np.zeros(0, np.int64)
         firsts = np.cumsum([0, *(len(text) + 1 for text in texts)])[:-1]
         text_of = np.searchsorted(firsts, self.start, side="right") - 1
         self.row = np.asarray(rows, np.int64)[text_of]
-        self.place = np.arange(len(self.start)) - np.searchsorted(self.start, firsts)[text_of] + before
         self.seed = seeds[self.row]
         prefix, down = _prefix(_BYTE[self.bytes], _BYTES)
         self.word = _mix((prefix[self.end] - prefix[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
@@ -122,9 +122,15 @@ class Buffer:
         numbers: dict[bytes, int] = {}
         return np.array([numbers.setdefault(self.raw[a:b], len(numbers)) for a, b in zip(self.start.tolist(), self.end.tolist(), strict=True)], np.int64)
 
-    def phrase(self, at: int, n: int) -> bytes:
-        words = (self.raw[a:b] for a, b in zip(self.start[at:at + n].tolist(), self.end[at:at + n].tolist(), strict=True))
-        return b" ".join(self.wide.get(word, word) if word[0] == 255 else word for word in words)
+    def phrases(self, at: np.ndarray, n: int) -> Iterator[bytes]:
+        """The n-grams from these words on, single-spaced, read from the text."""
+        starts, ends = self.start[at], self.end[at + n - 1]
+        plain = ends - starts == n - 1 + sum((self.end[at + k] - self.start[at + k] for k in range(n)), np.zeros(len(at), np.int64))
+        for a, b, as_is in zip(starts.tolist(), ends.tolist(), plain.tolist(), strict=True):
+            phrase = self.raw[a:b] if as_is else b" ".join(filter(None, self.raw[a:b].split(b" ")))
+            if self.wide and b"\xff" in phrase:
+                phrase = b" ".join(self.wide.get(word, word) for word in phrase.split(b" "))
+            yield phrase
 
 
 def _shortened(text: bytes, wide: dict[bytes, bytes]) -> bytes:
@@ -143,15 +149,14 @@ def _shortened(text: bytes, wide: dict[bytes, bytes]) -> bytes:
     return re.sub(rb"[^ \n]+", short, text)
 
 
-def _pieces(text: bytes) -> Iterator[tuple[bytes, int, int]]:
-    """(piece, words it repeats, place of its first word) of a folded text; all but the first repeat the last words before."""
-    start, carried, words = 0, b"", 0
+def _pieces(text: bytes) -> Iterator[tuple[bytes, int]]:
+    """(piece, words it repeats) of a folded text; all but the first repeat the last words before."""
+    start, carried = 0, b""
     while start < len(text):
         found = _GAP.search(text, start + BUFFER)
         end = found.start() + 1 if found else len(text)
-        piece, old = carried + text[start:end], len(carried.split())
-        yield piece, old, words - old
-        words += len(piece.split()) - old
+        piece = carried + text[start:end]
+        yield piece, len(carried.split())
         at = len(piece)
         for _ in range(LONGEST - 1):
             at = len(piece[:at].rstrip(b" \n"))
@@ -168,8 +173,8 @@ def _buffers(batch: pa.RecordBatch) -> Iterator[Buffer]:
     for row, text in enumerate(batch.column("text")):
         folded = _shortened(text.as_py().translate(_FOLD), wide)
         if len(folded) > BUFFER:
-            for piece, old, before in _pieces(folded):
-                yield Buffer([piece], [row], seeds, wide, old, before)
+            for piece, old in _pieces(folded):
+                yield Buffer([piece], [row], seeds, wide, old)
             continue
         texts.append(folded)
         rows.append(row)
@@ -242,47 +247,64 @@ def _counting(lengths: tuple[int, ...], pairs) -> Callable:
     return run
 
 
+class _Phrases:
+    """Counts by language and phrase with the doc_id of one occurrence; a bounded number is held."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, dict[bytes, list]] = {}
+        self.size = 0
+
+    def add(self, lang: str, phrase: bytes, count: int, doc_id: int | None) -> None:
+        own = self.held.setdefault(lang, {})
+        entry = own.get(phrase)
+        if entry is None:
+            own[phrase] = [count, doc_id]
+            self.size += 1
+        else:
+            entry[0] += count
+
+    def emit(self) -> Iterator[pa.RecordBatch]:
+        for lang, own in self.held.items():
+            phrases = list(own)
+            for start in range(0, len(phrases), 1 << 14):
+                part = phrases[start:start + (1 << 14)]
+                counts, ids = zip(*map(own.get, part), strict=True)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(part), pa.string()), pa.array([p.count(b" ") + 1 if p else 0 for p in part], pa.int32()),
+                    pa.array(part, pa.binary()), pa.array(counts, pa.int64()), pa.array(ids, pa.int64())],
+                    ["lang", "n", "phrase", "occurrences", "doc_id"])
+        self.__init__()
+
+
 def _reading(bitmap) -> Callable:
-    """(lang, n, phrase, occurrences, doc_id, place) of what may be frequent, and under n = 0 the words by language."""
+    """(lang, n, phrase, occurrences, doc_id) of what may be frequent, and under the empty phrase, n = 0, the words by language."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
+        found = _Phrases()
         for batch in batches:
-            langs, ids = batch.column("lang").to_pylist(), batch.column("doc_id")
+            langs, ids = batch.column("lang").to_pylist(), batch.column("doc_id").to_pylist()
             totals = np.zeros(len(langs), np.int64)
             for buffer in _buffers(batch):
                 totals += np.bincount(buffer.row[buffer.old:], minlength=len(langs))
                 number = buffer.word_numbers()
-                lang, size, phrase, occurrences, row, place = [], [], [], [], [], []
                 for n in range(1, LONGEST + 1):
                     at = buffer.grams(n)
                     fingerprint = buffer.fingerprints(at, n)
                     may = _maybe(fingerprint, bits)
                     at, fingerprint = at[may], fingerprint[may]
                     first, counts = _alike(at, fingerprint, [number[at + k] for k in range(n)], buffer.seed[at])
-                    for here, count in zip(first.tolist(), counts.tolist(), strict=True):
-                        phrase.append(buffer.phrase(here, n))
-                        lang.append(langs[buffer.row[here]])
-                        occurrences.append(count)
-                    row += buffer.row[first].tolist()
-                    place += buffer.place[first].tolist()
-                    size += [n] * len(first)
-                yield _phrase_batch(lang, size, phrase, occurrences, ids.take(pa.array(row, pa.int64())), place)
-            by_lang: dict[str, int] = {}
-            for name, words in zip(langs, totals.tolist(), strict=True):
-                by_lang[name] = by_lang.get(name, 0) + words
-            zero = [0] * len(by_lang)
-            yield _phrase_batch(list(by_lang), zero, [b""] * len(zero), list(by_lang.values()), pa.nulls(len(zero), pa.int64()), zero)
+                    for phrase, row, count in zip(buffer.phrases(first, n), buffer.row[first].tolist(), counts.tolist(), strict=True):
+                        found.add(langs[row], phrase, count, ids[row])
+                if found.size > HELD_PHRASES:
+                    yield from found.emit()
+            for lang, words in zip(langs, totals.tolist(), strict=True):
+                found.add(lang, b"", words, None)
+        yield from found.emit()
 
     return run
 
 
-def _phrase_batch(lang, size, phrase, occurrences, ids, place) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
-        pa.array(lang, pa.string()), pa.array(size, pa.int32()), pa.array(phrase, pa.binary()), pa.array(occurrences, pa.int64()), ids,
-        pa.array(place, pa.int64())], ["lang", "n", "phrase", "occurrences", "doc_id", "place"])
-
-
 def _alike(at: np.ndarray, fingerprint: np.ndarray, words: list[np.ndarray], seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place and count of every different n-gram, by fingerprint, where the words agree; else by the words themselves."""
     _, first, number, counts = np.unique(fingerprint, return_index=True, return_inverse=True, return_counts=True)
@@ -306,8 +328,8 @@ def _bitmap(frequent: DataFrame) -> np.ndarray:
 
 
 def phrases(docs: DataFrame, least: int = 30) -> DataFrame:
-    """lang, n, phrase, occurrences and seen (doc_id, place) of all phrases of 1 to 4 words found at least ``least`` times in a
-    language; n = 0 holds a language's words."""
+    """lang, n, phrase, occurrences and seen (doc_id of an occurrence) of all phrases of 1 to 4 words found at least ``least`` times
+    in a language; n = 0 holds a language's words."""
     spark = docs.sparkSession
     read = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("und")).alias("lang"), F.encode(whole_text(), "UTF-8").alias("text"))
@@ -320,9 +342,9 @@ def phrases(docs: DataFrame, least: int = 30) -> DataFrame:
     short = frequent((1, 2))
     long = frequent((3, 4), spark.sparkContext.broadcast(_bitmap(short)))
     bits = spark.sparkContext.broadcast(_bitmap(short.unionByName(long)))
-    found = read.mapInArrow(_reading(bits), "lang string, n int, phrase binary, occurrences long, doc_id long, place long")
+    found = read.mapInArrow(_reading(bits), "lang string, n int, phrase binary, occurrences long, doc_id long")
     exact = found.groupBy("lang", "n", F.col("phrase").cast("string").alias("phrase")).agg(
-        F.sum("occurrences").alias("occurrences"), F.min(F.struct("doc_id", "place")).alias("seen"))
+        F.sum("occurrences").alias("occurrences"), F.min("doc_id").alias("seen"))
     return written(exact.where((F.col("occurrences") >= least) | (F.col("n") == 0)), "phrases")
 
 
