@@ -1,36 +1,26 @@
-"""Which dictionary entries occur inside which texts, as an equi-join on whole entries.
+"""Which dictionary entries occur inside which texts.
 
-A cross product of texts and entries does not scale. A dictionary has few distinct lengths, so each text is cut into its
-distinct substrings of exactly these lengths, and only substrings equal to an entry meet it: what leaves the join is a match.
+A cross product of texts and entries does not scale. A small dictionary is filtered in place by built-in functions; a larger one
+becomes automata that find all entries in one pass over a text, so the time follows the length of the texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reviewmill.operators.bounds import small_copy
+from reviewmill.operators.automaton import Automaton
+from reviewmill.session import fresh_path
 
 LITERAL_LIMIT = 128
+GROUP_BYTES = 1 << 17  # entry bytes of one automaton: no more states than bytes, and so a bounded table
 _WORD_EDGE = r"[\p{L}\p{N}_]"
 
 
-def _cuts(text: Column, widths: list[int], word: bool) -> Column:
-    """Distinct substrings of the given widths, on request only those between word boundaries."""
-
-    def of_width(width: Column) -> Column:
-        starts = F.when(F.length(text) >= width, F.sequence(F.lit(1), F.length(text) - width + 1)).otherwise(F.array().cast("array<int>"))
-        if word:
-            def free(i: Column) -> Column:
-                ahead = F.when(i > 1, F.substring(text, i - 1, F.lit(1))).otherwise("")
-                return ~ahead.rlike(_WORD_EDGE) & ~F.substring(text, i + width, F.lit(1)).rlike(_WORD_EDGE)
-
-            starts = F.filter(starts, free)
-        return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, width)))
-
-    return F.flatten(F.transform(F.array(*[F.lit(w) for w in widths]), of_width))
-
-
 def holds(text: Column, entry: Column, word: bool = False) -> Column:
     """Whether the entry occurs in the text, on request between word boundaries only."""
     held = F.contains(text, entry)
@@ -40,6 +30,30 @@ def holds(text: Column, entry: Column, word: bool = False) -> Column:
     return held
 
 
+def _groups(entries: DataFrame, entry: str) -> Iterator[list[str]]:
+    """The entries in sorted runs of about ``GROUP_BYTES``, so that a run shares first characters; one run is fetched at a time."""
+    size = entries.agg(F.sum(F.octet_length(entry))).first()[0] or 0
+    n = max(1, -(-2 * size // GROUP_BYTES)) if size > GROUP_BYTES else 1
+    path = fresh_path(entries.sparkSession, "dictionary")
+    ranged = entries.repartitionByRange(n, entry) if n > 1 else entries.coalesce(1)
+    ranged.withColumn("_group", F.spark_partition_id()).write.partitionBy("_group").parquet(path)
+    held = entries.sparkSession.read.schema(f"`{entry}` string, _group int").parquet(path)
+    for group in range(n):
+        yield [row[0] for row in held.filter(F.col("_group") == group).select(entry).collect()]
+
+
+def _searcher(automaton, names, text_id: str, entry: str, word: bool):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(names.value, pa.string())
+        for batch in batches:
+            texts = [text or b"" for text in batch.column("text").to_pylist()]
+            number, found = automaton.value.find(texts, word)
+            ids = batch.column("id").take(pa.array(number))
+            yield pa.RecordBatch.from_arrays([ids, known.take(pa.array(found))], [text_id, entry])
+
+    return run
+
+
 def match_substrings(
     texts: DataFrame, entries: DataFrame, text_id: str, text: str, entry: str, word: bool = False,
     literal_limit: int = LITERAL_LIMIT,
@@ -49,7 +63,8 @@ def match_substrings(
     ``texts`` has one row per ``text_id``. Comparison is exact, so lower-case both sides
     first to ignore case. ``word=True`` asks for word boundaries around the entry as well.
     A dictionary of up to ``literal_limit`` entries becomes an array literal that each text
-    filters in place; a larger one is joined on whole entries, of which only the distinct lengths are collected.
+    filters in place. A larger one is cut into runs of bounded size, each a broadcast automaton and a pass over the texts;
+    nothing is shuffled and only matches leave a pass.
     """
     distinct = entries.select(entry).filter(F.length(entry) > 0).distinct()
     few = distinct.limit(literal_limit + 1).collect()
@@ -58,7 +73,13 @@ def match_substrings(
         found = F.filter(known, lambda e: holds(F.col(text), e, word))
         return texts.select(text_id, F.explode(found).alias(entry))
 
-    widths = [r[0] for r in distinct.select(F.length(entry)).distinct().orderBy(F.length(entry)).collect()]
-    cut = texts.select(text_id, F.explode(_cuts(F.col(text), widths, word)).alias(entry))
-    local = small_copy(distinct)
-    return cut.join(distinct if local is None else F.broadcast(local), entry).select(text_id, entry)
+    context = texts.sparkSession.sparkContext
+    read = texts.select(F.col(text_id).alias("id"), F.col(text).cast("binary").alias("text"))
+    schema = T.StructType([T.StructField(text_id, read.schema["id"].dataType), T.StructField(entry, T.StringType())])
+    matched = None
+    for names in _groups(distinct, entry):
+        if names:
+            automaton = Automaton([name.encode("utf-8") for name in names])
+            part = read.mapInArrow(_searcher(context.broadcast(automaton), context.broadcast(names), text_id, entry, word), schema)
+            matched = part if matched is None else matched.unionByName(part)
+    return matched

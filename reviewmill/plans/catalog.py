@@ -23,6 +23,7 @@ from reviewmill.operators.headers import SourceConfig, header_maps, rating_divis
 from reviewmill.operators.index import (
     append_documents, as_documents, chunks, ensure_index, failures, increment_counts, new_documents, refresh_index,
 )
+from reviewmill.operators.matching import match_substrings
 from reviewmill.operators.reports import counted_with_sample
 from reviewmill.operators.routing import route_keys
 from reviewmill.operators.search import (
@@ -165,6 +166,14 @@ def source_routing_many(spark, sf):
     return route_keys(keys.select("doc_id", "key"), keys.select("source")).select("doc_id", "source", "kind")
 
 
+def document_names(spark, sf):
+    """In how many documents each of some hundred names stands as a word."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), F.lit(0))).alias("name"))
+    docs = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("text"))
+    found = match_substrings(docs, words, "doc_id", "text", "name", word=True)
+    return found.groupBy("name").agg(F.count(F.lit(1)).alias("documents"))
+
+
 def config_headers(spark, sf):
     maps = header_maps(view(spark, sf, views.MAPPING_CONFIG))
     return maps.select("source", F.explode("headers").alias("input_column", "target_column"))
@@ -710,7 +719,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         near_dup_drop, near_dup_orphans, near_dup_check, collapse_duplicates, keep_first, date_normalize, date_audit,
         rating_normalize, rating_outcomes, rating_symbols, derive_total, fact_standardize, fact_standardize_compat, header_union,
-        source_routing, source_routing_many, config_headers, config_divisors, dimension_standardize, category_counts, dictionary,
+        source_routing, source_routing_many, document_names, config_headers, config_divisors, dimension_standardize, category_counts, dictionary,
         id_encoding_audit, id_encoding_samples, dq_row_checks, dq_passthrough, dq_summary, dq_cross_ids, dq_reconcile,
         profile_fanout, profile_tips, profile_domain_gaps, profile_spend, profile_overlap, profile_cents,
         profile_text_length, restaurant_summary, docs_per_restaurant, knn_topk, knn_cutoff, knn_filtered, knn_balanced,

@@ -388,6 +388,10 @@ SQL: dict[str, str] = {
     "config_headers": _with(config=views.oracle_text(views.MAPPING_CONFIG)) + """
         SELECT lower(source_dataset) AS source, input_column, arg_max(target_column, pos) AS target_column FROM config c
         WHERE source_dataset = (SELECT max(source_dataset) FROM config d WHERE lower(d.source_dataset) = lower(c.source_dataset)) GROUP BY ALL""",
+    "document_names": r"""
+        WITH names AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS name FROM benchmark),
+        words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS name FROM documents)
+        SELECT name, count(*) AS documents FROM words JOIN names USING (name) GROUP BY name""",
     "config_divisors": _with(config=views.oracle_text(views.MAPPING_CONFIG)) + """
         SELECT lower(source_dataset) AS source, coalesce(CAST(trunc(arg_min(rating_divisor, pos) FILTER (rating_divisor IS NOT NULL)) AS INTEGER), 1) AS divisor,
           count(DISTINCT rating_divisor) AS n_distinct FROM config c

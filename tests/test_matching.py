@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 
-from reviewmill.operators import matching
+from reviewmill.operators import automaton, matching
 from reviewmill.operators.matching import match_substrings
 
 
@@ -16,11 +17,11 @@ def data(spark):
     return texts, entries, frame, spark.createDataFrame([(e,) for e in entries + entries[:5]], "entry string")
 
 
-@pytest.mark.parametrize("path", ["literal", "pieces", "shuffled"])
+@pytest.mark.parametrize("path", ["literal", "automaton", "groups"])
 def test_paths_agree_with_a_double_loop(spark, monkeypatch, path):
     texts, entries, frame, table = data(spark)
-    if path == "shuffled":
-        monkeypatch.setattr(matching, "small_copy", lambda df: None)
+    if path == "groups":
+        monkeypatch.setattr(matching, "GROUP_BYTES", 60)
     got = match_substrings(frame, table, "id", "text", "entry", literal_limit=10**4 if path == "literal" else 0)
     assert sorted(map(tuple, got.collect())) == sorted((i, e) for i, t in enumerate(texts) for e in entries if e and e in t)
 
@@ -43,3 +44,50 @@ def test_only_matches_leave_the_join(spark):
         assert sorted(map(tuple, found.collect())) == [(i, f"source_{i:05d}") for i in range(n)]
         made.append(found.count())
     assert made == [100, 400]
+
+
+def whole_word(text, entry):
+    edge = lambda c: c == "_" or c.isalnum()
+    at = text.find(entry)
+    while at >= 0:
+        if not (at and edge(text[at - 1])) and not (at + len(entry) < len(text) and edge(text[at + len(entry)])):
+            return True
+        at = text.find(entry, at + 1)
+    return False
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1 << 22])
+def test_automaton_equals_a_double_loop(monkeypatch, piece):
+    monkeypatch.setattr(automaton, "SLICE_BYTES", piece)
+    rng = random.Random(piece)
+    for _ in range(60):
+        letters = rng.choice(["ab", "ab_é 1", "日本é⭐ a"])
+        entries = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 25))})
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(rng.randint(0, 9))]
+        built = automaton.Automaton([e.encode() for e in entries])
+        for word in (False, True):
+            number, entry = built.find([t.encode() for t in texts], word)
+            held = whole_word if word else lambda t, e: e in t
+            assert list(zip(number.tolist(), entry.tolist())) == [(i, j) for i, t in enumerate(texts) for j, e in enumerate(entries) if held(t, e)]
+
+
+def test_time_follows_the_text():
+    names = [f"name_{i:05d}" for i in range(5000)]
+    built = automaton.Automaton([n.encode() for n in names])
+
+    def seconds(n):
+        text = ("some words and name_01234 " * n).encode()
+        start = time.perf_counter()
+        number, entry = built.find([text])
+        assert entry.tolist() == [1234]
+        return time.perf_counter() - start
+
+    seconds(10_000)
+    assert seconds(320_000) < 16 * seconds(40_000) + 0.5
+
+
+def test_null_texts_and_odd_ids(spark):
+    texts = spark.createDataFrame([("x", None), (None, "luke"), ("y", ""), ("y", "luke")], "id string, text string")
+    names = spark.createDataFrame([("luke",)], "entry string")
+    got = match_substrings(texts, names, "id", "text", "entry", literal_limit=0)
+    assert {tuple(r) for r in got.collect()} == {("y", "luke"), (None, "luke")}
