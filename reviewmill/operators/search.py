@@ -6,10 +6,9 @@ the k best per search, so it sends k rows per search however much it read, and p
 never written out. Scores are rounded to nine decimals before ranking: equal scores are
 ties, and the smaller review id comes first.
 
-The search matrix travels to the tasks, so its size is bounded. Past the bound searches
-are cut by target and, within one bucket of targets, by hash; each part makes its own pass
-over the reviews of its targets and leaves its hits in the shared folder, and the driver
-never holds more than one part.
+The search matrix travels to the tasks, so its size is bounded. Past the bound searches and
+reviews are cut into blocks and parts by hash, per searched restaurant, and every block meets
+every part of its restaurant in one job (``_grid``).
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from reviewmill.session import fresh_path
 
 SCORE_DECIMALS = 9
 SEARCH_BYTES = 64 << 20
+PART_ROWS = 16_384  # reviews of one cell of the grid: 64 MB of vectors of 1,024
 BLOCK = 1024  # searches multiplied at a time; bounds the score matrix of one batch
 SEARCH_COLUMNS = ("q_id", "target_no", "asked", "n_targets", "k", "target", "embedding")
 HIT_COLUMNS = "q_id bigint, target_no int, asked string, n_targets int, k int, review_id string, restaurant_id string, score double"
@@ -115,8 +115,7 @@ def best_hits(index: DataFrame, searches: DataFrame, max_bytes: int = SEARCH_BYT
     """Hits of each search in ``rank`` order, k at most.
 
     Only id, restaurant and vector are read here; texts join the few hits afterwards. The searches are written once, so
-    whatever embeds the questions runs once. More searches than fit ``max_bytes`` are cut by target, so that each pass reads
-    its restaurants only; the searches of one bucket of targets that are still too many are cut by hash.
+    whatever embeds the questions runs once. More searches than fit ``max_bytes`` meet the reviews in a grid of blocks and parts.
     """
     spark = index.sparkSession
     reviews = index.select("review_id", "restaurant_id", "embedding").filter(F.col("embedding").isNotNull())
@@ -128,19 +127,52 @@ def best_hits(index: DataFrame, searches: DataFrame, max_bytes: int = SEARCH_BYT
     bound = max(1, max_bytes // (8 * stats["dim"] + 256))
     if stats["n"] <= bound:
         return _ranked(_one_pass(reviews, slim.toArrow()), stats["k"])
-    path = fresh_path(spark, "hits")
-    buckets = -(-stats["n"] // bound)
-    placed = slim.withColumns({
-        "_bucket": F.pmod(F.xxhash64("target"), F.lit(buckets)), "_turn": F.xxhash64("q_id", "target_no"),
-    })
-    for row in placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect():
-        turns = 1 if row["n"] <= bound else 2 * -(-row["n"] // bound)  # twice as many as fit, since hash slices vary in size
-        for turn in range(turns):
-            mine = (F.col("_bucket") == row["_bucket"]) & (F.pmod("_turn", F.lit(turns)) == turn)
-            part = placed.filter(mine).drop("_bucket", "_turn").toArrow()
-            if part.num_rows:
-                _ranked(_one_pass(reviews, part), stats["k"]).drop("rank").write.mode("append").parquet(path)
-    return _ranked(spark.read.schema(HIT_COLUMNS).parquet(path), stats["k"])
+    return _ranked(_grid(reviews, slim, bound), stats["k"])
+
+
+def _lanes(reviews: DataFrame, slim: DataFrame, bound: int) -> DataFrame:
+    """``target, blocks, parts`` of every restaurant that is searched: slices of its searches and of its reviews."""
+    searched = slim.filter(F.col("target").isNotNull()).groupBy("target").agg(F.ceil(F.count(F.lit(1)) / bound).alias("blocks"))
+    held = reviews.groupBy(F.col("restaurant_id").alias("target")).agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("parts"))
+    return searched.join(held, "target")
+
+
+def _grid(reviews: DataFrame, slim: DataFrame, bound: int) -> DataFrame:
+    """Hits of more searches than fit one pass, as one job.
+
+    A lane is a restaurant, or all reviews for open searches. Its searches are cut into blocks and its reviews into parts by hash;
+    every block meets every part in a cell of its own, where the k best per search are kept. Searches and reviews of a cell fit a
+    task; a cell's hits are k per search, and they are merged by rank. Nothing but counts comes to the driver.
+    """
+    spark = reviews.sparkSession
+    lanes = _written(_lanes(reviews, slim, bound), "lanes")
+    cells = ["lane", "part", "block"]
+    aimed = reviews.join(lanes, reviews["restaurant_id"] == lanes["target"]).select(
+        F.concat(F.lit("="), "target").alias("lane"), F.pmod(F.xxhash64("review_id"), "parts").alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block"), *reviews.columns)
+    asked = slim.join(lanes, "target").select(
+        F.concat(F.lit("="), "target").alias("lane"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
+        F.pmod(F.xxhash64("q_id", "target_no"), "blocks").alias("block"), *SEARCH_COLUMNS)
+    n_open = slim.filter(F.col("target").isNull()).count()
+    if n_open:
+        blocks, parts = -(-n_open // bound), max(1, -(-reviews.count() // PART_ROWS))
+        every = F.lit("*").alias("lane")
+        aimed = aimed.unionByName(reviews.select(
+            every, F.pmod(F.xxhash64("review_id"), F.lit(parts)).alias("part"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"), *reviews.columns))
+        asked = asked.unionByName(slim.filter(F.col("target").isNull()).select(
+            every, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part"),
+            F.pmod(F.xxhash64("q_id", "target_no"), F.lit(blocks)).alias("block"), *SEARCH_COLUMNS))
+
+    empty = spark.createDataFrame([], HIT_COLUMNS).toArrow()
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return empty
+        found = list(_scorer(right.drop(cells))(iter(left.drop(cells).to_batches())))
+        return pa.Table.from_batches(found).cast(empty.schema) if found else empty
+
+    return aimed.groupBy(*cells).cogroup(asked.groupBy(*cells)).applyInArrow(score, HIT_COLUMNS)
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:

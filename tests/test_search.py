@@ -5,6 +5,7 @@ import pytest
 
 from reviewmill.functions import positive_score
 from reviewmill.operators.context import answer_payload, context_blocks, with_documents
+from reviewmill.operators import search
 from reviewmill.operators.search import apply_cutoff, best_hits, hit_bound, plan_searches, retrieve
 
 DIM = 12
@@ -116,6 +117,21 @@ def test_context_and_fixed_answer(spark):
     assert set(payload[1]["sources"][0].asDict()) == {"review_id", "restaurant_id", "rating", "review_text"}
 
 
+def test_many_blocks_are_one_job(spark, monkeypatch):
+    """Parts and blocks of any number give the same hits, and the number of jobs does not follow them."""
+    index, questions, *_ = world(spark)
+    searches = plan_searches(questions)
+    context, made = spark.sparkContext, []
+    whole = sorted(map(tuple, best_hits(index, searches).collect()), key=str)
+    for number, (rows, max_bytes) in enumerate([(16_384, 3000), (7, 3000), (7, 1)]):
+        monkeypatch.setattr(search, "PART_ROWS", rows)
+        context.setJobGroup(f"grid-{number}", "")
+        assert sorted(map(tuple, best_hits(index, searches, max_bytes=max_bytes).collect()), key=str) == whole
+        made.append(len(context.statusTracker().getJobIdsForGroup(f"grid-{number}")))
+    context.setJobGroup("rest", "")
+    assert max(made) <= min(made) + 2 and max(made) < 25
+
+
 @pytest.mark.parametrize("max_bytes", [1, 5000, 64 << 20])
 def test_questions_are_embedded_once(spark, max_bytes):
     from reviewmill.operators.embed import QUERY, embed
