@@ -5,7 +5,7 @@ n-gram one, all as numpy arrays with 64-bit wrap-around; language and length are
 
 1. words and pairs: (fingerprint, count) per part of the corpus, summed by one shuffle;
 2. phrases of three and four words whose pairs all may be frequent (a phrase is no more frequent than its parts);
-3. occurrences whose fingerprint may be frequent: a pointer to the first of each in the buffer is followed to the text, and the
+3. occurrences that may be frequent, as all their parts must be: a pointer to the first of each in the buffer is followed to the text, and the
    others are compared with it word by word, so phrases that share a fingerprint are told apart. Only these phrases
    become text; their counts are summed by phrase, which makes them exact, and every phrase carries the doc_id of one occurrence.
 
@@ -36,7 +36,7 @@ LONGEST = 4
 BUFFER = 1 << 21  # bytes hashed at a time
 WIDE = 1 << 16  # words of so many bytes are hashed by their digest, so that no word fills a buffer
 HELD = 1 << 21  # (fingerprint, count) entries a task sums before it hands them on
-HELD_PHRASES = 1 << 18  # phrases a task sums before it hands them on
+HELD_PHRASES = 1 << 19  # phrases a task sums before it hands them on
 MAX_FILTER_BITS = 1 << 28  # 32 MB: the bound of what is broadcast
 _RANK_SLICES = 64
 
@@ -99,11 +99,12 @@ class Buffer:
         self.words, self.word_down = _prefix(self.word, _WORDS)
 
     def grams(self, n: int) -> np.ndarray:
-        """First words of the n-grams that lie in one piece of text and end with a word that is new."""
+        """First words of the n-grams that lie in one piece of text."""
         last = len(self.start) - n + 1
-        if last <= 0:
-            return np.zeros(0, np.int64)
-        at = np.flatnonzero(self.piece[:last] == self.piece[n - 1:])
+        return np.flatnonzero(self.piece[:last] == self.piece[n - 1:]) if last > 0 else np.zeros(0, np.int64)
+
+    def fresh(self, at: np.ndarray, n: int) -> np.ndarray:
+        """Those that end with a word that is new."""
         return at[at + n - 1 >= self.old] if self.old else at
 
     def fingerprints(self, at: np.ndarray, n: int) -> np.ndarray:
@@ -216,8 +217,27 @@ class _Sums:
 
 
 def _maybe(fingerprints: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    at = fingerprints >> np.uint64(64 - (len(bits).bit_length() + 2))
-    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
+    """Whether both bits of a fingerprint, named by its highest and its lowest digits, are set."""
+    wide = len(bits).bit_length() + 2
+    found = np.ones(len(fingerprints), bool)
+    for at in (fingerprints >> np.uint64(64 - wide), fingerprints & np.uint64((1 << wide) - 1)):
+        found &= (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
+    return found
+
+
+def _may_be_frequent(buffer: Buffer, bits: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """By length, the n-grams that the bitmap holds and whose own shorter ones it holds, with their fingerprints."""
+    shorter = None
+    for n in range(1, longest + 1):
+        at = buffer.grams(n)
+        if shorter is not None:
+            at = at[shorter[at] & shorter[at + 1]]
+        fingerprint = buffer.fingerprints(at, n)
+        held = _maybe(fingerprint, bits)
+        at, fingerprint = at[held], fingerprint[held]
+        yield n, at, fingerprint
+        shorter = np.zeros(len(buffer.start), bool)
+        shorter[at] = True
 
 
 def _counting(lengths: tuple[int, ...], pairs) -> Callable:
@@ -228,15 +248,16 @@ def _counting(lengths: tuple[int, ...], pairs) -> Callable:
         sums = _Sums()
         for batch in batches:
             for buffer in _buffers(batch):
+                two = np.ones(len(buffer.start), bool)
                 if bits is not None:
-                    two = np.zeros(len(buffer.start) + LONGEST, bool)
-                    every = np.arange(max(0, len(buffer.start) - 1))
-                    two[every] = _maybe(buffer.fingerprints(every, 2), bits)
+                    two[:] = False
+                    for n, at, _ in _may_be_frequent(buffer, bits, 2):
+                        if n == 2:
+                            two[at] = True
                 for n in lengths:
-                    at = buffer.grams(n)
-                    if bits is not None:
-                        for k in range(n - 1):
-                            at = at[two[at + k]]
+                    at = buffer.fresh(buffer.grams(n), n)
+                    for k in range(n - 1):
+                        at = at[two[at + k]]
                     sums.add(buffer.fingerprints(at, n))
                 if sums.size > HELD:
                     sums.summed()
@@ -288,11 +309,9 @@ def _reading(bitmap) -> Callable:
             for buffer in _buffers(batch):
                 totals += np.bincount(buffer.row[buffer.old:], minlength=len(langs))
                 number = buffer.word_numbers()
-                for n in range(1, LONGEST + 1):
-                    at = buffer.grams(n)
-                    fingerprint = buffer.fingerprints(at, n)
-                    may = _maybe(fingerprint, bits)
-                    at, fingerprint = at[may], fingerprint[may]
+                for n, at, fingerprint in _may_be_frequent(buffer, bits, LONGEST):
+                    new = at + n - 1 >= buffer.old
+                    at, fingerprint = at[new], fingerprint[new]
                     first, counts = _alike(at, fingerprint, [number[at + k] for k in range(n)], buffer.seed[at])
                     for phrase, row, count in zip(buffer.phrases(first, n), buffer.row[first].tolist(), counts.tolist(), strict=True):
                         found.add(langs[row], phrase, count, ids[row])
@@ -316,12 +335,12 @@ def _alike(at: np.ndarray, fingerprint: np.ndarray, words: list[np.ndarray], see
 
 
 def _bitmap(frequent: DataFrame) -> np.ndarray:
-    """One bit per fingerprint hash, read from its highest bits."""
+    """Two bits per fingerprint, see ``_maybe``."""
     keys = frequent.count()
-    wide = min(max(16 * keys, 1 << 16).bit_length(), MAX_FILTER_BITS.bit_length() - 1)
-    at = F.shiftrightunsigned("fingerprint", 64 - wide)
+    wide = min(max(32 * keys, 1 << 16).bit_length(), MAX_FILTER_BITS.bit_length() - 1)
+    places = F.array(F.shiftrightunsigned("fingerprint", 64 - wide), F.col("fingerprint").bitwiseAND(F.lit((1 << wide) - 1)))
     bit = F.expr("shiftleft(1L, CAST(at & 63 AS INT))")
-    slots = frequent.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    slots = frequent.select(F.explode(places).alias("at")).groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
     bits = np.zeros((1 << wide) // 64, np.int64)
     bits[slots["slot"].to_numpy()] = slots["bits"].to_numpy()
     return bits.view(np.uint8)
