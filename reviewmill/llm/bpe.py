@@ -9,6 +9,7 @@ input only the columns named in ``keep`` pass through, so other columns cannot c
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
 from itertools import islice
@@ -23,7 +24,8 @@ from pyspark.sql import types as T
 MAX_VOCABULARY_BYTES = 64 << 20  # checked before the vocabulary is broadcast
 BLOCK_CHARS = 1 << 18  # texts are encoded in blocks of about this many characters
 BLOCK_PIECES = 1 << 16
-MEMO_PARTS, MEMO_PIECES = 200_000, 400_000  # bounds of the two memos of a task; they are emptied when full
+MEMO_BYTES = 80 << 20  # bound of one generation of a worker's memo, which has two
+_ENTRY = 170  # bytes of a memo entry beside its key and ids, about
 _ID = np.dtype("<u4")
 
 
@@ -139,13 +141,37 @@ def heap_merge(parts: list[int], pairs: dict[int, int], size: int) -> list[int]:
     return ids
 
 
+class Memo:
+    """Ids by text, in two generations: a full one becomes the old one, from which only what is asked for again is kept."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def put(self, key: str, ids: bytes) -> None:
+        self.young[key] = ids
+        self.size += len(key) + len(ids) + _ENTRY
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Keys of neither generation; those of the old one move to the young one."""
+        keys = keys - self.young.keys()
+        for key in keys & self.old.keys():
+            self.put(key, self.old[key])
+        return keys - self.young.keys()
+
+    def age(self) -> None:
+        if self.size > MEMO_BYTES:
+            self.young, self.old, self.size = {}, self.young, 0
+
+
 class Encoder:
-    """Texts to ids, as packed little-endian 32-bit numbers; lives as long as a task.
+    """Texts to ids, as packed little-endian 32-bit numbers; lives as long as a worker process.
 
     Where a single space stands before anything but white space, a pre-token begins whatever comes before or after,
     so texts are cut at spaces first and each distinct part is matched once per block; a text with a space before white
-    space or at its end is matched whole. The memos only keep results of the two tiers; they are bounded and start anew
-    when full.
+    space or at its end is matched whole. The memo only keeps results of the two tiers, for parts and pre-tokens alike; it is
+    bounded by bytes.
     """
 
     def __init__(self, tokens: list[bytes], pattern: str):
@@ -159,8 +185,7 @@ class Encoder:
         self.slots[self.hash.find(tokens)] = np.arange(len(tokens), dtype=_ID)
         self.tokens = tokens
         self.packed = [int(rank).to_bytes(4, "little") for rank in range(len(tokens))]
-        self.pieces: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.memo = Memo()
 
     def cuts(self, text: str) -> Iterator[tuple[list[str], bool]]:
         """Lists that together are the text, and whether they hold pre-tokens: cut at spaces, or, if very long, matched."""
@@ -176,12 +201,12 @@ class Encoder:
         """Put pre-tokens into the memo: first tier by the perfect hash, all at once; then the heap."""
         texts = list(pieces)
         keys = [text.encode("utf-8") for text in texts]
+        put, of_byte, packed, size = self.memo.put, self.of_byte, self.packed, len(self.tokens)
         for text, key, slot in zip(texts, keys, self.hash.find(keys).tolist(), strict=True):
             if slot >= 0 and self.tokens[rank := int(self.slots[slot])] == key:
-                self.pieces[text] = self.packed[rank]
+                put(text, packed[rank])
             else:
-                ids = heap_merge([self.of_byte[byte] for byte in key], self.pairs, len(self.tokens))
-                self.pieces[text] = b"".join([self.packed[rank] for rank in ids])
+                put(text, b"".join([packed[rank] for rank in heap_merge([of_byte[byte] for byte in key], self.pairs, size)]))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         found: list[list[bytes]] = [[] for _ in texts]
@@ -198,29 +223,37 @@ class Encoder:
         return [b"".join(parts) for parts in found]
 
     def _flush(self, blocks: list[tuple[int, list[str], bool]], found: list[list[bytes]]) -> None:
-        if len(self.parts) > MEMO_PARTS:
-            self.parts.clear()
-        if len(self.pieces) > MEMO_PIECES:
-            self.pieces.clear()
+        self.memo.age()
         unseen = self._unseen(blocks)
         if unsafe := {part for part in unseen if self.blank_first(part)}:
             for at, (k, block, matched) in enumerate(blocks):
                 if not matched and not unsafe.isdisjoint(block):
                     blocks[at] = k, self.pattern.findall("".join(block)), True
             unseen = self._unseen(blocks)
-        learned = [(part, self.pattern.findall(part)) for part in unseen]
-        new = set().union(*(pieces for _, pieces in learned), *(block for _, block, matched in blocks if matched))
-        self.resolve(new - self.pieces.keys())
-        pieces = self.pieces.__getitem__
-        for part, own in learned:
-            self.parts[part] = pieces(own[0]) if len(own) == 1 else b"".join(map(pieces, own))
-        parts = self.parts.__getitem__
-        for k, block, matched in blocks:
-            found[k].append(b"".join(map(pieces if matched else parts, block)))
+        # a part that is one pre-token is resolved as such; the others are put together from theirs
+        split = [(part, own) for part, own in zip(unseen, map(self.pattern.findall, unseen), strict=True) if own != [part]]
+        wanted = unseen.difference(part for part, _ in split)
+        wanted.update(*(own for _, own in split), *(block for _, block, matched in blocks if matched))
+        self.resolve(self.memo.missing(wanted))
+        ids = self.memo.young.__getitem__
+        for part, own in split:
+            self.memo.put(part, b"".join(map(ids, own)))
+        for k, block, _ in blocks:
+            found[k].append(b"".join(map(ids, block)))
 
     def _unseen(self, blocks: list[tuple[int, list[str], bool]]) -> set[str]:
         """Parts not in the memo. A part that begins with two blanks is never put there."""
-        return set().union(*(block for _, block, matched in blocks if not matched)) - self.parts.keys()
+        return self.memo.missing(set().union(*(block for _, block, matched in blocks if not matched)))
+
+
+_ENCODERS: dict[tuple[str, str], Encoder] = {}  # of this process, which outlives its tasks
+
+
+def worker_encoder(shared, path: str, pattern: str) -> Encoder:
+    if (path, pattern) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, pattern] = Encoder(shared.value, pattern)
+    return _ENCODERS[path, pattern]
 
 
 def _lists(packed: list[bytes]) -> pa.Array:
@@ -262,7 +295,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("d
     schema = T.StructType([*(docs.schema[name] for name in keep), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, pattern)
+        encoder = worker_encoder(shared, path, pattern)
         for part in _slices(batches, "__text"):
             packed = encoder.encode(part.column("__text").to_pylist())
             yield pa.RecordBatch.from_arrays([*(part.column(name) for name in keep), _lists(packed)], [*keep, "ids"])
@@ -283,3 +316,25 @@ def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id", "id
             yield pa.RecordBatch.from_arrays([*(part.column(name) for name in keep), pa.array(texts, pa.binary())], [*keep, "decoded"])
 
     return read.mapInArrow(run, schema)
+
+
+def digests(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``keep`` columns, n_tokens, and SHA-256 of a text's ids (little-endian 32-bit) and of what they decode to, in one pass."""
+    shared = _vocabulary(docs, path)
+    read = docs.select(*keep, docs[text].alias("__text"))
+    own = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    schema = T.StructType([*(docs.schema[name] for name in keep), *own])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = worker_encoder(shared, path, pattern)
+        token = encoder.tokens.__getitem__
+        for part in _slices(batches, "__text"):
+            packed = encoder.encode(part.column("__text").to_pylist())
+            decoded = (b"".join(map(token, np.frombuffer(ids, _ID).tolist())) for ids in packed)
+            yield pa.RecordBatch.from_arrays([
+                *(part.column(name) for name in keep), pa.array([len(ids) // 4 for ids in packed], pa.int64()),
+                pa.array([hashlib.sha256(ids).hexdigest() for ids in packed], pa.string()),
+                pa.array([hashlib.sha256(text).hexdigest() for text in decoded], pa.string()),
+            ], [*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return read.mapInArrow(run, schema)

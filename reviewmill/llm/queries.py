@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,22 +111,7 @@ def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(ids, ranks)
-
-    def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column("ids")
-            offsets, values = column.offsets.to_numpy(), column.values.to_numpy().astype("<u4")
-            packed = [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(np.diff(offsets).astype(np.int64)),
-                pa.array([hashlib.sha256(x).hexdigest() for x in packed], pa.string()),
-                pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in batch.column("decoded")], pa.string()),
-            ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return decoded.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 URL_RULES = [
