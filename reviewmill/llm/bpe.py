@@ -1,4 +1,4 @@
-"""Byte-level BPE: whole pre-tokens through a minimal perfect hash, the rest by heap merges over linked bytes.
+"""Byte-level BPE: whole pre-tokens through a minimal perfect hash, the rest by heap merges over linked bytes, in blocks.
 
 ``encode`` adds ``ids``, ``decode`` turns ids back into bytes. Both work row by row inside Arrow batches and
 never shuffle. A null or empty text has no ids and decodes to no bytes; very long texts are cut into pre-tokens
@@ -12,7 +12,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MAX_VOCABULARY_BYTES = 64 << 20  # checked before the vocabulary is broadcast
-BLOCK_CHARS = 1 << 18  # texts are encoded in blocks of about this many characters
+BLOCK_CHARS = 1 << 20  # texts are encoded in blocks of about this many characters
 BLOCK_PIECES = 1 << 16
 MEMO_BYTES = 80 << 20  # bound of one generation of a worker's memo, which has two
 _ENTRY = 170  # bytes of a memo entry beside its key and ids, about
+HEAPS = 4_096  # heaps of one block
+SHORT = 32  # bytes of pre-tokens whose heaps are merged in blocks; longer ones are merged one by one
+_NO_PAIR = np.int64(1 << 40)
 _ID = np.dtype("<u4")
 
 
@@ -141,6 +144,72 @@ def heap_merge(parts: list[int], pairs: dict[int, int], size: int) -> list[int]:
     return ids
 
 
+class HeapBlock:
+    """The merges of many short pre-tokens at once, each with its linked bytes and its own heap.
+
+    A heap is a heap-ordered complete tree over the places of a pre-token: a leaf holds the rank and place of the pair that starts there,
+    a node the lesser of its two children, so the root is the lowest-ranked pair, leftmost first. All roots are popped together; a
+    merge changes three leaves and the paths above them.
+    """
+
+    def __init__(self, pairs: dict[int, int], size: int, of_byte: list[int]):
+        codes = np.fromiter(pairs, np.int64, len(pairs))
+        order = np.argsort(codes)
+        self.codes = np.append(codes[order], np.iinfo(np.int64).max)
+        self.ranks = np.append(np.fromiter(pairs.values(), np.int64, len(pairs))[order], 0)
+        self.size, self.of_byte = size, np.array(of_byte, np.int64)
+
+    def _keys(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, there: np.ndarray) -> np.ndarray:
+        """What a leaf holds for two neighbours: ``_NO_PAIR`` where there are not two or they make no token."""
+        code = np.where(there, left * self.size + right, -1)
+        at = np.searchsorted(self.codes, code)
+        return np.where(self.codes[at] == code, self.ranks[at] * SHORT + place, _NO_PAIR)
+
+    def merge(self, keys: list[bytes]) -> list[bytes]:
+        """Packed ids of pre-tokens of at most ``SHORT`` bytes."""
+        n = np.fromiter(map(len, keys), np.int64, len(keys))
+        width = 8
+        while width < n.max():
+            width *= 2
+        flat = np.frombuffer(b"".join(key.ljust(width, b"\0") for key in keys), np.uint8).reshape(len(keys), width)
+        place = np.arange(width)
+        parts = np.where(place < n[:, None], self.of_byte[flat], -1)
+        after = np.tile(np.arange(1, width + 2), (len(keys), 1))
+        before = np.tile(np.arange(-1, width), (len(keys), 1))
+        right = np.concatenate([parts[:, 1:], np.full((len(keys), 1), -1)], axis=1)
+        tree = [self._keys(parts, right, place, right >= 0)]
+        while tree[-1].shape[1] > 1:
+            tree.append(np.minimum(tree[-1][:, ::2], tree[-1][:, 1::2]))
+        rows = np.flatnonzero(tree[-1][:, 0] < _NO_PAIR)
+        while len(rows):
+            root = tree[-1][rows, 0]
+            at, rank = root % SHORT, root // SHORT
+            middle = after[rows, at]
+            end = after[rows, middle]
+            parts[rows, at], parts[rows, middle] = rank, -1
+            after[rows, at] = end
+            before[rows, end] = at
+            inside = end < n[rows]
+            ahead = before[rows, at]
+            behind = np.where(inside, end, 0)
+            self._put(tree, rows, middle, np.full(len(rows), _NO_PAIR))
+            self._put(tree, rows, at, self._keys(rank, parts[rows, behind], at, inside))
+            led = ahead >= 0
+            self._put(tree, rows[led], ahead[led], self._keys(parts[rows[led], ahead[led]], rank[led], ahead[led], True))
+            rows = rows[tree[-1][rows, 0] < _NO_PAIR]
+        held = parts >= 0
+        ends = np.cumsum(held.sum(axis=1) * 4).tolist()
+        packed = parts[held].astype(_ID).tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    @staticmethod
+    def _put(tree: list[np.ndarray], rows: np.ndarray, at: np.ndarray, value: np.ndarray) -> None:
+        tree[0][rows, at] = value
+        for below, level in zip(tree, tree[1:], strict=False):
+            at = at >> 1
+            level[rows, at] = np.minimum(below[rows, 2 * at], below[rows, 2 * at + 1])
+
+
 class Memo:
     """Ids by text, in two generations: a full one becomes the old one, from which only what is asked for again is kept."""
 
@@ -153,12 +222,16 @@ class Memo:
         self.young[key] = ids
         self.size += len(key) + len(ids) + _ENTRY
 
-    def missing(self, keys: set[str]) -> set[str]:
+    def missing(self, keys: Iterable[str]) -> set[str]:
         """Keys of neither generation; those of the old one move to the young one."""
-        keys = keys - self.young.keys()
-        for key in keys & self.old.keys():
-            self.put(key, self.old[key])
-        return keys - self.young.keys()
+        young, old, unknown = self.young, self.old, set()
+        for key in keys:
+            if key not in young:
+                if key in old:
+                    self.put(key, old[key])
+                else:
+                    unknown.add(key)
+        return unknown
 
     def age(self) -> None:
         if self.size > MEMO_BYTES:
@@ -185,6 +258,7 @@ class Encoder:
         self.slots[self.hash.find(tokens)] = np.arange(len(tokens), dtype=_ID)
         self.tokens = tokens
         self.packed = [int(rank).to_bytes(4, "little") for rank in range(len(tokens))]
+        self.block = HeapBlock(self.pairs, len(tokens), self.of_byte)
         self.memo = Memo()
 
     def cuts(self, text: str) -> Iterator[tuple[list[str], bool]]:
@@ -198,15 +272,26 @@ class Encoder:
             yield block, True
 
     def resolve(self, pieces: Iterable[str]) -> None:
-        """Put pre-tokens into the memo: first tier by the perfect hash, all at once; then the heap."""
+        """Put pre-tokens into the memo: first tier by the perfect hash, all at once; then the heaps."""
         texts = list(pieces)
         keys = [text.encode("utf-8") for text in texts]
-        put, of_byte, packed, size = self.memo.put, self.of_byte, self.packed, len(self.tokens)
-        for text, key, slot in zip(texts, keys, self.hash.find(keys).tolist(), strict=True):
-            if slot >= 0 and self.tokens[rank := int(self.slots[slot])] == key:
-                put(text, packed[rank])
+        put, packed, tokens = self.memo.put, self.packed, self.tokens
+        slots = self.hash.find(keys)
+        ranks = np.where(slots >= 0, self.slots[slots], 0).tolist()
+        short = []
+        for number, (key, slot, rank) in enumerate(zip(keys, slots.tolist(), ranks, strict=True)):
+            if slot >= 0 and tokens[rank] == key:
+                put(texts[number], packed[rank])
+            elif len(key) <= SHORT:
+                short.append(number)
             else:
-                put(text, b"".join([packed[rank] for rank in heap_merge([of_byte[byte] for byte in key], self.pairs, size)]))
+                ids = heap_merge([self.of_byte[byte] for byte in key], self.pairs, len(tokens))
+                put(texts[number], b"".join([packed[rank] for rank in ids]))
+        short.sort(key=lambda number: len(keys[number]))
+        for start in range(0, len(short), HEAPS):
+            some = short[start:start + HEAPS]
+            for number, ids in zip(some, self.block.merge([keys[number] for number in some]), strict=True):
+                put(texts[number], ids)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         found: list[list[bytes]] = [[] for _ in texts]
@@ -243,7 +328,7 @@ class Encoder:
 
     def _unseen(self, blocks: list[tuple[int, list[str], bool]]) -> set[str]:
         """Parts not in the memo. A part that begins with two blanks is never put there."""
-        return self.memo.missing(set().union(*(block for _, block, matched in blocks if not matched)))
+        return self.memo.missing(chain.from_iterable(block for _, block, matched in blocks if not matched))
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}  # of this process, which outlives its tasks
