@@ -1,12 +1,13 @@
 """Packing into length buckets that minimise padding, and token-budget batches inside each bucket.
 
-The histogram of all lengths is gathered in cells: one per length up to ``FINE``, then ``FINE`` cells per doubling, so it has
-a few thousand rows for lengths of any size and input of any number. Dynamic programming over the cells finds the ``buckets``
-boundaries with the least padding; a bucket is as long as its longest text. A batch holds as many texts as fit
-into the token budget at the bucket's length, one at least: nothing is cut or dropped.
+The histogram has a row per length that occurs. Dynamic programming over it finds the ``buckets``
+boundaries with the least padding; a bucket is as long as its longest text. For one more bucket the cost of a boundary is a line in
+the length of the bucket, so the best of them lie on a hull that is walked once: the time follows the lengths. A batch holds as many
+texts as fit into the token budget at the bucket's length, one at least: nothing is cut or dropped.
 
 Order inside a bucket is by hash. Rows are dealt to slots of about ``SLOT`` rows, ranked there, and shifted by the counts of
-the slots before, so no task sorts a whole bucket and every batch but a bucket's last is full. Null and empty texts have
+the slots before, so no task sorts a whole bucket and every batch but a bucket's last is full. Equal rows are counted ahead of that and
+numbered, so they spread over slots like others. Null and empty texts have
 length zero and sit in the shortest bucket; repeated rows each take a place, and null ids are placed like others. An empty
 table gives no rows. Columns beside ``doc_id`` and ``text`` are not read.
 """
@@ -21,8 +22,8 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm.common import whole_text, words, written
 
-FINE = 64
 SLOT = 4096
+COPIES = 4096  # equal rows that are numbered in one piece
 BUCKETS = 16
 BUDGET = 32_768
 
@@ -35,50 +36,50 @@ class Bucket:
     first_batch: int
 
 
-def cell(length: Column) -> Column:
-    """The smallest length of the histogram's cell: exact up to ``FINE``, then ``FINE`` cells per doubling."""
-    octave = F.length(F.bin(length)) - len(f"{FINE:b}")  # doublings beyond the exact part
-    step = F.pow(F.lit(2), F.greatest(octave, F.lit(0))).cast("long")
-    return length - F.pmod(length, step)
-
-
-def best_bounds(rows: np.ndarray, tokens: np.ndarray, longest: np.ndarray, buckets: int) -> list[int]:
-    """Last cells of at most ``buckets`` runs of cells with the least padding in all, in order."""
+def best_bounds(rows: np.ndarray, longest: np.ndarray, buckets: int) -> list[int]:
+    """Last lengths of at most ``buckets`` runs of lengths with the least padding in all, in order."""
     n = len(rows)
-    before_rows, before_tokens = np.r_[0, np.cumsum(rows)], np.r_[0, np.cumsum(tokens)]
-    best = longest * before_rows[1:] - before_tokens[1:]
-    came = [np.zeros(n, np.int64)]
+    before = [0, *np.cumsum(rows).tolist()]
+    top = longest.tolist()
+    # padding of a run is its rows at its longest, less its tokens; the tokens are the same for every choice
+    best = [top[j] * before[j + 1] for j in range(n)]
+    came = [[-1] * n]
     for _ in range(1, min(buckets, n)):
-        grown, start = best.copy(), np.full(n, -1, np.int64)
+        grown, start = best.copy(), [-2] * n
+        hull: list[int] = []  # ends i of the runs before, as lines best[i] - length * before[i + 1]
+        at = 0
         for j in range(1, n):
-            cost = best[:j] + longest[j] * (before_rows[j + 1] - before_rows[1:j + 1]) - (before_tokens[j + 1] - before_tokens[1:j + 1])
-            i = int(np.argmin(cost))
-            if cost[i] < grown[j]:
-                grown[j], start[j] = cost[i], i
+            i = j - 1
+            while len(hull) > at + 1 and (best[i] - best[hull[-2]]) * (before[hull[-1] + 1] - before[hull[-2] + 1]) <= (
+                    best[hull[-1]] - best[hull[-2]]) * (before[i + 1] - before[hull[-2] + 1]):
+                hull.pop()
+            hull.append(i)
+            while at + 1 < len(hull) and best[hull[at + 1]] - top[j] * before[hull[at + 1] + 1] <= best[hull[at]] - top[j] * before[hull[at] + 1]:
+                at += 1
+            cost = best[hull[at]] + top[j] * (before[j + 1] - before[hull[at] + 1])
+            if cost < grown[j]:
+                grown[j], start[j] = cost, hull[at]
         best = grown
         came.append(start)
     ends, j = [], n - 1
     for start in reversed(came):
         if j < 0:
             break
-        if start is came[0]:
-            ends.append(j)
-            break
-        if start[j] >= 0:
+        if start[j] >= -1:
             ends.append(j)
-            j = int(start[j])
+            j = start[j]
     return ends[::-1]
 
 
 def plan_buckets(lengths: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> list[Bucket]:
-    """The buckets for a table with a column ``n_tokens``; only the histogram reaches the driver."""
-    cells = lengths.groupBy(cell(F.col("n_tokens")).alias("cell")).agg(
-        F.count("*").alias("rows"), F.sum("n_tokens").alias("tokens"), F.max("n_tokens").alias("longest")).orderBy("cell").collect()
-    if not cells:
+    """The buckets for a table with columns ``n_tokens`` and ``copies``; only the histogram of lengths reaches the driver."""
+    cells = lengths.groupBy("n_tokens").agg(F.sum("copies").alias("rows")).toArrow()
+    if not cells.num_rows:
         return []
-    rows, tokens, longest = (np.array([c[k] for c in cells], np.int64) for k in ("rows", "tokens", "longest"))
+    order = np.argsort(cells["n_tokens"].to_numpy())
+    longest, rows = (cells[name].to_numpy()[order] for name in ("n_tokens", "rows"))
     planned, start, batch = [], 0, 0
-    for end in best_bounds(rows, tokens, longest, buckets):
+    for end in best_bounds(rows, longest, buckets):
         top, n = int(longest[end]), int(rows[start:end + 1].sum())
         capacity = max(1, budget // max(1, top))
         planned.append(Bucket(top, n, capacity, batch))
@@ -87,15 +88,26 @@ def plan_buckets(lengths: DataFrame, buckets: int = BUCKETS, budget: int = BUDGE
     return planned
 
 
+def _numbered(counted: DataFrame) -> DataFrame:
+    """A row per copy, in an order by hash. Many copies are cut into pieces that other tasks number."""
+    piece = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("low")
+    many = counted.where(F.col("copies") > COPIES).select("*", piece)
+    pieces = many.repartition("row", "low").unionByName(counted.where(F.col("copies") <= COPIES).withColumn("low", F.lit(0).cast("long")))
+    copy = F.explode(F.sequence("low", F.least(F.col("low") + COPIES, F.col("copies")) - 1)).alias("copy")
+    return pieces.select("doc_id", "n_tokens", "row", copy).withColumn(
+        "order", F.when(F.col("copy") == 0, F.col("row")).otherwise(F.xxhash64("row", "copy"))).drop("row", "copy")
+
+
 def pack(docs: DataFrame, length: Column | None = None, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """doc_id, n_tokens, bucket, bucket_length, batch_id and batch_position of every row.
 
     ``length`` is the number of tokens of a text, words if not given.
     """
     tokens = F.size(words(whole_text())) if length is None else length
-    order = F.xxhash64("doc_id", "text")
-    lengths = written(docs.select("doc_id", F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens"), order.alias("order")), "pack-lengths")
-    planned = plan_buckets(lengths, buckets, budget) or [Bucket(0, 0, 1, 0)]
+    measured = docs.select("doc_id", F.coalesce(tokens, F.lit(0)).cast("long").alias("n_tokens"), F.xxhash64("doc_id", "text").alias("row"))
+    counted = written(measured.groupBy("doc_id", "n_tokens", "row").agg(F.count("*").alias("copies")), "pack-lengths")
+    planned = plan_buckets(counted, buckets, budget) or [Bucket(0, 0, 1, 0)]
+    lengths = _numbered(counted)
 
     bucket = F.lit(len(planned) - 1)
     for number, one in reversed(list(enumerate(planned[:-1]))):

@@ -176,21 +176,38 @@ def links(distinct: DataFrame, radius: int = 2, shard: int = SHARD, broadcast_by
     return inside.unionByName(met.mapInArrow(_across(radius), _LINK))
 
 
-def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 2, carried: tuple[Column, ...] = ()) -> DataFrame:
-    """doc_id, the carried columns, fingerprint (long) and component_id of every row."""
+def _placed(docs: DataFrame, length: int, radius: int, carried: tuple[Column, ...]) -> tuple[list[str], DataFrame]:
+    """Names of the row's own columns, and the rows with the fingerprint at the center of their component."""
     marked = written(fingerprints(docs, length, *carried), "simhash-fingerprints")
     distinct = written(marked.select("fingerprint").distinct(), "simhash-distinct")
     center = star_labels(links(distinct, radius))
     placed = marked.join(center, marked["fingerprint"] == center["node"], "left").select(
         *marked.columns, F.coalesce("center", "fingerprint").alias("center"))
-    placed = written(placed, "simhash-placed")
+    return marked.columns, written(placed, "simhash-placed")
+
+
+def near_duplicates(docs: DataFrame, length: int = 3, radius: int = 2, carried: tuple[Column, ...] = ()) -> DataFrame:
+    """doc_id, the carried columns, fingerprint (long) and component_id of every row."""
+    own, placed = _placed(docs, length, radius, carried)
     # written, so that the join below meets two plain tables and a component with many rows can be split over tasks
     smallest = written(placed.groupBy("center").agg(F.min("doc_id").alias("component_id")), "simhash-smallest")
-    return placed.join(smallest, "center").select(*marked.columns, "component_id")
+    return placed.join(smallest, "center").select(*own, "component_id")
 
 
 def keep_one(docs: DataFrame, length: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, with all their columns; a component of null ids stays whole."""
-    groups = near_duplicates(docs, length, radius, (text_digest(),))
-    others = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return without(docs.select("*", text_digest()), others, "doc_id", DIGEST).select(*docs.columns)
+    """One row of every component, with all its columns: that of the smallest doc_id, nulls last, and of its texts the one with the
+    smallest hash; of rows that repeat both, any one."""
+    _, placed = _placed(docs, length, radius, (text_digest(),))
+    pairs = written(placed.groupBy("center", "doc_id", DIGEST).agg(F.count("*").alias("rows")), "simhash-pairs")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col(DIGEST).alias("digest")))
+    winners = written(pairs.groupBy("center").agg(first.alias("first")), "simhash-winners")
+    judged = pairs.join(winners, "center").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("first.id")) & (F.col(DIGEST) == F.col("first.digest")))
+    judged = written(judged.select("doc_id", DIGEST, "rows", "stays"), "simhash-judged")
+    stay = without(docs.select("*", text_digest()), judged.where("not stays"), "doc_id", DIGEST)
+    repeated = judged.where("stays and rows > 1").select(F.col("doc_id").alias("__id"), F.col(DIGEST).alias("__same"))
+    if not repeated.isEmpty():
+        same = stay["doc_id"].eqNullSafe(repeated["__id"]) & (stay[DIGEST] == repeated["__same"])
+        once = stay.join(repeated, same, "left_semi").dropDuplicates(["doc_id", DIGEST])
+        stay = stay.join(repeated, same, "left_anti").unionByName(once)
+    return stay.select(*docs.columns)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -86,7 +87,7 @@ def test_bounds_have_the_least_padding():
         n, k = rng.randint(1, 9), rng.randint(1, 5)
         longest = np.array(sorted(rng.sample(range(1, 60), n)))
         rows = np.array([rng.randint(1, 9) for _ in range(n)])
-        ends = packing.best_bounds(rows, rows * longest, longest, k)
+        ends = packing.best_bounds(rows, longest, k)
 
         def padding(cuts):
             start, total = 0, 0
@@ -99,11 +100,25 @@ def test_bounds_have_the_least_padding():
         assert padding(ends) == min(padding([*cut, n - 1]) for m in range(min(k, n)) for cut in combinations(range(n - 1), m))
 
 
-def test_cells_are_ordered_and_few(spark):
-    got = spark.range(0, 70_000).select("id", packing.cell(F.col("id")).alias("c")).orderBy("id").collect()
-    cells = [r.c for r in got]
-    assert cells == sorted(cells) and all(r.c <= r.id < r.c * (1 + 2 / packing.FINE) + 1 for r in got)
-    assert cells[:packing.FINE] == list(range(packing.FINE)) and len(set(cells)) < 1000
+def test_many_lengths_take_one_walk():
+    rng = np.random.default_rng(1)
+    longest = np.unique(rng.integers(0, 1 << 20, 60_000))
+    begun = time.perf_counter()
+    ends = packing.best_bounds(rng.integers(1, 1000, len(longest)), longest, 16)
+    assert len(ends) == 16 and ends[-1] == len(longest) - 1 and time.perf_counter() - begun < 30
+
+
+def test_equal_rows_spread_over_slots(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SLOT", 50)
+    monkeypatch.setattr(packing, "COPIES", 64)
+    rows = [(None, None)] * 3000 + [(1, "a b")] * 5 + [(2, "a")]
+    counted = spark.createDataFrame([(None, 0, 77, 3000), (1, 2, 5, 5)], "doc_id long, n_tokens long, row long, copies long")
+    numbered = packing._numbered(counted).withColumn("slot", F.pmod("order", F.lit(60)))
+    assert numbered.count() == 3005 and numbered.groupBy("slot").count().agg({"count": "max"}).first()[0] < 120
+    got = packing.pack(docs_of(spark, rows), budget=10).collect()
+    assert len(got) == len(rows) and len({(r.batch_id, r.batch_position) for r in got}) == len(rows)
+    again = packing.pack(docs_of(spark, rows).repartition(7), budget=10).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, again), key=repr)
 
 
 def test_batches(spark, monkeypatch):
@@ -259,48 +274,7 @@ def test_own_and_inherited_licences(spark):
     assert license.scan(docs.limit(0)).count() == 0
 
 
-def test_licence_query_against_brute_force(spark):
-    """Cosines of every line by plain arithmetic, then the nearest directory above."""
-    sf_dir = "/root/testdata/sf0.01"
-    from reviewmill.llm.queries import op9_license, repository_paths
-
-    grams = [(name, license._grams(text)) for name, text in license.TEMPLATES]
-    seen = Counter(term for _, own in grams for term in own)
-    idf = Counter({term: math.log((1 + len(grams)) / (1 + n)) + 1 for term, n in seen.items()})
-
-    def weights(own):
-        return {term: n * idf.get(term, math.log(1 + len(grams)) + 1) for term, n in own.items()}
-
-    def length(w):
-        return math.sqrt(sum(x * x for x in w.values()))
-
-    def best(text):
-        lines = [line for line in (text or "").split("\n") if re.search(license.LINE, line)]
-        scores = []
-        for line in {*lines, "\n".join(lines)} - {""}:
-            mine = weights(license._grams(line))
-            for name, own in grams:
-                other = weights(own)
-                scores.append((round(sum(x * other.get(term, 0) for term, x in mine.items()) / length(mine) / length(other), 6), name))
-        return max((s for s in scores if s[0] >= license.LEAST), default=None)
-
-    rows = repository_paths(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
-    own = {r.doc_id: best(r.text) for r in rows}
-    given = {r.path.rpartition("/")[0]: own[r.doc_id] for r in rows if r.path.endswith("LICENSE") and own[r.doc_id]}
-    got = {r.doc_id: r for r in op9_license(spark, sf_dir).collect()}
-    assert len(got) == len(rows) and sum(x is not None for x in own.values()) > 20
-    for r in rows:
-        want, origin, above = own[r.doc_id], "own", r.path.rpartition("/")[0]
-        while want is None and origin != "none":
-            want, origin = given.get(above), "inherited"
-            if want is None:
-                above, origin = (above.rpartition("/")[0], "inherited") if above else (None, "none")
-        mine = got[r.doc_id]
-        assert (mine.origin, mine.licence) == (origin, want and want[1])
-        assert mine.score == (pytest.approx(want[0], abs=2e-6) if want else None)
-
-
-def test_packing_query_is_optimal_over_its_cells(spark, sf_dir):
+def test_packing_query_is_optimal_over_all_lengths(spark, sf_dir):
     from reviewmill.llm.queries import op3_packing
 
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
@@ -308,22 +282,18 @@ def test_packing_query_is_optimal_over_its_cells(spark, sf_dir):
     words = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t in texts.items()}
     assert {r.doc_id: r.n_tokens for r in got} == words and len(got) == len(words)
 
-    def cell(n):
-        step = 1 << max(0, n.bit_length() - packing.FINE.bit_length())
-        return n - n % step
-
     cells = {}
     for n in words.values():
-        cells.setdefault(cell(n), []).append(n)
+        cells.setdefault(n, []).append(n)
     order = sorted(cells)
     least = {0: [0] + [math.inf] * len(order)}
     for k in range(1, packing.BUCKETS + 1):
         least[k] = [0] + [math.inf] * len(order)
         for j in range(1, len(order) + 1):
-            members = []
+            members, tokens = 0, 0
             for i in range(j - 1, -1, -1):
-                members += cells[order[i]]
-                cost = least[k - 1][i] + max(cells[order[j - 1]]) * len(members) - sum(members)
+                members, tokens = members + len(cells[order[i]]), tokens + sum(cells[order[i]])
+                cost = least[k - 1][i] + order[j - 1] * members - tokens
                 least[k][j] = min(least[k][j], cost)
     assert sum(r.bucket_length - r.n_tokens for r in got) == min(least[k][len(order)] for k in range(1, packing.BUCKETS + 1))
 

@@ -51,7 +51,17 @@ def test_classify_carries_the_digest(spark, sf_dir):
 def test_near_duplicate_stage_drops_rows_not_ids(spark):
     one, two, three, four = (prose(k) for k in range(4))
     rows = [(1, one), (None, one), (None, two), (9, three), (9, one), (None, four), (None, four)]
-    assert kept(simhash.keep_one(docs_of(spark, rows))) == sorted([(1, one), (None, two), (9, three), (None, four), (None, four)], key=repr)
+    assert kept(simhash.keep_one(docs_of(spark, rows))) == sorted([(1, one), (None, two), (9, three), (None, four)], key=repr)
+
+
+def test_one_row_of_each_component_stays(spark):
+    one, two = prose(1), prose(2)
+    near = one.replace(" ", "  ")  # the same words, another text
+    rows = [(None, one), (None, near), (None, one), (4, two), (4, two), (4, two + " "), (7, two)]
+    got = simhash.keep_one(docs_of(spark, rows))
+    assert got.columns == ["doc_id", "text", "sha256"]
+    answer = kept(got)
+    assert [i for i, _ in answer] == [4, None] and answer[0][1] in (two, two + " ") and answer[1][1] in (one, near)
 
 
 def test_exact_stage_tells_equal_beginnings_apart(spark):
