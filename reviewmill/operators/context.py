@@ -7,21 +7,37 @@ from pyspark.sql import functions as F
 
 from reviewmill.contracts import NO_EVIDENCE_ANSWER
 from reviewmill.operators.bounds import BROADCAST_ROWS
+from reviewmill.session import fresh_path
 
+MAX_FILES = 10_000  # files and restaurants named in the filter of the second read
 EVIDENCE = ("review_id", "restaurant_id", "rating", "review_text")
 
 
 def with_documents(hits: DataFrame, index: DataFrame, bound: int | None = None) -> DataFrame:
-    """Rating and text for the hits.
+    """Rating and text for the hits, from the index that was searched.
 
     ``bound`` is the most hits there can be (``search.hit_bound``); when that many ids fit
-    a broadcast they filter the index scan in place, otherwise the join shuffles.
+    a broadcast they filter the index scan in place, otherwise the join shuffles. Hits that
+    know the file they stand in (``place``) are written, and only their files and restaurants are read again.
     """
-    docs = index.select("review_id", "rating", "review_text")
     small = bound is not None and bound <= BROADCAST_ROWS
+    if small and "place" in hits.columns:
+        hits = _written(hits, "hits")
+        found = hits.select("place", "restaurant_id").distinct().limit(MAX_FILES + 1).collect()
+        files, restaurants = ({r[c] for r in found} for c in ("place", "restaurant_id"))
+        if found and len(found) <= MAX_FILES and None not in files:
+            index = index.where(F.col("_metadata.file_path").isin(sorted(files)) & F.col("restaurant_id").isin(sorted(restaurants)))
+    hits = hits.drop("place")
+    docs = index.select("review_id", "rating", "review_text")
     return docs.join(F.broadcast(hits) if small else hits, "review_id")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def context_line(restaurant: Column, rating: Column, text: Column) -> Column:
     return F.concat(
         F.lit("- Restaurant: "), F.coalesce(restaurant, F.lit("unknown")),

@@ -7,7 +7,7 @@ flags combine by bit operations, so hot ids shrink before the shuffle and no joi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.contracts import (
@@ -100,16 +100,48 @@ def id_flags(raw: DataFrame, facts: DataFrame) -> DataFrame:
         F.lit(None).cast("bigint").alias("pos"), F.lit(None).cast("boolean").alias("must_derive"),
         F.lit(1).alias("processed_rows"),
     )
-    return raw_side.unionByName(processed_side).groupBy("dataset", "review_id").agg(
+    return merge_flags(raw_side.unionByName(processed_side))
+
+
+def merge_flags(flags: DataFrame) -> DataFrame:
+    """Flag rows of any number of increments, combined to one per (dataset, review_id); rows of the result combine again."""
+    return flags.groupBy("dataset", "review_id").agg(
         F.bit_or("flags").alias("flags"),
         F.min_by("must_derive", "pos").alias("must_derive"),
+        F.min("pos").alias("pos"),
         F.sum("processed_rows").alias("processed_rows"),
     )
 
 
+STATE = "dataset string, review_id string, flags int, must_derive boolean, pos bigint, processed_rows bigint, increment string"
+
+
+def add_to_state(raw: DataFrame, facts: DataFrame, path: str, increment: str) -> None:
+    """Keep the flags of one increment's raw rows and processed facts; the same increment again replaces itself.
+
+    An increment costs its own rows: what was kept before is neither read nor written.
+    """
+    flags = id_flags(raw, facts).withColumn("increment", F.lit(increment))
+    flags.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("increment").parquet(path)
+
+
+def state_flags(spark: SparkSession, path: str) -> DataFrame:
+    """The flags of all increments together, as ``id_flags`` has them over all rows at once. ``pos`` orders rows across increments."""
+    return merge_flags(spark.read.schema(STATE).parquet(path).drop("increment"))
+
+
+def compact_state(spark: SparkSession, path: str, new_path: str, increment: str = "compacted") -> None:
+    """The increments as one, beside the old table."""
+    state_flags(spark, path).withColumn("increment", F.lit(increment)).write.partitionBy("increment").parquet(new_path)
+
+
 def id_failures(raw: DataFrame, facts: DataFrame) -> DataFrame:
     """``check_id, dataset, review_id`` of every failed raw-to-processed check."""
-    grouped = id_flags(raw, facts)
+    return flag_failures(id_flags(raw, facts))
+
+
+def flag_failures(grouped: DataFrame) -> DataFrame:
+    """``check_id, dataset, review_id`` of every check that the flags say failed."""
 
     def has(bit: int) -> Column:
         return F.col("flags").bitwiseAND(F.lit(bit)) != 0

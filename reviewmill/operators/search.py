@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ SEARCH_BYTES = 64 << 20
 PART_ROWS = 16_384  # reviews of one cell of the grid: 64 MB of vectors of 1,024
 BLOCK = 1024  # searches multiplied at a time; bounds the score matrix of one batch
 SEARCH_COLUMNS = ("q_id", "target_no", "asked", "n_targets", "k", "target", "embedding")
-HIT_COLUMNS = "q_id bigint, target_no int, asked string, n_targets int, k int, review_id string, restaurant_id string, score double"
+HIT_COLUMNS = "q_id bigint, target_no int, asked string, n_targets int, k int, review_id string, restaurant_id string, score double, place string"
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -60,7 +61,7 @@ def _scorer(searches: pa.Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     blocks = [(t, np.asarray(m[s:s + BLOCK])) for t, m in members.items() for s in range(0, len(m), BLOCK)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[list[tuple[float, str, str]]] = [[] for _ in ks]
+        kept: list[list[tuple[float, str, str, str | None]]] = [[] for _ in ks]
         floors = np.full(len(ks), -np.inf)
         for batch in batches:
             if batch.num_rows == 0:
@@ -68,6 +69,7 @@ def _scorer(searches: pa.Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator
             vectors = _matrix(batch.column("embedding"))
             ids = batch.column("review_id")
             names, rows_of = _rows_by_name(batch.column("restaurant_id"))
+            places = batch.column("place")
             for target, block in blocks:
                 rows = np.arange(batch.num_rows) if target is None else rows_of.get(target)
                 if rows is None:
@@ -85,19 +87,20 @@ def _scorer(searches: pa.Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 for j in np.unique(columns):
                     search, at = block[j], hits[starts[j]:starts[j + 1]]
                     best_ids = ids.take(pa.array(rows[at])).to_pylist()
-                    fresh = zip(scores[at, j].tolist(), best_ids, names.take(pa.array(rows[at])).to_pylist())
+                    chosen = pa.array(rows[at])
+                    fresh = zip(scores[at, j].tolist(), best_ids, names.take(chosen).to_pylist(), places.take(chosen).to_pylist())
                     best = sorted([*kept[search], *fresh], key=lambda h: (-h[0], h[1]))[: ks[search]]
                     kept[search] = best
                     if len(best) == ks[search]:
                         floors[search] = best[-1][0]
         owners = [s for s, best in enumerate(kept) for _ in best]
         if owners:
-            score, rid, rest = zip(*[h for best in kept for h in best])
+            score, rid, rest, place = zip(*[h for best in kept for h in best])
             head = carried.take(pa.array(owners))
             yield pa.RecordBatch.from_arrays(
                 [*[c.combine_chunks() for c in head.columns], pa.array(rid, pa.string()), pa.array(rest, pa.string()),
-                 pa.array(score, pa.float64())],
-                names=[*head.column_names, "review_id", "restaurant_id", "score"],
+                 pa.array(score, pa.float64()), pa.array(place, pa.string())],
+                names=[*head.column_names, "review_id", "restaurant_id", "score", "place"],
             )
 
     return run
@@ -111,23 +114,34 @@ def _one_pass(reviews: DataFrame, searches: pa.Table) -> DataFrame:
     return reviews.mapInArrow(_scorer(searches), HIT_COLUMNS)
 
 
-def best_hits(index: DataFrame, searches: DataFrame, max_bytes: int = SEARCH_BYTES) -> DataFrame:
+def place_of(index: DataFrame) -> Column:
+    """The file a row of the index stands in, null where the index is not read from files."""
+    try:
+        index.select("_metadata.file_path")
+    except AnalysisException:
+        return F.lit(None).cast("string").alias("place")
+    return F.col("_metadata.file_path").alias("place")
+
+
+def best_hits(index: DataFrame, searches: DataFrame, max_bytes: int = SEARCH_BYTES, located: bool = False) -> DataFrame:
     """Hits of each search in ``rank`` order, k at most.
 
-    Only id, restaurant and vector are read here; texts join the few hits afterwards. The searches are written once, so
+    Only id, restaurant and vector are read here; texts join the few hits afterwards, with ``located`` from the files named in
+    ``place`` (for an index that is one table of files). The searches are written once, so
     whatever embeds the questions runs once. More searches than fit ``max_bytes`` meet the reviews in a grid of blocks and parts.
     """
     spark = index.sparkSession
-    reviews = index.select("review_id", "restaurant_id", "embedding").filter(F.col("embedding").isNotNull())
+    place = place_of(index) if located else F.lit(None).cast("string").alias("place")
+    reviews = index.select("review_id", "restaurant_id", "embedding", place).filter(F.col("embedding").isNotNull())
     # filtered after the write: a filter on a model's output ahead of it would run the model twice
     slim = _written(searches.select(*SEARCH_COLUMNS), "searches").filter(F.col("embedding").isNotNull())
     stats = slim.agg(F.count(F.lit(1)).alias("n"), F.max("k").alias("k"), F.max(F.size("embedding")).alias("dim")).first()
     if not stats["n"]:
-        return spark.createDataFrame([], HIT_COLUMNS + ", rank int")
+        nothing = spark.createDataFrame([], HIT_COLUMNS + ", rank int")
+        return nothing if located else nothing.drop("place")
     bound = max(1, max_bytes // (8 * stats["dim"] + 256))
-    if stats["n"] <= bound:
-        return _ranked(_one_pass(reviews, slim.toArrow()), stats["k"])
-    return _ranked(_grid(reviews, slim, bound), stats["k"])
+    hits = _one_pass(reviews, slim.toArrow()) if stats["n"] <= bound else _grid(reviews, slim, bound)
+    return _ranked(hits if located else hits.drop("place"), stats["k"])
 
 
 def _lanes(reviews: DataFrame, slim: DataFrame, bound: int) -> DataFrame:
@@ -247,7 +261,8 @@ def with_fallback(hits: DataFrame, searches: DataFrame, index: DataFrame, top_k:
     """
     keys = ["q_id", "target_no"]
     wanted = searches.select(*keys, "asked", "n_targets", "k")
-    joined = wanted.join(hits.select(*keys, "review_id", "restaurant_id", "score", "rank"), keys, "left")
+    located = [c for c in hits.columns if c == "place"]
+    joined = wanted.join(hits.select(*keys, "review_id", "restaurant_id", "score", "rank", *located), keys, "left")
     targets = wanted.filter(F.col("asked").isNotNull()).select(F.col("asked").alias("restaurant_id"))
     spare = first_rows(index, targets, top_k).select(
         F.col("review_id").alias("_spare_id"), F.col("restaurant_id").alias("_spare_of"), F.col("rank").alias("_spare_rank")
@@ -257,7 +272,7 @@ def with_fallback(hits: DataFrame, searches: DataFrame, index: DataFrame, top_k:
     return filled.select(
         *keys, "asked", "n_targets", "k",
         F.coalesce("review_id", "_spare_id").alias("review_id"), F.coalesce("restaurant_id", "_spare_of").alias("restaurant_id"),
-        "score", F.coalesce("rank", "_spare_rank").alias("rank"), F.col("review_id").isNull().alias("fallback"),
+        "score", F.coalesce("rank", "_spare_rank").alias("rank"), F.col("review_id").isNull().alias("fallback"), *located,
     ).filter(F.col("review_id").isNotNull())
 
 
@@ -269,8 +284,9 @@ def retrieve(
     filter_mode: str = "pre",
     transform: Callable[[Column], Column] | None = None,
     max_bytes: int = SEARCH_BYTES,
+    located: bool = False,
 ) -> DataFrame:
-    """Evidence per question: ``q_id, target_no, rank, review_id, restaurant_id, score, fallback``.
+    """Evidence per question: ``q_id, target_no, rank, review_id, restaurant_id, score, fallback``, with ``located`` also ``place``.
 
     No target: best of all, cut off. One: best of the restaurant, cut off. Several: an
     even share each, not cut off. With ``filter_mode='post'`` the best of all are picked
@@ -279,7 +295,7 @@ def retrieve(
     ``transform`` maps scores monotonically ahead of the cut-off.
     """
     searches = plan_searches(questions, top_k, filter_mode)
-    hits = best_hits(index, searches, max_bytes)
+    hits = best_hits(index, searches, max_bytes, located)
     if transform is not None:
         hits = hits.withColumn("score", transform(F.col("score")))
     if filter_mode == "post":
@@ -288,7 +304,7 @@ def retrieve(
     else:
         hits = hits.withColumn("fallback", F.lit(False))
     kept = apply_cutoff(hits, fraction, keep=F.col("fallback") | (F.col("n_targets") > 1))
-    return kept.select("q_id", "target_no", "rank", "review_id", "restaurant_id", "score", "fallback")
+    return kept.select("q_id", "target_no", "rank", "review_id", "restaurant_id", "score", "fallback", *(["place"] if located else []))
 
 
 def hit_bound(questions: DataFrame, top_k: int = TOP_K) -> int:

@@ -15,21 +15,24 @@ from reviewmill.functions.numbers import derived_total, needs_total
 from reviewmill.functions.ratings import rating_outcome, symbol_set, with_rating
 from reviewmill.functions.text import has_text, one_line, split_list
 from reviewmill.operators import dedup, profile, quality
+from reviewmill.operators.clusters import build_clusters, cluster_hits
 from reviewmill.operators.context import answer_payload, context_blocks, with_documents
 from reviewmill.operators.dimension import conform_dimension, name_dictionary, standardize_dimension
 from reviewmill.operators.embed import QUERY, hashing_vectors
 from reviewmill.operators.evaluate import latency_report, score_answers, summarize
 from reviewmill.operators.headers import SourceConfig, header_maps, rating_divisors, united_headers
 from reviewmill.operators.index import (
-    append_documents, as_documents, chunks, ensure_index, failures, increment_counts, new_documents, refresh_index,
+    append_documents, as_documents, chunks, clustered, ensure_index, failures, increment_counts, new_documents, refresh_index,
 )
 from reviewmill.operators.matching import match_substrings
 from reviewmill.operators.reports import counted_with_sample
 from reviewmill.operators.routing import route_keys
+from reviewmill.operators.running import record_increment, running_counts, running_documents, running_summary, update_sums
 from reviewmill.operators.search import (
     apply_cutoff, best_hits, hit_bound, plan_searches, retrieve,
 )
 from reviewmill.operators.targets import add_text_targets, payload_ids, resolve_targets, split_questions, unknown_targets
+from reviewmill.operators.versions import read_version, upsert
 from reviewmill.plans import views
 from reviewmill.plans.answers import answer_questions
 from reviewmill.plans.facts import standardize_facts
@@ -239,15 +242,58 @@ def _silver(spark, sf) -> DataFrame:
     return spark.read.schema(FACT_SCHEMA).parquet(path)
 
 
-def dq_passthrough(spark, sf):
-    """Raw-to-processed checks where processed lost the texts and totals of some restaurants."""
-    raw = raw_reviews(spark, sf)
-    damaged = _silver(spark, sf).withColumns({
+def _damaged(spark, sf) -> DataFrame:
+    """Processed facts that lost the texts, totals and ratings of some restaurants."""
+    return _silver(spark, sf).withColumns({
         "review_text": F.when(F.col("restaurant_id") != "north", F.col("review_text")),
         "total_spent": F.when(F.col("restaurant_id") != "south", F.col("total_spent")),
         "rating": F.when(F.col("restaurant_id") != "east", F.col("rating")),
     })
-    failures = quality.id_failures(raw, damaged)
+
+
+def dq_incremental(spark, sf):
+    """The raw-to-processed checks from state kept over three increments, one of which arrives twice."""
+    path = fresh_path(spark, "dq-state")
+    raw, damaged = raw_reviews(spark, sf), _damaged(spark, sf)
+    for part in (0, 1, 2, 1):
+        mine = raw.filter(F.col("pos") % 3 == part)
+        quality.add_to_state(mine, damaged.filter(F.crc32("review_id") % 3 == part), path, f"part{part}")
+    failures = quality.flag_failures(quality.state_flags(spark, path))
+    return _joined(counted_with_sample(failures, quality.KEYS, "review_id"), "sample_ids")
+
+
+def _summed_files(spark, sf) -> str:
+    """Partial sums of four files, the second of which arrives again without its collapsed rows."""
+    path = fresh_path(spark, "sums")
+    keyed = facts(spark, sf).withColumn("file_key", F.concat(F.lit("raw/f"), F.length("review_id") % 4))
+    update_sums(keyed, path)
+    update_sums(keyed.filter("file_key = 'raw/f1' AND transaction_count = 1"), path)
+    return path
+
+
+def summary_running(spark, sf):
+    """The restaurant summary from partial sums per file."""
+    return running_summary(spark, _summed_files(spark, sf), dimension(spark, sf))
+
+
+def docs_running(spark, sf):
+    return running_documents(spark, _summed_files(spark, sf))
+
+
+def counts_running(spark, sf):
+    """Index counters over two increments, the second of which meets what the first has indexed."""
+    path = fresh_path(spark, "counts")
+    docs, known = view(spark, sf, views.DOCS), view(spark, sf, views.INDEXED_IDS)
+    early = docs.filter("pos < 100")
+    record_increment(increment_counts(early, known), path, "early")
+    grown = known.unionByName(new_documents(early, known).select("review_id"))
+    record_increment(increment_counts(docs.filter("pos >= 100"), grown), path, "late")
+    return running_counts(spark, path)
+
+
+def dq_passthrough(spark, sf):
+    """Raw-to-processed checks where processed lost the texts and totals of some restaurants."""
+    failures = quality.id_failures(raw_reviews(spark, sf), _damaged(spark, sf))
     return _joined(counted_with_sample(failures, quality.KEYS, "review_id"), "sample_ids")
 
 
@@ -367,6 +413,14 @@ def knn_sliced(spark, sf):
     return _scored(hits).select("q_id", "target_no", "rank", "review_id", "restaurant_id", "score", "fallback")
 
 
+def knn_clusters(spark, sf):
+    """The open searches over a clustered index, reading only clusters that can hold a hit."""
+    path = fresh_path(spark, "clusters")
+    build_clusters(_index(spark, sf), path, 32)
+    hits, _ = cluster_hits(spark, path, plan_searches(_open_questions(spark, sf)))
+    return _scored(hits).select("q_id", "rank", "review_id", "restaurant_id", "score")
+
+
 def knn_fallback(spark, sf):
     hits = retrieve(_index(spark, sf), _targeted_questions(spark, sf), filter_mode="post")
     return _scored(hits).select("q_id", "target_no", "rank", "review_id", "restaurant_id", "score", "fallback")
@@ -425,6 +479,15 @@ def context_blocks_query(spark, sf):
     return context_blocks(evidence).select("q_id", "n_sources", "context")
 
 
+def evidence_files(spark, sf):
+    """Evidence out of a stored index: texts are read from the files and restaurants of the hits."""
+    path = fresh_path(spark, "index")
+    clustered(_document_index(spark, sf)).write.parquet(path)
+    index, questions = spark.read.parquet(path), _targeted_questions(spark, sf)
+    evidence = with_documents(retrieve(index, questions, located=True), index, hit_bound(questions))
+    return evidence.select("q_id", "target_no", "rank", "review_id", F.md5("review_text").alias("text_md5"))
+
+
 def answer_payloads(spark, sf):
     questions = _targeted_questions(spark, sf).withColumn("question", F.concat(F.lit("Question "), F.col("q_id")))
     hits = retrieve(_index(spark, sf), questions)
@@ -484,13 +547,17 @@ def _half_blind_model():
     return model
 
 
+def _edited(docs: DataFrame) -> DataFrame:
+    ending = F.when(F.right("review_id", F.lit(1)) == "4", F.lit(" edited?")).otherwise(F.lit(" edited!"))
+    changes = has_text(F.col("review_text")) & F.right("review_id", F.lit(1)).isin("1", "4", "7")
+    return docs.withColumn("review_text", F.when(changes, F.concat("review_text", ending)).otherwise(F.col("review_text")))
+
+
 def _refreshed(spark, sf) -> str:
     """An index refreshed with edited texts, some of which the model fails on."""
     docs, path = view(spark, sf, views.DOCS), fresh_path(spark, "index")
     append_documents(docs, f"{path}/old")
-    ending = F.when(F.right("review_id", F.lit(1)) == "4", F.lit(" edited?")).otherwise(F.lit(" edited!"))
-    edited = docs.withColumn("review_text", F.when(has_text(F.col("review_text")) & F.right("review_id", F.lit(1)).isin("1", "4", "7"), F.concat("review_text", ending)).otherwise(F.col("review_text")))
-    refresh_index(edited, f"{path}/old", f"{path}/new", load=_half_blind_model)
+    refresh_index(_edited(docs), f"{path}/old", f"{path}/new", load=_half_blind_model)
     return f"{path}/new"
 
 
@@ -499,6 +566,15 @@ def index_refresh(spark, sf):
     return ensure_index(spark, _refreshed(spark, sf)).select("review_id", F.md5("review_text").alias("text_md5"))
 
 
+def index_versions(spark, sf):
+    """Two versions of an index with keyed updates, side by side: the first as it was, the second with the edited texts."""
+    docs, path = view(spark, sf, views.DOCS), fresh_path(spark, "versions")
+    first = upsert(docs, path, load=_half_blind_model)
+    second = upsert(_edited(docs), path, load=_half_blind_model)
+    both = [read_version(spark, path, v).select(F.lit(v).alias("version"), "review_id", F.md5("review_text").alias("text_md5")) for v in (first, second)]
+    return both[0].unionByName(both[1])
+
+
 def index_failures(spark, sf):
     """The documents a refresh could not embed."""
     lost = failures(spark, _refreshed(spark, sf))
@@ -720,13 +796,13 @@ QUERIES: dict[str, Query] = {
         near_dup_drop, near_dup_orphans, near_dup_check, collapse_duplicates, keep_first, date_normalize, date_audit,
         rating_normalize, rating_outcomes, rating_symbols, derive_total, fact_standardize, fact_standardize_compat, header_union,
         source_routing, source_routing_many, document_names, config_headers, config_divisors, dimension_standardize, category_counts, dictionary,
-        id_encoding_audit, id_encoding_samples, dq_row_checks, dq_passthrough, dq_summary, dq_cross_ids, dq_reconcile,
+        id_encoding_audit, id_encoding_samples, dq_row_checks, dq_passthrough, dq_incremental, dq_summary, dq_cross_ids, dq_reconcile,
         profile_fanout, profile_tips, profile_domain_gaps, profile_spend, profile_overlap, profile_cents,
-        profile_text_length, restaurant_summary, docs_per_restaurant, knn_topk, knn_cutoff, knn_filtered, knn_balanced,
+        profile_text_length, restaurant_summary, summary_running, docs_running, counts_running, docs_per_restaurant, knn_topk, knn_clusters, knn_cutoff, knn_filtered, knn_balanced,
         knn_sliced, knn_fallback, question_targets, question_targets_word, question_resolution, question_rejected,
-        question_unknown_targets, context_blocks_query, answer_payloads,
+        question_unknown_targets, context_blocks_query, evidence_files, answer_payloads,
         question_answers, text_chunks, index_documents, index_increment,
         index_counts, hash_embed, hash_retrieve, eval_keywords, eval_summary, eval_latency, stream_ingest, stream_config, stream_ledger, stream_index,
-        index_refresh, index_failures, stream_quarantine, lake_ingest, lake_config, csv_export, cases_file, result_tables, dimension_stream,
+        index_refresh, index_failures, index_versions, stream_quarantine, lake_ingest, lake_config, csv_export, cases_file, result_tables, dimension_stream,
     )
 }

