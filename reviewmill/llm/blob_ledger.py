@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.llm import spans
+from reviewmill.llm.common import key_filter, maybe_in, written
 
 LEDGER = "blob string, rules string, findings array<struct<rank:int,kind:string,start:int,end:int>>"
 
@@ -71,23 +72,29 @@ def update_ledger(
     empty_ledger(spark, path)
     seen = spark.read.schema(LEDGER).parquet(path).where(F.col("rules") == version).select("blob")
     held = versions.select(F.coalesce(F.col(content), F.lit("")).alias("content")).withColumn("blob", F.sha2("content", 256))
-    unseen = held if seen.isEmpty() else held.join(seen, "blob", "left_anti")
-    blobs = unseen.groupBy("blob").agg(F.first("content").alias("content"))
+    if not seen.isEmpty():
+        # addresses alone are compared with the ledger; content moves only where its address may be new
+        unseen = written(held.select("blob").distinct().join(seen, "blob", "left_anti"), "unseen-blobs")
+        if unseen.isEmpty():
+            return
+        held = maybe_in(held, key_filter(unseen, "blob"), "blob").where("__maybe").drop("__maybe").join(unseen, "blob", "left_semi")
+    blobs = held.groupBy("blob").agg(F.first("content").alias("content"))
     blobs.select("blob", F.lit(version).alias("rules"), scan(F.col("content"), rules).alias("findings")).write.mode("append").parquet(path)
 
 
 def findings(
     versions: DataFrame, path: str, key: str = "doc_id", content: str = "text", version: str = RULES_VERSION,
 ) -> DataFrame:
-    """key, blob and findings for every row of ``versions``."""
-    ledger = versions.sparkSession.read.schema(LEDGER).parquet(path).where(F.col("rules") == version).select("blob", "findings")
+    """key, blob and findings for every row of ``versions``; null findings where the ledger lacks the blob. A pair that two runs
+    appended counts once."""
+    ledger = versions.sparkSession.read.schema(LEDGER).parquet(path).where(F.col("rules") == version).dropDuplicates(["blob"]).select("blob", "findings")
     paths = versions.select(key, F.sha2(F.coalesce(F.col(content), F.lit("")), 256).alias("blob"))
-    return paths.join(ledger, "blob").select(key, "blob", "findings")
+    return paths.join(ledger, "blob", "left").select(key, "blob", "findings")
 
 
 def redact(docs: DataFrame, path: str, version: str = RULES_VERSION) -> DataFrame:
     """``docs`` with every found secret replaced by its kind in brackets; n_chars, where there is one, follows the text."""
-    ledger = docs.sparkSession.read.schema(LEDGER).parquet(path).where((F.col("rules") == version) & (F.size("findings") > 0))
+    ledger = docs.sparkSession.read.schema(LEDGER).parquet(path).where((F.col("rules") == version) & (F.size("findings") > 0)).dropDuplicates(["blob"])
     hits = ledger.select(F.col("blob").alias("__blob"), F.col("findings").alias("__findings"))
     marked = docs.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(hits, "__blob", "left")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,21 +54,34 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-_SLOTS = 1 << 16  # longs of a key filter: its size is fixed, whatever it holds
+LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 20  # longs of a key filter: 16 bits a key between these, so its size is bounded
+
+
+@dataclass(frozen=True)
+class KeyFilter:
+    """A bitmap of keys' hashes as rows (slot, bits); ``slots`` is how many there may be."""
+
+    rows: DataFrame
+    slots: int
 
 
-def key_filter(keys: DataFrame, *names: str) -> DataFrame:
-    """A bitmap of the keys' hashes as (slot, bits): at most 65,536 rows, so it can be broadcast for any number of keys."""
-    bucket = keys.select(F.pmod(F.xxhash64(*names), F.lit(_SLOTS * 64)).alias("bucket"))
+def key_filter(keys: DataFrame, *names: str) -> KeyFilter:
+    """A filter over the keys, sized by their number up to ``MOST_SLOTS``: small enough to be broadcast for any number of keys."""
+    hashes = written(keys.select(F.xxhash64(*names).alias("hash")).distinct(), "key-hashes")
+    slots = LEAST_SLOTS
+    wanted = hashes.count() // 4
+    while slots < min(wanted, MOST_SLOTS):
+        slots *= 2
+    bucket = hashes.select(F.pmod("hash", F.lit(slots * 64)).alias("bucket"))
     bit = F.expr("shiftleft(1L, CAST(bucket & 63 AS INT))")
-    return written(bucket.groupBy(F.shiftright("bucket", 6).alias("__slot")).agg(F.bit_or(bit).alias("__bits")), "key-filter")
+    return KeyFilter(written(bucket.groupBy(F.shiftright("bucket", 6).alias("__slot")).agg(F.bit_or(bit).alias("__bits")), "key-filter"), slots)
 
 
-def maybe_in(rows: DataFrame, bitmap: DataFrame, *names: str) -> DataFrame:
+def maybe_in(rows: DataFrame, bitmap: KeyFilter, *names: str) -> DataFrame:
     """``rows`` with ``__maybe``: false only where the key is surely not in the filter. Nothing is shuffled."""
-    bucket = F.pmod(F.xxhash64(*names), F.lit(_SLOTS * 64))
+    bucket = F.pmod(F.xxhash64(*names), F.lit(bitmap.slots * 64))
     placed = rows.withColumn("__bucket", bucket).withColumn("__slot", F.shiftright("__bucket", 6))
-    met = placed.join(F.broadcast(bitmap), "__slot", "left")
+    met = placed.join(F.broadcast(bitmap.rows), "__slot", "left")
     hit = F.expr("coalesce(getbit(__bits, CAST(__bucket & 63 AS INT)), 0) = 1")
     return met.withColumn("__maybe", hit).drop("__slot", "__bits", "__bucket")
 
@@ -74,7 +89,7 @@ def maybe_in(rows: DataFrame, bitmap: DataFrame, *names: str) -> DataFrame:
 def without(rows: DataFrame, keys: DataFrame, *names: str) -> DataFrame:
     """``rows`` whose key is not among ``keys``, nulls equal to nulls.
 
-    Only rows that the fixed-size filter cannot clear are shuffled for the exact comparison; the fuller the filter, the
+    Only rows that the filter cannot clear are shuffled for the exact comparison; the fuller the filter, the
     more of them there are.
     """
     keys = written(keys.select(*names).distinct(), "keys")

@@ -56,6 +56,8 @@ def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     ledger = fresh_path(spark, "blob-ledger")
+    # two increments: the second holds the first, whose blobs are not scanned again
+    blob_ledger.update_ledger(docs.where(F.crc32(F.col("doc_id").cast("string")) % 2 == 0), ledger)
     blob_ledger.update_ledger(docs, ledger)
     found = blob_ledger.findings(docs, ledger)
     base = F.filter("findings", lambda s: s["rank"] < len(blob_ledger.BASE_RULES))
