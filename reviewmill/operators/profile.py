@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.session import fresh_path
+
 
 def duplicate_fanout(raw: DataFrame, attributes: tuple[str, ...]) -> DataFrame:
     """Per source and rows-per-id: how many ids, and in how many each attribute disagrees.
@@ -66,29 +70,47 @@ def spend_per_person(raw: DataFrame, low: float) -> DataFrame:
 
 
 def discrete_percentiles(rows: DataFrame, by: str, column: str, shares: dict[str, float]) -> DataFrame:
-    """The smallest value of each group that at least a share of its rows do not exceed, exact for any number of values.
+    """The smallest value of each group that at least a share of its rows do not exceed, exact for any number of values."""
+    def rank(share: float) -> Callable[[Column], Column]:
+        return lambda n: F.greatest(F.ceil(F.lit(share) * n), F.lit(1))
+
+    return values_at(rows, by, column, {name: rank(share) for name, share in shares.items()})
+
+
+def interpolated_percentile(rows: DataFrame, by: str, column: str, share: float, name: str) -> DataFrame:
+    """The value at a share of the way from the first to the last of each group, between its two neighbours; exact for any number."""
+    place = {"_low": lambda n: F.floor(F.lit(share) * (n - 1)) + 1, "_high": lambda n: F.ceil(F.lit(share) * (n - 1)) + 1}
+    found = values_at(rows, by, column, place)
+    along = F.lit(share) * (F.col("_all") - 1) - F.floor(F.lit(share) * (F.col("_all") - 1))
+    return found.select(by, (F.col("_low") * (1 - along) + F.col("_high") * along).alias(name))
+
+
+def values_at(rows: DataFrame, by: str, column: str, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """The values of each group at given ranks (functions of the group's size, from 1), and the size in ``_all``.
 
-    Rows are counted in bins of magnitude, a bounded number per group. Running totals of the bins name the one bin that
+    Rows are written once, by bins of magnitude, a bounded number per group. Running totals of the bins name the one bin that
     holds a rank, and only that bin's values are counted and put in order.
     """
     value = F.col(column).cast("double")
     size = F.floor(F.log2(F.abs(value) + 1) * 256)
-    binned = rows.select(by, value.alias("_value"), F.when(value < 0, -size - 1).otherwise(size).alias("_bin"))
+    path = fresh_path(rows.sparkSession, "bins")
+    rows.filter(value.isNotNull()).select(by, value.alias("_value"), F.when(value < 0, -size - 1).otherwise(size).alias("_bin")).write.parquet(path)
+    binned = rows.sparkSession.read.parquet(path)
     bins = binned.groupBy(by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy(by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = F.sum("_n").over(Window.partitionBy(by))
-    names = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(share).alias("share")) for name, share in shares.items()])
+    asked = F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("_all")).cast("bigint").alias("rank")) for name, rank in ranks.items()])
     placed = bins.withColumns({"_upto": F.sum("_n").over(running), "_all": whole}).select(
-        by, "_bin", (F.col("_upto") - F.col("_n")).alias("_before"), "_upto", "_all", F.explode(names).alias("_p"))
-    rank = F.greatest(F.ceil(F.col("_p.share") * F.col("_all")), F.lit(1))
+        by, "_bin", (F.col("_upto") - F.col("_n")).alias("_before"), "_upto", "_all", F.explode(asked).alias("_p"))
+    rank = F.col("_p.rank")
     wanted = placed.filter((rank > F.col("_before")) & (rank <= F.col("_upto"))).select(
-        by, "_bin", F.col("_p.name").alias("_name"), (rank - F.col("_before")).alias("_rank"))
+        by, "_bin", "_all", F.col("_p.name").alias("_name"), (rank - F.col("_before")).alias("_rank"))
     values = binned.join(wanted.select(by, "_bin").distinct(), [by, "_bin"], "left_semi").groupBy(by, "_bin", "_value").agg(
         F.count(F.lit(1)).alias("_n"))
     inside = Window.partitionBy(by, "_bin").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ordered = values.withColumn("_upto", F.sum("_n").over(inside))
     met = ordered.join(wanted, [by, "_bin"]).filter((F.col("_upto") >= F.col("_rank")) & (F.col("_upto") - F.col("_n") < F.col("_rank")))
-    return met.groupBy(by).agg(*[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in shares])
+    return met.groupBy(by).agg(*[F.max(F.when(F.col("_name") == name, F.col("_value"))).alias(name) for name in ranks], F.max("_all").alias("_all"))
 
 
 def customer_overlap(raw: DataFrame) -> DataFrame:

@@ -583,8 +583,9 @@ def index_failures(spark, sf):
 
 def hash_embed(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    vectors = hashing_vectors(docs, "text").select("doc_id", F.posexplode("embedding").alias("slot", "weight"))
-    return vectors.filter("weight <> 0").select("doc_id", "slot", F.col("weight").cast("double").alias("weight"))
+    # a position that holds a weight, rather than every position of the vector
+    held = F.filter(F.transform("embedding", lambda w, i: F.struct(i.alias("slot"), w.cast("double").alias("weight"))), lambda e: e["weight"] != 0)
+    return hashing_vectors(docs, "text").select("doc_id", F.explode(held).alias("e")).select("doc_id", "e.slot", "e.weight")
 
 
 def hash_retrieve(spark, sf):

@@ -7,7 +7,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from reviewmill.operators.profile import discrete_percentiles, domain_gaps
+from reviewmill.operators.profile import discrete_percentiles, domain_gaps, interpolated_percentile
 
 SHARES = {"low": 0.0, "median": 0.5, "p99": 0.99, "top": 1.0}
 
@@ -34,3 +34,14 @@ def test_wide_ranges(spark):
     rows = spark.createDataFrame([("x", 5), ("x", 150_000)], "source string, n int")
     gaps = domain_gaps(rows, "n", 1, 150_001)
     assert gaps.count() == 149_999 and gaps.schema["n"].dataType.simpleString() == "int"
+
+
+def test_interpolated_against_numpy(spark):
+    import numpy as np
+
+    rng = random.Random(3)
+    groups = {g: [round(rng.expovariate(0.2), 3) * rng.choice([1, 1, -1]) for _ in range(rng.randint(1, 300))] for g in "abcde"}
+    rows = spark.createDataFrame([(g, v) for g, own in groups.items() for v in own] + [("a", None), ("z", None)], "g string, v double")
+    for share in (0.0, 0.37, 0.95, 1.0):
+        got = {r["g"]: r["p"] for r in interpolated_percentile(rows, "g", "v", share, "p").collect()}
+        assert set(got) == set(groups) and all(abs(got[g] - np.percentile(own, share * 100)) < 1e-9 for g, own in groups.items())
