@@ -36,7 +36,7 @@ LONGEST = 4
 BUFFER = 1 << 21  # bytes hashed at a time
 WIDE = 1 << 16  # words of so many bytes are hashed by their digest, so that no word fills a buffer
 HELD = 1 << 21  # (fingerprint, count) entries a task sums before it hands them on
-HELD_PHRASES = 1 << 17  # phrases a task sums before it hands them on
+HELD_PHRASES = 1 << 15  # phrases a task sums before it hands them on
 MAX_FILTER_BITS = 1 << 28  # 32 MB: the bound of what is broadcast
 _RANK_SLICES = 64
 
