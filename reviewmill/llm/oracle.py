@@ -53,7 +53,7 @@ FROM judged
 
 SQL["op7_exact_dedup"] = r"""
 WITH spaced AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
-SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, text_sha256
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id IS NOT DISTINCT FROM min(doc_id) OVER same AS kept, text_sha256
 FROM spaced WINDOW same AS (PARTITION BY text_sha256)
 """
 

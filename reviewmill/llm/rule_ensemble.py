@@ -6,7 +6,7 @@ rule. A lasso logistic regression weighs the rules, and the few with a weight ar
 Statistics are built-in functions over the whole text; null, empty and blank texts have all statistics at zero and are
 scored like any other text. Labels that are null are left out; a document labelled several times counts with the mean
 of its labels. Without labels of both classes every score is the share of label 1 among them, 0.5 without any.
-Repeated rows are scored each on its own; input columns beside ``doc_id`` and ``text`` are never read.
+Very long texts are measured whole, row by row. Repeated rows are scored each on its own; input columns beside ``doc_id`` and ``text`` are never read.
 """
 
 from __future__ import annotations
