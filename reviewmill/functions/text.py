@@ -42,10 +42,6 @@ def one_line(col: Column) -> Column:
     return F.translate(col, "\n", " ")
 
 
-def first_chunk(col: Column, width: int) -> Column:
-    return F.substring(col, 1, width)
-
-
 def chunk_array(col: Column, width: int) -> Column:
     """Fixed-width pieces in order; an empty or null text has none."""
     starts = F.sequence(F.lit(1), F.length(col), F.lit(width))
