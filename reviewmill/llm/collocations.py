@@ -33,7 +33,7 @@ from pyspark.sql.window import Window
 from reviewmill.llm.common import whole_text, written
 
 LONGEST = 4
-BUFFER = 1 << 21  # bytes hashed at a time
+BUFFER = 1 << 19  # bytes hashed at a time; arrays over them, of eight bytes an item, are most of what a task holds
 WIDE = 1 << 16  # words of so many bytes are hashed by their digest, so that no word fills a buffer
 HELD = 1 << 21  # (fingerprint, count) entries a task sums before it hands them on
 HELD_PHRASES = 1 << 15  # phrases a task sums before it hands them on
@@ -200,11 +200,15 @@ class _Sums:
         self.size += len(keys)
 
     def summed(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
+        if not self.size:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        keys, number = np.unique(np.concatenate(self.keys), return_inverse=True)
-        counts = np.zeros(len(keys), np.int64)
-        np.add.at(counts, number, np.concatenate(self.counts))
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        self.keys, self.counts = [], []
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        del order
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, counts = keys[first], np.add.reduceat(counts, first)
         self.keys, self.counts, self.size = [keys], [counts], len(keys)
         return keys, counts
 
@@ -355,7 +359,8 @@ def phrases(docs: DataFrame, least: int = 30) -> DataFrame:
 
     def frequent(lengths: tuple[int, ...], pairs=None) -> DataFrame:
         counted = read.select("lang", "text").mapInArrow(_counting(lengths, pairs), "fingerprint long, occurrences long")
-        summed = counted.groupBy("fingerprint").agg(F.sum("occurrences").alias("occurrences"))
+        # a task has summed its own already: another table of them in the JVM ahead of the shuffle would hold as many rows again
+        summed = counted.repartition("fingerprint").groupBy("fingerprint").agg(F.sum("occurrences").alias("occurrences"))
         return written(summed.where(F.col("occurrences") >= least), "phrase-fingerprints")
 
     short = frequent((1, 2))

@@ -149,3 +149,32 @@ def test_a_long_text_takes_linear_time():
     once, four = seconds("ab cd " * 500_000), seconds("ab cd " * 2_000_000)
     assert four < 12 * once + 1
     assert seconds(" " * 5_000_000 + "x" * 5_000_000) < 20
+
+
+def test_fingerprints_are_not_held_once_more_ahead_of_the_shuffle(spark, monkeypatch):
+    plans = []
+
+    def noted(df, name):
+        if name == "phrase-fingerprints":
+            plans.append(df._jdf.queryExecution().sparkPlan().toString() + df._jdf.queryExecution().executedPlan().toString())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(collocations, "written", noted)
+    collocations.phrases(frame(spark, corpus(6)), 6)
+    assert len(plans) == 2
+    for plan in plans:
+        # plans are listed from the result down to the scan
+        lines = [line for line in plan.splitlines() if "Exchange" in line or "HashAggregate" in line or "MapInArrow" in line]
+        below = [k for k, line in enumerate(lines) if "MapInArrow" in line]
+        assert below and all("Exchange" in lines[k - 1] for k in below), plan
+
+
+def test_sums_of_many_parts():
+    rng = np.random.default_rng(1)
+    sums, wanted = collocations._Sums(), Counter()
+    for _ in range(5):
+        some = rng.integers(0, 300, 1000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        wanted.update(some.tolist())
+        sums.add(some)
+    keys, counts = sums.summed()
+    assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == wanted and sums.size == len(wanted)
