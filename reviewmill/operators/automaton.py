@@ -136,15 +136,16 @@ class Automaton:
         return free
 
 
-def _slices(texts: list[bytes], overlap: int) -> Iterator[list[tuple[int, bytes, bool, bool]]]:
+def _slices(texts: list[bytes], overlap: int, width: int | None = None) -> Iterator[list[tuple[int, bytes, bool, bool]]]:
     """Runs of about ``SLICE_BYTES`` as (number of the text, piece, cut before, cut behind); long texts in overlapping pieces."""
+    width = width or SLICE_BYTES
     held, size = [], 0
     for number, text in enumerate(texts):
-        for start in range(0, max(1, len(text)), SLICE_BYTES):
-            low, high = max(0, start - overlap), min(len(text), start + SLICE_BYTES + overlap)
+        for start in range(0, max(1, len(text)), width):
+            low, high = max(0, start - overlap), min(len(text), start + width + overlap)
             held.append((number, text[low:high], low > 0, high < len(text)))
             size += high - low
-            if size >= SLICE_BYTES:
+            if size >= width:
                 yield held
                 held, size = [], 0
     if held:

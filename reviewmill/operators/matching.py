@@ -1,7 +1,8 @@
 """Which dictionary entries occur inside which texts.
 
 A cross product of texts and entries does not scale. A small dictionary is filtered in place by built-in functions; a larger one
-becomes automata that find all entries in one pass over a text, so the time follows the length of the texts.
+becomes an automaton that finds all entries in one pass over a text, and one too large for that is looked up by hashes of the texts'
+pieces, also in one pass. So the time follows the length of the texts, whatever the dictionary.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewmill.operators.automaton import Automaton
+from reviewmill.operators.pieces import match_pieces
 from reviewmill.session import fresh_path
 
 LITERAL_LIMIT = 128
-GROUP_BYTES = 1 << 17  # entry bytes of one automaton: no more states than bytes, and so a bounded table
+GROUP_BYTES = 1 << 17  # entry bytes of an automaton: no more states than bytes, and so a bounded table
 _WORD_EDGE = r"[\p{L}\p{N}_]"
 
 
@@ -30,18 +32,6 @@ def holds(text: Column, entry: Column, word: bool = False) -> Column:
     return held
 
 
-def _groups(entries: DataFrame, entry: str) -> Iterator[list[str]]:
-    """The entries in sorted runs of about ``GROUP_BYTES``, so that a run shares first characters; one run is fetched at a time."""
-    size = entries.agg(F.sum(F.octet_length(entry))).first()[0] or 0
-    n = max(1, -(-2 * size // GROUP_BYTES)) if size > GROUP_BYTES else 1
-    path = fresh_path(entries.sparkSession, "dictionary")
-    ranged = entries.repartitionByRange(n, entry) if n > 1 else entries.coalesce(1)
-    ranged.withColumn("_group", F.spark_partition_id()).write.partitionBy("_group").parquet(path)
-    held = entries.sparkSession.read.schema(f"`{entry}` string, _group int").parquet(path)
-    for group in range(n):
-        yield [row[0] for row in held.filter(F.col("_group") == group).select(entry).collect()]
-
-
 def _searcher(automaton, names, text_id: str, entry: str, word: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pa.array(names.value, pa.string())
@@ -63,8 +53,8 @@ def match_substrings(
     ``texts`` has one row per ``text_id``. Comparison is exact, so lower-case both sides
     first to ignore case. ``word=True`` asks for word boundaries around the entry as well.
     A dictionary of up to ``literal_limit`` entries becomes an array literal that each text
-    filters in place. A larger one is cut into runs of bounded size, each a broadcast automaton and a pass over the texts;
-    nothing is shuffled and only matches leave a pass.
+    filters in place. A larger one becomes a broadcast automaton; nothing is shuffled and only matches leave the pass. Past
+    ``GROUP_BYTES`` a broadcast bitmap picks pieces of the texts that are then joined with the entries.
     """
     distinct = entries.select(entry).filter(F.length(entry) > 0).distinct()
     few = distinct.limit(literal_limit + 1).collect()
@@ -76,10 +66,11 @@ def match_substrings(
     context = texts.sparkSession.sparkContext
     read = texts.select(F.col(text_id).alias("id"), F.col(text).cast("binary").alias("text"))
     schema = T.StructType([T.StructField(text_id, read.schema["id"].dataType), T.StructField(entry, T.StringType())])
-    matched = None
-    for names in _groups(distinct, entry):
-        if names:
-            automaton = Automaton([name.encode("utf-8") for name in names])
-            part = read.mapInArrow(_searcher(context.broadcast(automaton), context.broadcast(names), text_id, entry, word), schema)
-            matched = part if matched is None else matched.unionByName(part)
-    return matched
+    path = fresh_path(texts.sparkSession, "dictionary")
+    distinct.write.parquet(path)
+    held = texts.sparkSession.read.schema(distinct.schema).parquet(path)
+    if held.agg(F.sum(F.octet_length(entry))).first()[0] > GROUP_BYTES:
+        return match_pieces(read, held, text_id, entry, word, T.StructType([schema[0], T.StructField("_piece", T.BinaryType())]))
+    names = [row[0] for row in held.sort(entry).collect()]
+    automaton = Automaton([name.encode("utf-8") for name in names])
+    return read.mapInArrow(_searcher(context.broadcast(automaton), context.broadcast(names), text_id, entry, word), schema)

@@ -5,7 +5,7 @@ import time
 
 import pytest
 
-from reviewmill.operators import automaton, matching
+from reviewmill.operators import automaton, matching, pieces
 from reviewmill.operators.matching import match_substrings
 
 
@@ -91,3 +91,17 @@ def test_null_texts_and_odd_ids(spark):
     names = spark.createDataFrame([("luke",)], "entry string")
     got = match_substrings(texts, names, "id", "text", "entry", literal_limit=0)
     assert {tuple(r) for r in got.collect()} == {("y", "luke"), (None, "luke")}
+
+
+def test_a_large_dictionary_takes_one_pass_over_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(matching, "GROUP_BYTES", 60)
+    monkeypatch.setattr(pieces, "SLICE", 40)
+    names = ["Zürich", "ürich", "é", "日本", "本", "src_1", "src_10", "src_100", "a" * 33, "a" * 70] + [f"name{i}" for i in range(200)]
+    texts = {1: "in Zürich é", 2: "日本 src_100 src_1", 3: "a" * 90, 4: "name17" + "x" * 100 + " name170 日本", 5: None, 6: "ürichname5é"}
+    frame = spark.createDataFrame(list(texts.items()), "id int, text string")
+    table = spark.createDataFrame([(n,) for n in names], "entry string")
+    for word in (False, True):
+        got = match_substrings(frame, table, "id", "text", "entry", word, literal_limit=0)
+        assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        held = whole_word if word else lambda t, e: e in t
+        assert sorted(map(tuple, got.collect())) == sorted((i, n) for i, t in texts.items() for n in names if t and held(t, n))
