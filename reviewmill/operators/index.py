@@ -14,6 +14,7 @@ from reviewmill.functions.text import chunk_array, has_text
 from reviewmill.operators.embed import embed
 from reviewmill.session import fresh_path
 
+ROWS_PER_TASK = 20_000  # documents that one task embeds and writes
 DOC_COLUMNS = ("review_id", "restaurant_id", "rating", "review_date", "review_text")
 
 
@@ -106,11 +107,11 @@ def ensure_index(spark: SparkSession, path: str) -> DataFrame:
 def append_documents(rows: DataFrame, path: str, order: Sequence[str] = ("pos",), load: Callable | None = None) -> None:
     """Embed and append unseen documents. The anti-join sits ahead of the vectoriser."""
     docs = new_documents(rows, ensure_index(rows.sparkSession, path), order)
-    write_documents(embed(clustered(docs), "review_text", load=load), path)
+    write_documents(embed(_spread(docs), "review_text", load=load), path, may_fail=load is not None)
 
 
 def clustered(docs: DataFrame) -> DataFrame:
-    """Group documents by restaurant ahead of the vectoriser, while rows are still narrow.
+    """Group documents by restaurant.
 
     Row groups then cover few restaurants, so a targeted search skips most of them; the
     rebalance splits a restaurant too large for one task.
@@ -118,6 +119,20 @@ def clustered(docs: DataFrame) -> DataFrame:
     return docs.hint("rebalance", "restaurant_id").sortWithinPartitions("restaurant_id")
 
 
+def _spread(docs: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """``clustered`` ahead of the vectoriser, while rows are still narrow.
+
+    Tasks are cut by number of rows, a large restaurant into several: by the bytes of the narrow rows, a task would get many more
+    vectors than one should make.
+    """
+    path = fresh_path(docs.sparkSession, "narrow")
+    docs.write.parquet(path)
+    staged = docs.sparkSession.read.schema(docs.schema).parquet(path)
+    tasks = max(1, -(-staged.count() // (rows_per_task or ROWS_PER_TASK)))
+    ranged = staged.coalesce(1) if tasks == 1 else staged.repartitionByRange(tasks, "restaurant_id", F.xxhash64("review_id"))
+    return ranged.sortWithinPartitions("restaurant_id")
+
+
 def _conformed(vectors: DataFrame) -> DataFrame:
     return vectors.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INDEX_SCHEMA.fields])
 
@@ -127,12 +142,16 @@ def failures_path(path: str) -> str:
     return f"{path.rstrip('/')}_failures"
 
 
-def write_documents(vectors: DataFrame, path: str) -> None:
+def write_documents(vectors: DataFrame, path: str, may_fail: bool = True) -> None:
     """Append embedded documents; those the model failed on go to the failures table beside the index.
 
-    The vectors are written once, by whether there is one, so the model sees every text once.
+    The vectors are written once, by whether there is one, so the model sees every text once. Where none can be
+    missing, as with the hashing vectoriser, they go to the index directly.
     """
     spark = vectors.sparkSession
+    if not may_fail:
+        _conformed(vectors).write.mode("append").parquet(path)
+        return
     staged = fresh_path(spark, "embedded")
     _conformed(vectors).withColumn("failed", F.col("embedding").isNull()).write.partitionBy("failed").parquet(staged)
     tried = spark.read.schema(StructType([*INDEX_SCHEMA.fields, StructField("failed", BooleanType())])).parquet(staged)
@@ -155,7 +174,7 @@ def failed_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def retry_failures(spark: SparkSession, path: str, load: Callable | None = None) -> None:
     """Try the failed documents again. What fails once more stays in the failures table."""
-    write_documents(embed(clustered(failed_documents(spark, path)), "review_text", load=load), path)
+    write_documents(embed(_spread(failed_documents(spark, path)), "review_text", load=load), path, may_fail=load is not None)
 
 
 def refresh_index(rows: DataFrame, path: str, new_path: str, order: Sequence[str] = ("pos",), load: Callable | None = None) -> None:
@@ -167,7 +186,7 @@ def refresh_index(rows: DataFrame, path: str, new_path: str, order: Sequence[str
     spark = rows.sparkSession
     index = ensure_index(spark, path)
     staged = fresh_path(spark, "changed")
-    _conformed(embed(clustered(changed_documents(rows, index, order)), "review_text", load=load)).write.parquet(staged)
+    _conformed(embed(_spread(changed_documents(rows, index, order)), "review_text", load=load)).write.parquet(staged)
     tried = spark.read.schema(INDEX_SCHEMA).parquet(staged)
     fresh = tried.filter(F.col("embedding").isNotNull())
     kept = index.join(fresh.select("review_id"), "review_id", "left_anti")

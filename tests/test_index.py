@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import regex
+from pyspark.sql import functions as F
 
 from reviewmill.contracts import EMBEDDING_DIM, INDEX_SCHEMA
 from reviewmill.operators.embed import QUERY, embed, hashing_vectors
@@ -200,3 +201,19 @@ def test_model_sees_a_text_once_per_write(spark, tmp_path):
 
     append_documents(spark.createDataFrame([(i, f"r{i}", "x", "1", None, f"text {i}") for i in range(40)], SCHEMA), str(tmp_path / "index"), load=counting)
     assert seen.value == 40
+
+
+def test_a_task_embeds_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    from reviewmill.operators import index
+
+    monkeypatch.setattr(index, "ROWS_PER_TASK", 50)
+    staged = []
+    monkeypatch.setattr(index, "fresh_path", lambda spark, name: staged.append(name) or f"{tmp_path}/{name}{len(staged)}")
+    rows = [(i, f"u{i}", "hot", 4.0, None, f"text {i}") for i in range(400)]
+    frame = spark.createDataFrame(rows, "pos long, review_id string, restaurant_id string, rating double, review_date date, review_text string")
+    index.append_documents(frame, f"{tmp_path}/index")
+    held = spark.read.parquet(f"{tmp_path}/index")
+    sizes = [r["n"] for r in held.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert held.count() == 400 and held.select("review_id").distinct().count() == 400
+    assert len(sizes) >= 6 and max(sizes) < 130
+    assert staged == ["narrow"]  # the vectors are written once, to the index itself
