@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.contracts import EMBEDDING_DIM, MAX_CHARS
 
+HANDED_ON = 512  # vectors a model's task holds before it hands them on
 DOCUMENT, QUERY = "search_document", "search_query"
 
 
@@ -47,6 +48,35 @@ def _mean(vectors: list, pieces: list[str]) -> np.ndarray:
     return np.average(np.asarray(vectors, dtype=np.float64), axis=0, weights=[len(p) for p in pieces]).astype(np.float32)
 
 
+def _embedded(batches: Iterator[pa.Array], model: Callable, mode: str, cut: int | None, at_once: int) -> Iterator[pa.Array]:
+    """Vectors of texts. A text becomes a string when its turn comes, and vectors are handed on in small batches."""
+    def embedded(texts: list[list[str]]) -> list[np.ndarray]:
+        found = list(model([piece for pieces in texts for piece in pieces], mode))
+        ends = np.cumsum([len(pieces) for pieces in texts])
+        return [_mean(found[end - len(pieces):end], pieces) for end, pieces in zip(ends.tolist(), texts, strict=True)]
+
+    def safely(texts: list[list[str]]) -> list[np.ndarray | None]:
+        try:
+            return embedded(texts)
+        except Exception:
+            return [None] if len(texts) == 1 else [vector for one in texts for vector in safely([one])]
+
+    for batch in batches:
+        out, waiting, n = [], [], 0
+        for text in batch:
+            waiting.append(_pieces(text.as_py(), cut))
+            n += len(waiting[-1])
+            if n >= at_once:
+                out += safely(waiting)
+                waiting, n = [], 0
+            if len(out) >= HANDED_ON:
+                yield pa.array(out, pa.list_(pa.float32()))
+                out = []
+        out += safely(waiting) if waiting else []
+        if out:
+            yield pa.array(out, pa.list_(pa.float32()))
+
+
 def model_vectors(
     df: DataFrame, text: str, load: Callable[[], Callable[[list[str], str], np.ndarray]], mode: str = DOCUMENT,
     width: int | None = MAX_CHARS, at_once: int = 64,
@@ -59,30 +89,9 @@ def model_vectors(
     """
     cut = width if mode == DOCUMENT else None
 
-    @F.pandas_udf("array<float>")
-    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load()
-
-        def embedded(texts: list[list[str]]) -> list[np.ndarray]:
-            found = list(model([piece for pieces in texts for piece in pieces], mode))
-            ends = np.cumsum([len(pieces) for pieces in texts])
-            return [_mean(found[end - len(pieces):end], pieces) for end, pieces in zip(ends.tolist(), texts, strict=True)]
-
-        def safely(texts: list[list[str]]) -> list[np.ndarray | None]:
-            try:
-                return embedded(texts)
-            except Exception:
-                return [None] if len(texts) == 1 else [vector for one in texts for vector in safely([one])]
-
-        for batch in batches:
-            out, waiting, n = [], [], 0
-            for text in batch:
-                waiting.append(_pieces(text, cut))
-                n += len(waiting[-1])
-                if n >= at_once:
-                    out += safely(waiting)
-                    waiting, n = [], 0
-            yield pd.Series(out + (safely(waiting) if waiting else []), dtype=object)
+    @F.arrow_udf("array<float>")
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _embedded(batches, load(), mode, cut, at_once)
 
     return df.withColumn("embedding", vectors(model_input(F.col(text), mode)))
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
@@ -203,6 +204,25 @@ def test_model_sees_a_text_once_per_write(spark, tmp_path):
     assert seen.value == 40
 
 
+def test_vectors_are_handed_on_before_a_batch_ends():
+    from reviewmill.operators import embed
+
+    seen = []
+
+    def model(texts, mode):
+        seen.extend(texts)
+        if any(text == "t9" for text in texts):
+            raise ValueError("unreadable")
+        return [[float(len(text))] for text in texts]
+
+    texts = [f"t{i}" for i in range(4 * embed.HANDED_ON)]
+    parts = embed._embedded(iter([pa.array(texts), pa.array([], pa.string()), pa.array(["last"])]), model, embed.DOCUMENT, 2000, 64)
+    first = next(parts)
+    assert len(first) < embed.HANDED_ON + 64 and len(seen) < 2 * len(first)
+    got = [vector for part in (first, *parts) for vector in part.to_pylist()]
+    assert got == [None if text == "t9" else [float(len(text))] for text in [*texts, "last"]]
+
+
 def test_a_task_embeds_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
     from reviewmill.operators import index
 
